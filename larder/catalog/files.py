@@ -1,2 +1,123 @@
-QUERIES = {}
-ORACLES = {}
+"""Writing tables to the shared scratch folder and reading them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larder import sources as io
+from larder.catalog.inputs import table
+from larder.plans.reviews import BUSINESS_REVIEW
+from larder.session import scratch_path
+
+
+def _suppliers(s, d):
+    return table(s, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+
+
+def _days(s, d):
+    return table(s, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+
+
+def csv_roundtrip(s, d):
+    """The key is read back as text, as stated by the schema, not inferred as a number."""
+    path = scratch_path(s, "csv")
+    io.write_csv(_suppliers(s, d), path)
+    return io.csv_to_parquet(s, path, scratch_path(s, "parquet"), "s_suppkey string, s_name string, s_acctbal double")
+
+
+def json_roundtrip(s, d):
+    path = scratch_path(s, "json")
+    io.write_json(_suppliers(s, d), path)
+    return io.json_to_parquet(s, path, scratch_path(s, "parquet"), "s_suppkey long, s_name string, s_acctbal double", lines=True)
+
+
+def _two_runs(s, d):
+    base = scratch_path(s, "orders")
+    io.write_snapshot(_days(s, d), base, "20240501000000")
+    io.write_snapshot(_days(s, d).where("o_totalprice > 100000"), base, "20240601000000")
+    return base
+
+
+def replaced(s, d):
+    path = scratch_path(s, "staged")
+    io.write_parquet(_days(s, d), path)
+    io.staged_replace(s.read.parquet(path).withColumn("o_totalprice", F.col("o_totalprice") * 2), path)
+    return s.read.parquet(path)
+
+
+def audit(s, d):
+    path = scratch_path(s, "audit")
+    io.write_parquet(_days(s, d), path)
+    per_file = io.ingest_audit(s.read.parquet(path))
+    return per_file.agg(F.sum("n_rows").alias("n_rows"), F.min(F.col("n_rows") > 0).alias("no_empty_file"))
+
+
+def seen_dates(s, d):
+    """Every row takes the date of the file it came from."""
+    base = scratch_path(s, "seen")
+    for day, status in (("20240524", "O"), ("20240525", "F"), ("undated", "P")):
+        io.write_parquet(io.single_file(table(s, d, "orders").where(F.col("o_orderstatus") == status).select("o_orderkey")), f"{base}/run={day}")
+    # Spark names the files, so the date is tested on the folder through the same expression.
+    files = s.read.option("basePath", base).parquet(base)
+    return files.select("o_orderkey", F.coalesce(
+        F.try_to_date(F.regexp_extract("run", r"(\d{8})", 1), "yyyyMMdd"), F.lit("2024-06-01").cast("date")).alias("seen_on"))
+
+
+def stored_table(s, d):
+    path = scratch_path(s, "warehouse")
+    name = "larder_" + path[-12:]
+    io.write_table(_suppliers(s, d), name, options={"path": path})
+    return s.table(name)
+
+
+def partitioned(s, d):
+    path = scratch_path(s, "months")
+    rows = _days(s, d).withColumns({"year": F.year("day"), "month": F.month("day")})
+    io.write_parquet(rows.repartition("year", "month"), path, ["year", "month"])
+    return s.read.parquet(path).where("year = 1998 AND month <= 6").groupBy("month").agg(F.count("*").alias("n"))
+
+
+def declared(s, d):
+    """Reviews stored with the declared review schema and read through it."""
+    path = scratch_path(s, "reviews")
+    rows = table(s, d, "documents").select(
+        F.col("doc_id").cast("string").alias("business_id"), F.col("source").alias("business_name"),
+        F.col("n_chars").cast("double").alias("time"), (F.col("doc_id") % 5 + 1).alias("rating"), "text",
+        F.lit("Yes").alias("verified"), F.lit(20240501).cast("long").alias("date"))
+    io.write_parquet(rows, path)
+    return io.read_parquet(s, path, BUSINESS_REVIEW).groupBy("business_name").agg(
+        F.count("*").alias("n"), F.sum("rating").alias("stars"))
+
+
+QUERIES = {
+    "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
+    "snapshot_latest": lambda s, d: io.read_snapshots(s, _two_runs(s, d)),
+    "snapshot_all": lambda s, d: io.read_snapshots(s, _two_runs(s, d), "all"),
+    "staged_replace": replaced,
+    "ingest_audit": audit,
+    "file_dates": seen_dates,
+    "table_overwrite": stored_table,
+    "partitioned_write": partitioned,
+    "declared_schema_scan": declared,
+}
+
+_DAYS = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders"
+
+ORACLES = {
+    "csv_roundtrip": "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, s_acctbal FROM supplier",
+    "json_roundtrip": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "snapshot_latest": f"{_DAYS} WHERE o_totalprice > 100000",
+    "snapshot_all": f"{_DAYS} UNION ALL {_DAYS} WHERE o_totalprice > 100000",
+    "staged_replace": f"SELECT o_orderkey, day, o_totalprice * 2 AS o_totalprice FROM ({_DAYS})",
+    "ingest_audit": "SELECT count(*) AS n_rows, true AS no_empty_file FROM orders",
+    "file_dates": """
+        SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN DATE '2024-05-24' WHEN 'F' THEN DATE '2024-05-25' ELSE DATE '2024-06-01' END AS seen_on
+        FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')""",
+    "table_overwrite": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "partitioned_write": """
+        SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n FROM orders
+        WHERE year(o_orderdate) = 1998 AND month(o_orderdate) <= 6 GROUP BY 1""",
+    "declared_schema_scan": """
+        SELECT source AS business_name, count(*) AS n, CAST(sum(doc_id % 5 + 1) AS BIGINT) AS stars FROM documents GROUP BY 1""",
+}

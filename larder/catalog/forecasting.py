@@ -1,2 +1,61 @@
-QUERIES = {}
-ORACLES = {}
+"""Forecasts. Iterative fits have no SQL twin; tests check their invariants."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from larder.catalog.inputs import table
+from larder.catalog.sales import dated_lines, lag_features, order_days
+from larder.plans import forecast, series
+from larder.plans.forecast import ModelSettings
+
+TRAIN_UNTIL = "2000-12-31"
+# Smaller than the defaults so that a run on one machine stays short.
+QUICK = ModelSettings(iterations=50, depth=6, trees=20, boosts=10)
+QUICK_GRIDS = {
+    "linear": {"regParam": (0.01, 0.5), "elasticNetParam": (0.0, 1.0)},
+    "tree": {"maxDepth": (3, 5)},
+}
+
+
+def selection(s, d):
+    return forecast.select_model(order_days(s, d), "date", "total_sales", TRAIN_UNTIL, QUICK).table(s)
+
+
+def ranged(s, d):
+    daily = order_days(s, d)
+    best = forecast.select_model(daily, "date", "total_sales", TRAIN_UNTIL, QUICK)
+    return forecast.forecast_range(daily, "date", "total_sales", best.model, "2001-09-01", "2002-08-31")
+
+
+def tuned(s, d):
+    features = [f"total_sales_lag_{k}" for k in range(1, series.LAG_STEPS + 1)]
+    return forecast.tune(lag_features(s, d), "date", "total_sales", features, "2001-01-01",
+                         models=("linear", "tree"), folds=3, grids=QUICK_GRIDS)
+
+
+def seasonal_by_place(s, d):
+    daily = series.daily_sales_by(dated_lines(s, d), "location_id")
+    return forecast.seasonal_forecast_by(daily, "location_id", "date", "total_sales_location_id", 90)
+
+
+def vectors(s, d):
+    made = series.as_vector(series.with_calendar(order_days(s, d), "date"), series.CALENDAR_FEATURES)
+    from pyspark.ml.functions import vector_to_array
+    return made.select("date", F.array_join(F.transform(vector_to_array("features"), lambda x: x.cast("int").cast("string")), ",").alias("features"))
+
+
+QUERIES = {
+    "feature_vector": vectors,
+    "model_select": selection,
+    "forecast_range": ranged,
+    "cv_tuning": tuned,
+    "seasonal_forecast": lambda s, d: forecast.seasonal_forecast(order_days(s, d), "date", "total_sales", 365),
+    "seasonal_forecast_by_location": seasonal_by_place,
+}
+
+ORACLES = {
+    "feature_vector": """
+        SELECT date, concat_ws(',', month(date), day(date), weekofyear(date), quarter(date), dayofyear(date)) AS features
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)""",
+}

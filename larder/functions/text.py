@@ -84,7 +84,9 @@ def decode_entities(c: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return squeeze(decode_entities(F.regexp_replace(c, r"(?s)<[^>]*>", " ")))
+    """Text of an HTML fragment, entities decoded, on one line."""
+    plain = decode_entities(F.regexp_replace(c, r"(?s)<[^>]*>", " "))
+    return F.trim(F.regexp_replace(plain, r"\s+", " "))
 
 
 # Quantity and unit words removed from ingredient text, in matching order.
