@@ -9,6 +9,7 @@ from larder.catalog.inputs import AS_OF, RUN_TS, with_ctes
 from larder.operators.stats import match_audit
 from larder.plans import cleaning, kpis, star
 from larder.plans.reviews import score_reviews
+from larder.session import materialize
 
 
 def customers(s, d):
@@ -56,8 +57,19 @@ def dim_store(s, d):
     return star.dim_store(establishments(s, d), dim_store_location(s, d), RUN_TS)
 
 
-def fact_inventory(s, d):
-    return star.fact_customer_inventory(purchases(s, d), dim_product(s, d), dim_customer(s, d), RUN_TS)
+def stored_purchases(s, d):
+    """Cleaned purchases as a stored table: dimensions and facts all read it."""
+    return materialize(purchases(s, d), "purchases")
+
+
+def fact_inventory(s, d, stored=None):
+    bought = stored or stored_purchases(s, d)
+    return star.fact_customer_inventory(bought, star.dim_product(bought, RUN_TS), dim_customer(s, d), RUN_TS)
+
+
+def fact_and_dates(s, d):
+    bought = stored_purchases(s, d)
+    return fact_inventory(s, d, bought), star.dim_date(bought, RUN_TS)
 
 
 def fact_store_inventory(s, d):
@@ -92,13 +104,15 @@ def fact_store_review(s, d):
 
 
 def fact_customer_review(s, d):
-    fact = star.fact_customer_review(purchases(s, d), scored_reviews(s, d), dim_product(s, d), RUN_TS, "doc_id")
+    bought = stored_purchases(s, d)
+    fact = star.fact_customer_review(bought, scored_reviews(s, d), star.dim_product(bought, RUN_TS), RUN_TS, "doc_id")
     return fact.withColumn("sentiment_score", F.round("sentiment_score", 6))
 
 
 def fact_customer_review_numbered(s, d):
+    bought = stored_purchases(s, d)
     fact = star.fact_customer_review(
-        purchases(s, d), scored_reviews(s, d), dim_product(s, d), RUN_TS, "doc_id", numbered=True
+        bought, scored_reviews(s, d), star.dim_product(bought, RUN_TS), RUN_TS, "doc_id", numbered=True
     )
     return fact.select("review_id", "customer_id", "product_id", "date_id")
 
@@ -128,12 +142,12 @@ QUERIES = {
     "fact_store_review": fact_store_review,
     "fact_customer_review": fact_customer_review,
     "fact_customer_review_numbered": fact_customer_review_numbered,
-    "kpi_active_customers": lambda s, d: kpis.active_customers(fact_inventory(s, d), dim_date(s, d)),
-    "kpi_new_customers": lambda s, d: kpis.first_time_customers(fact_inventory(s, d), dim_date(s, d)),
-    "kpi_retention": lambda s, d: kpis.retention(fact_inventory(s, d), dim_date(s, d)),
+    "kpi_active_customers": lambda s, d: kpis.active_customers(*fact_and_dates(s, d)),
+    "kpi_new_customers": lambda s, d: kpis.first_time_customers(*fact_and_dates(s, d)),
+    "kpi_retention": lambda s, d: kpis.retention(*fact_and_dates(s, d)),
     "kpi_clv": lambda s, d: kpis.average_lifetime_value(fact_inventory(s, d)),
     "kpi_clv_view": kpi_view,
-    "kpi_churn": lambda s, d: kpis.churn(fact_inventory(s, d), dim_date(s, d), AS_OF),
+    "kpi_churn": lambda s, d: kpis.churn(*fact_and_dates(s, d), AS_OF),
     "sentiment_lexicon": lambda s, d: scored_reviews(s, d).select(
         "doc_id", "Sentiment", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score")
     ),

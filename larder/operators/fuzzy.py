@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder.functions.similarity import METHODS, comparable, score
+from larder.session import materialize
 
 
 def _losses(size: Column, method: str, threshold: int) -> tuple[Column, Column]:
@@ -103,10 +104,10 @@ def best_match(
         raise ValueError(f"threshold must be between {lowest} and 100 for {method}")
 
     def names(df: DataFrame, column: str) -> DataFrame:
-        return (
-            df.select(F.col(column).alias("name")).where("name is not null").distinct()
-            .withColumn("text", comparable(F.col("name"), method)).where("text <> ''")
-        )
+        # Several steps below read the names; store the distinct ones so that the
+        # table they come from is scanned once.
+        found = df.select(F.col(column).alias("name")).where("name is not null").distinct()
+        return materialize(found.withColumn("text", comparable(F.col("name"), method)).where("text <> ''"), "names")
 
     l, r = names(left, left_name), names(right, right_name)
     # Names that compare alike share one text; the first right name stands for its text.

@@ -20,7 +20,10 @@ def summary(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
     """
     ranks = ranked_counts(df, value)
     total = F.col("_total")
-    with_total = ranks.select("*", ranks.agg(F.sum("n").alias("t")).scalar().alias("_total"))
+    mean = F.sum(F.col(value) * F.col("n")) / F.sum("n")
+    with_total = ranks.select(
+        "*", ranks.agg(F.sum("n")).scalar().alias("_total"), ranks.agg(mean).scalar().alias("_mean")
+    )
     # Each quartile needs the values at two neighbouring ranks.
     wanted = []
     for label, p in QUARTILES:
@@ -32,12 +35,12 @@ def summary(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
         wanted.append((lo + (hi - lo) * F.max(at - low)).alias(label))
     moments = [
         F.sum("n").cast("double").alias("count"),
-        (F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"),
+        mean.alias("mean"),
+        F.sqrt(F.sum(F.col("n") * F.pow(F.col(value) - F.col("_mean"), 2)) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
         F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"),
     ]
-    spread = df.agg(F.stddev_samp(value).alias("s")).scalar().alias("std")
-    row = with_total.agg(*moments, *wanted).select("*", spread)
+    row = with_total.agg(*moments, *wanted)
     names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     return row.select(*[F.round(F.col(f"`{n}`"), digits).alias(n) for n in names]).unpivot(
         [], [F.col(f"`{n}`") for n in names], "statistic", "value"
