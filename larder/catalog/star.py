@@ -32,8 +32,13 @@ def purchases(s, d):
     return cleaning.clean_purchases(i.purchases(s, d))
 
 
+def sold_names(s, d):
+    """Distinct (product, day) pairs of the purchases, stored: all the product and the
+    date dimension need, so the purchases are joined once for both."""
+    return materialize(i.purchases(s, d).select("product_name", "purchase_date").distinct(), "sold")
+
+
 def dim_product(s, d):
-    # Distinct values need no de-duplicated input, so the raw names are read.
     return star.dim_product(i.purchases(s, d), RUN_TS)
 
 
@@ -41,6 +46,11 @@ def dim_date(s, d):
     return star.dim_date(i.purchases(s, d), RUN_TS)
 
 
+def products_and_dates(s, d):
+    sold = sold_names(s, d)
+    return star.dim_product(sold, RUN_TS), star.dim_date(sold, RUN_TS)
+
+
 def dim_customer(s, d):
     return star.dim_customer(customers(s, d), links(s, d), locations(s, d), RUN_TS)
 
@@ -82,14 +92,14 @@ def _priced_offers(s, d):
 
 
 def fact_customer_sale(s, d):
-    fact = star.fact_customer_sale(_priced_offers(s, d), dim_customer(s, d), dim_product(s, d), dim_date(s, d), RUN_TS)
+    products, dates = products_and_dates(s, d)
+    fact = star.fact_customer_sale(_priced_offers(s, d), dim_customer(s, d), products, dates, RUN_TS)
     return fact.withColumns({c: F.round(c, 6) for c in ("expected_price", "dynamic_price")})
 
 
 def fact_store_sale(s, d):
-    fact = star.fact_store_sale(
-        i.store_sales(s, d), dim_store(s, d), dim_product(s, d), dim_date(s, d), dim_customer(s, d), RUN_TS
-    )
+    products, dates = products_and_dates(s, d)
+    fact = star.fact_store_sale(i.store_sales(s, d), dim_store(s, d), products, dates, dim_customer(s, d), RUN_TS)
     return fact.withColumn("dynamic_price", F.round("dynamic_price", 6))
 
 

@@ -10,8 +10,8 @@ from larder.functions.text import strip_tags, title_words
 
 # --- receipts -----------------------------------------------------------------------
 
-# Fixed value: one receipt line is "qty NAME unit [total]".
-RECEIPT_ITEM = r"(\d+)?\s*([A-ZÀ-ÿ\s%]+[A-ZÀ-ÿ]+)\s+(\d+\.\d{2})\s*(\d+\.\d{2})?"
+# Fixed value: one receipt line is "qty NAME unit [total]"; a name ends with a letter.
+RECEIPT_ITEM = r"(\d+)?\s*([A-ZÀ-ÿ\s%]+[A-ZÀ-ÿ])\s+(\d+\.\d{2})\s*(\d+\.\d{2})?"
 # Fixed value: a store name is a line that starts with capitals.
 STORE_LINE = r"^[ ,]*[A-Z]{2,}[ ,.]*[A-Z]*"
 # Street keywords.
@@ -25,33 +25,40 @@ def _first_line(text: Column, pattern: str) -> Column:
     return F.get(F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(pattern))), F.lit(0))
 
 
+# Marks around an item, between its parts, and after it; receipts hold no control characters.
+_OPEN, _PART, _CLOSE = "\x02", "\x01", "\x03"
+
+
 def parse_receipts(df: DataFrame, text: str = "text") -> DataFrame:
     """Store name, address and item array of each receipt text."""
-    clean = F.replace(F.replace(F.replace(F.col(text), F.lit("\\"), F.lit(" ")), F.lit("+"), F.lit("")), F.lit(","), F.lit("."))
-    read = df.withColumn("_t", clean)
-    # Each group is extracted once for all matches; the arrays run in step.
-    found = {g: F.regexp_extract_all("_t", F.lit(RECEIPT_ITEM), F.lit(i + 1)) for i, g in
-             enumerate(("quantity", "description", "unit_price", "total_price"))}
-    items = F.transform(F.arrays_zip(*[c.alias(g) for g, c in found.items()]), _receipt_item)
+    # Backslashes become blanks, commas become points, plus signs and stray marks go.
+    read = df.withColumn("_t", F.translate(F.col(text), "\\,+" + _OPEN + _PART + _CLOSE, " ."))
+    # All four parts of all items are marked in a single pass of the pattern.
+    marked = F.regexp_replace(F.col("_t"), RECEIPT_ITEM, _OPEN + _PART.join(("$1", "$2", "$3", "$4")) + _CLOSE)
+    found = F.filter(F.split(marked, _OPEN), lambda piece: F.contains(piece, F.lit(_CLOSE)))
+    parts = F.transform(found, lambda piece: F.split(F.split_part(piece, F.lit(_CLOSE), F.lit(1)), _PART))
     return read.withColumns({
         "store_name": F.trim(F.regexp_replace(_first_line(F.col("_t"), STORE_LINE), r"[ ,.]*$", "")),
         "store_address": F.trim(_first_line(F.col("_t"), STREET_LINE)),
-        "items": items,
+        "items": F.transform(parts, _receipt_item),
     }).drop("_t")
 
 
-def _receipt_item(m: Column) -> Column:
-    unit = m["unit_price"].try_cast("double")
+def _receipt_item(parts: Column) -> Column:
+    quantity, name, unit, total = (F.get(parts, F.lit(i)) for i in range(4))
+    price = unit.try_cast("double")
     return F.struct(
-        F.coalesce(m["quantity"].try_cast("int"), F.lit(1)).alias("quantity"),
-        F.trim(F.regexp_replace(m["description"], r"^\s+|\s+$", "")).alias("description"),
-        unit.alias("unit_price"),
-        F.coalesce(m["total_price"].try_cast("double"), unit).alias("total_price"),
+        F.coalesce(quantity.try_cast("int"), F.lit(1)).alias("quantity"),
+        F.regexp_replace(name, r"^\s+|\s+$", "").alias("description"),
+        price.alias("unit_price"),
+        F.coalesce(total.try_cast("double"), price).alias("total_price"),
     )
 
 
 def receipt_items(receipts: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return receipts.select(*keep, F.inline("items"))
+    # A plain inline makes the optimizer test the array in a filter first, and so
+    # run the pattern again; the outer form parses once. Every item has a quantity.
+    return receipts.select(*keep, F.inline_outer("items")).where("quantity is not null")
 
 
 # --- invoices -----------------------------------------------------------------------
@@ -77,7 +84,9 @@ def parse_invoices(df: DataFrame, answer: str = "answer") -> DataFrame:
 
 
 def invoice_products(invoices: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return invoices.select(*keep, F.explode("products").alias("p")).select(
+    # The outer form parses the answer once; see receipt_items.
+    listed = invoices.select(*keep, F.explode_outer("products").alias("p")).where("p is not null")
+    return listed.select(
         *keep,
         title_words(F.col("p.name")).alias("product_name"),
         F.col("p").getField("Unit price").alias("unit_price"),

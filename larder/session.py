@@ -50,8 +50,18 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _session_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/larder-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/larder-{label}-{uuid.uuid4().hex}"
+    return f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this session stored; frames built on them stop working."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from larder.session import local_session  # noqa: E402
+from larder.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,5 @@ def spark():
     session = local_session(8, "larder-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
