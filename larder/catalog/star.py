@@ -67,6 +67,17 @@ def dim_store(s, d):
     return star.dim_store(establishments(s, d), dim_store_location(s, d), RUN_TS)
 
 
+def stored_customers(s, d):
+    """The customer dimension as a stored table. Spark splits the hot keys of a join only
+    when both sides come straight out of a shuffle; a dimension still being aggregated
+    and joined in the same plan would keep it from doing so."""
+    return materialize(dim_customer(s, d), "customers")
+
+
+def stored_stores(s, d):
+    return materialize(dim_store(s, d), "stores")
+
+
 def stored_purchases(s, d):
     """Cleaned purchases as a stored table: dimensions and facts all read it."""
     return materialize(purchases(s, d), "purchases")
@@ -74,7 +85,7 @@ def stored_purchases(s, d):
 
 def fact_inventory(s, d, stored=None):
     bought = stored or stored_purchases(s, d)
-    return star.fact_customer_inventory(bought, star.dim_product(bought, RUN_TS), dim_customer(s, d), RUN_TS)
+    return star.fact_customer_inventory(bought, star.dim_product(bought, RUN_TS), stored_customers(s, d), RUN_TS)
 
 
 def fact_and_dates(s, d):
@@ -83,7 +94,7 @@ def fact_and_dates(s, d):
 
 
 def fact_store_inventory(s, d):
-    return star.fact_store_inventory(i.stock(s, d), dim_store(s, d), dim_product(s, d), RUN_TS)
+    return star.fact_store_inventory(i.stock(s, d), stored_stores(s, d), dim_product(s, d), RUN_TS)
 
 
 def _priced_offers(s, d):
@@ -93,13 +104,13 @@ def _priced_offers(s, d):
 
 def fact_customer_sale(s, d):
     products, dates = products_and_dates(s, d)
-    fact = star.fact_customer_sale(_priced_offers(s, d), dim_customer(s, d), products, dates, RUN_TS)
+    fact = star.fact_customer_sale(_priced_offers(s, d), stored_customers(s, d), products, dates, RUN_TS)
     return fact.withColumns({c: F.round(c, 6) for c in ("expected_price", "dynamic_price")})
 
 
 def fact_store_sale(s, d):
     products, dates = products_and_dates(s, d)
-    fact = star.fact_store_sale(i.store_sales(s, d), dim_store(s, d), products, dates, dim_customer(s, d), RUN_TS)
+    fact = star.fact_store_sale(i.store_sales(s, d), stored_stores(s, d), products, dates, stored_customers(s, d), RUN_TS)
     return fact.withColumn("dynamic_price", F.round("dynamic_price", 6))
 
 
