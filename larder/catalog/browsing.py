@@ -51,10 +51,6 @@ def raw_establishments(s, d):
     )
 
 
-HEADINGS = {
-    "Id": "id", "Nom comercial": "commercial_name", "Localització": "location", "Adreça completa": "full_address",
-}
-
 QUERIES = {
     "closest_stores": closest,
     "map_centre": lambda s, d: map_centre(_places(s, d).withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")}), 4),
@@ -68,7 +64,7 @@ QUERIES = {
     "store_list": lambda s, d: cleaning.store_list(i.stock(s, d)),
     "store_inventory": lambda s, d: cleaning.store_inventory(baskets(s, d), basket_products(s, d)),
     "supermarkets": lambda s, d: cleaning.supermarkets_among(activities(s, d)),
-    "establishment_ingest": lambda s, d: cleaning.ingest_establishments(raw_establishments(s, d), HEADINGS),
+    "establishment_ingest": lambda s, d: cleaning.ingest_establishments(raw_establishments(s, d)),
     "complete_reviews": lambda s, d: drop_incomplete(i.reviews(s, d)).groupBy("rating").agg(F.count("*").alias("n")),
 }
 

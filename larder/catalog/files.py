@@ -53,14 +53,14 @@ def audit(s, d):
 
 
 def seen_dates(s, d):
-    """Every row takes the date of the file it came from."""
+    """Every row takes the date in the name of the table it came from; one table has none."""
     base = scratch_path(s, "seen")
-    for day, status in (("20240524", "O"), ("20240525", "F"), ("undated", "P")):
-        io.write_parquet(io.single_file(table(s, d, "orders").where(F.col("o_orderstatus") == status).select("o_orderkey")), f"{base}/run={day}")
-    # Spark names the files, so the date is tested on the folder through the same expression.
-    files = s.read.option("basePath", base).parquet(base)
-    return files.select("o_orderkey", F.coalesce(
-        F.try_to_date(F.regexp_extract("run", r"(\d{8})", 1), "yyyyMMdd"), F.lit("2024-06-01").cast("date")).alias("seen_on"))
+    orders = table(s, d, "orders")
+    names = {"O": "seen_20240524101500", "F": "seen_20240525101500", "P": "seen_undated"}
+    for status, name in names.items():
+        io.write_parquet(orders.where(F.col("o_orderstatus") == status).select("o_orderkey"), f"{base}/{name}.parquet")
+    files = io.read_parquet(s, [f"{base}/{name}.parquet" for name in names.values()])
+    return files.select("o_orderkey", io.file_date("2024-06-01").alias("seen_on"))
 
 
 def stored_table(s, d):

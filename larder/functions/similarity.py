@@ -107,3 +107,9 @@ def score(a: Column, b: Column, method: str) -> Column:
             yield pd.Series([scorer(x, y) for x, y in zip(left, right)], dtype="int32")
 
     return batched(a, b)
+
+
+def match_score(a: Column, b: Column, method: str = "partial_token_sort_ratio", threshold: int = 80) -> Column:
+    """Score of two texts, 0 when below the threshold or when either is missing."""
+    value = score(comparable(F.coalesce(a, F.lit("")), method), comparable(F.coalesce(b, F.lit("")), method), method)
+    return F.when(a.isNotNull() & b.isNotNull() & (value >= threshold), value).otherwise(0)

@@ -57,7 +57,49 @@ def clean_purchases(raw: DataFrame, numbered: bool = False) -> DataFrame:
     return rows.withColumn("unit_price", F.regexp_replace("unit_price", ",", "")).select("id", *PURCHASE_COLUMNS)
 
 
-def ingest_establishments(raw: DataFrame, names: Mapping[str, str]) -> DataFrame:
+# Headings of the public establishment register and the column names used here.
+ESTABLISHMENT_HEADINGS = {
+    "Id": "id",
+    "Nom comercial": "commercial_name",
+    "Nom raó Social": "social_name",
+    "NIF raó social": "company_NIF",
+    "Descripció de l'activitat": "activity_description",
+    "Identificador de l'activitat": "activity_identifier",
+    "Nom de l'ens": "registration_entity",
+    "Codi INE": "INE_code",
+    "Ens relacionat": "ENS_relation",
+    "Codi de comarca": "county_code",
+    "Adreça completa": "full_address",
+    "Localització": "location",
+    "Tipus de via": "road_type",
+    "Nom de la via": "street_name",
+    "Número via": "street_number",
+    "Escala": "scale",
+    "Pis": "location_info_1",
+    "Porta": "location_info_2",
+    "Tipus de nucli": "core_type",
+    "Codi postal": "postage_pick_up",
+    "Municipi": "municipality",
+    "Altres activitats": "other_activities",
+    "Sector econòmic": "economic_sector",
+    "Codi NACE": "code_NACE",
+    "Descripció NACE": "description_NACE",
+    "Tipus Industrial o productiva": "industrial_productive_type",
+    "Codi CCAE": "raise_CCAE",
+    "Descripció CCAE": "description_CCAE",
+    "Tipus comercial": "commercial_type",
+    "Tipus EMA": "EMA_type",
+    "Data de modificació": "modification_date",
+    "Codi Ens": "code_ens",
+    "Data llicència": "license_date",
+    "Annex": "annex",
+    "Data CI": "date_CI",
+    "Conjunt de dades": "data_set",
+    "Últim canvi": "last_change",
+}
+
+
+def ingest_establishments(raw: DataFrame, names: Mapping[str, str] = ESTABLISHMENT_HEADINGS) -> DataFrame:
     """Rename scraped headings and drop rows without name, location or address."""
     return drop_incomplete(rename(raw, dict(names)), ["commercial_name", "location", "full_address"])
 

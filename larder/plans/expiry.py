@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import DataFrame, Row, functions as F
 
 from larder.functions.dates import parse_iso
 from larder.functions.similarity import keep_content_words
@@ -89,3 +91,11 @@ def notices(
             ).alias("html"),
         )
     )
+
+
+def deliver(notices_: DataFrame, send: Callable[[Iterator[Row]], None]) -> None:
+    """Hand the notices to a sender, one call per partition, so it can reuse a connection.
+
+    A retried task sends again: the sender should skip (email_id, part) pairs it has seen.
+    """
+    notices_.foreachPartition(send)

@@ -42,10 +42,6 @@ def dim_date(purchases: DataFrame, created_on: str, column: str = "purchase_date
     ), created_on)
 
 
-def _located_customers(customers: DataFrame, link: DataFrame, locations: DataFrame) -> DataFrame:
-    return customers.join(link, "customer_id").join(locations, "location_id")
-
-
 def dim_customer(customers: DataFrame, link: DataFrame, locations: DataFrame, created_on: str) -> DataFrame:
     known = locations.select("location_id").distinct()
     rows = customers.join(link, "customer_id").join(known, "location_id", "left_semi")
@@ -140,7 +136,7 @@ def fact_customer_sale(
     places = customers.select("customer_id", "location_id")
     buyer = places.toDF("buying_customer_id", "buyer_location_id")
     seller = places.toDF("selling_customer_id", "seller_location_id")
-    # The date dimension holds one row per calendar day: bounded.
+    # One row per calendar day, at most 3.7 million for the whole date type: safe to broadcast.
     day = F.broadcast(dates.select(F.col("date").alias("_d"), F.col("date_id").alias("selling_date_id")))
     return _stamped(
         sales.withColumnRenamed("customer_id", "selling_customer_id")
@@ -169,6 +165,7 @@ def fact_store_sale(
     """
     places = stores.select(strip_hidden(F.col("supermarket_id").cast("string")).alias("store_id"), "location_id")
     buyers = customers.select("customer_id", F.col("location_id").alias("buyer_location_id"))
+    # One row per calendar day: safe to broadcast.
     day = F.broadcast(dates.select(F.col("date").alias("_d"), F.col("date_id").alias("purchase_date_id")))
     return _stamped(
         retail_prices(sales)

@@ -24,7 +24,10 @@ def _discovered(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
-    """CSV files under a path, one header line each. Quoted cells may span lines."""
+    """CSV files under a path, one header line each, split between tasks.
+
+    Pass ``multiLine=True`` when quoted cells span lines; files are then read whole.
+    """
     settings = {"header": True, "multiLine": False, "escape": '"', "pathGlobFilter": "*.csv"} | options
     return _discovered(spark.read.options(**settings).schema(schema).csv(path))
 
@@ -75,9 +78,15 @@ def single_file(df: DataFrame) -> DataFrame:
 
 
 def file_date(as_of: str) -> Column:
-    """Date from the first eight digits in the row's own file name, else ``as_of``."""
-    digits = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1)
-    return F.coalesce(F.try_to_date(digits, "yyyyMMdd"), F.lit(as_of).cast("date"))
+    """Date from the first eight digits in the name of the row's own file, else ``as_of``.
+
+    Inside a folder written by Spark the folder carries the name: part files are
+    numbered by a random id whose digits mean nothing.
+    """
+    path = F.split(F.col("_metadata.file_path"), "/")
+    own = F.element_at(path, -1)
+    name = F.when(F.startswith(own, F.lit("part-")), F.element_at(path, -2)).otherwise(own)
+    return F.coalesce(F.try_to_date(F.regexp_extract(name, r"(\d{8})", 1), "yyyyMMdd"), F.lit(as_of).cast("date"))
 
 
 def ingest_audit(df: DataFrame) -> DataFrame:

@@ -129,3 +129,12 @@ def test_common_subsequence_against_table():
             assert similarity._common(a, b) == slow(a, b)
     assert similarity.ratio("apple juice", "apple juce") == 95
     assert similarity.partial_ratio("ring", "small ring") == 100
+
+
+def test_match_score(spark):
+    df = spark.createDataFrame([("Small ring!", "ring"), ("apple", "pear"), (None, "x"), ("", "")], "a string, b string")
+    got = [r[0] for r in df.select(similarity.match_score(F.col("a"), F.col("b"))).collect()]
+    assert got == [100, 0, 0, 100]
+    native = [r[0] for r in df.select(similarity.match_score(F.col("a"), F.col("b"), "levenshtein", 20)).collect()]
+    # Seven letters go from the eleven of "Small ring!".
+    assert native == [36, 20, 0, 100]

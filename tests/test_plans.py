@@ -16,6 +16,14 @@ def day(text):
     return datetime.date.fromisoformat(text)
 
 
+def test_establishment_headings(spark):
+    assert len(cleaning.ESTABLISHMENT_HEADINGS) == 37
+    raw = spark.createDataFrame([("1", "A", "1,2", "s"), ("2", None, "1,2", "s"), ("3", "C", None, "s")],
+                                "Id string, `Nom comercial` string, `Localització` string, `Adreça completa` string")
+    got = cleaning.ingest_establishments(raw)
+    assert got.columns == ["id", "commercial_name", "location", "full_address"] and [r.id for r in got.collect()] == ["1"]
+
+
 def test_cleaning(spark):
     people = spark.createDataFrame([(1, "Ann", "a@x"), (1, "Ann", "a@x"), (2, "Bo", "b@x")], "customer_id long, customer_name string, email_id string")
     assert cleaning.clean_customers(people).count() == 2
@@ -178,6 +186,17 @@ def test_notices_split_long_lists_without_losing_lines(spark):
     assert [(r.part, r.product_name) for r in got if r.customer_name == "Bo"] == [(0, ["tea"])]
 
 
+def test_deliver_reaches_every_notice(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def send(rows):
+        for r in rows:
+            open(f"{folder}/{r.email_id}", "w").close()
+
+    expiry.deliver(spark.createDataFrame([("a",), ("b",), ("c",)], "email_id string").repartition(2), send)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b", "c"]
+
+
 def test_dynamic_price(spark):
     rules = PricingRules(holiday_discount=1.5, threshold_days_high=30, threshold_days_medium=10, discount_high=0.3, discount_medium=0.1, discount_low_high_consumption=0.6, discount_low_low_consumption=0.5, min_price=2.0)
     df = spark.createDataFrame(

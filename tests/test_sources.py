@@ -29,6 +29,9 @@ def test_file_date(spark, tmp_path):
     (tmp_path / "seen_later.csv").write_text("id\n2\n")
     df = io.read_csv(spark, str(tmp_path), "id int").select("id", io.file_date("2024-06-01").alias("d"))
     assert {(r.id, str(r.d)) for r in df.collect()} == {(1, "2024-05-24"), (2, "2024-06-01")}
+    io.write_parquet(df.select("id"), f"file:{tmp_path}/seen_20250101093000.parquet")
+    stored = io.read_parquet(spark, f"file:{tmp_path}/seen_20250101093000.parquet").select(io.file_date("2024-06-01").alias("d"))
+    assert {str(r.d) for r in stored.collect()} == {"2025-01-01"}
     audit = io.ingest_audit(io.read_csv(spark, str(tmp_path), "id int")).collect()
     assert {(r.file_name, r.n_rows) for r in audit} == {("seen_20240524_1.csv", 1), ("seen_later.csv", 1)}
 
