@@ -119,7 +119,7 @@ def scored_reviews(s, d):
 
 
 def fact_store_review(s, d):
-    goods = i.stock(s, d).select("store_name", "store_id", "product_id").distinct()
+    goods = materialize(i.stock(s, d).select("store_name", "store_id", "product_id").distinct(), "goods")
     fact = star.fact_store_review(goods, scored_reviews(s, d), RUN_TS, "doc_id")
     return fact.withColumn("sentiment_score", F.round("sentiment_score", 6))
 

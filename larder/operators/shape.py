@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from larder.session import materialize
+
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
@@ -57,13 +59,20 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_0
 
     Keys with more than ``hot_rows`` left rows are dealt over ceil(rows/hot_rows)
     salts; only the right rows of those keys are repeated, once per salt. The
-    result equals the plain join. At most |left|/hot_rows keys can be hot.
+    result equals the plain join, which is what is used when no key is hot.
+
+    The hot keys (at most |left|/hot_rows of them) are counted first and stored,
+    so that Spark knows their size and need not shuffle either side to look them
+    up. ``left`` is read twice: pass a stored table.
     """
-    hot = (
+    hot = materialize(
         left.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > hot_rows)
-        .select(F.col(key), F.ceil(F.col("_c") / hot_rows).cast("int").alias("_s"))
+        .select(F.col(key), F.ceil(F.col("_c") / hot_rows).cast("int").alias("_s")),
+        "hot",
     )
-    # Whole-row digests of plain columns deal the rows; maps cannot be hashed and are left out.
+    if hot.isEmpty():
+        return left.join(right, key)
+    # Whole-row digests deal the rows; maps cannot be hashed and are left out.
     plain = [c for c, t in left.dtypes if not t.startswith("map")]
     dealt = (
         left.join(hot, key, "left")

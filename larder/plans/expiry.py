@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from larder.functions.dates import parse_iso
 from larder.functions.similarity import keep_content_words
 from larder.operators.fuzzy import best_match
+from larder.session import materialize
 
 # Notification horizon in days.
 DAYS_CONSIDERED = 20
@@ -41,7 +42,10 @@ def expected_expiry(
     in the original job.
     """
     names = purchases.select(F.col("product_name").alias("product")).distinct()
-    life = product_shelf_life(catalogue, names, method, threshold, ignore_words).where("avg_expiry_days > 0")
+    # Stored, so that Spark sees its size and can split hot products in the join below.
+    life = materialize(
+        product_shelf_life(catalogue, names, method, threshold, ignore_words).where("avg_expiry_days > 0"), "life"
+    )
     half = F.ceil(F.col("avg_expiry_days") / 2).cast("int")
     return (
         purchases.join(life, purchases["product_name"] == life["product"])
@@ -63,22 +67,27 @@ def notices(
 
     A customer with more than ``lines_per_notice`` items gets several numbered
     notices: the lines are dealt by a digest of ``line_key`` before they are
-    collected, so no task gathers an unbounded list and no line is lost.
+    collected, so no task gathers an unbounded list and no line is lost. The input
+    is read twice: pass a stored table.
     """
     lines = expiring_items(expiry, as_of, days)
     who = ["email_id", "customer_name"]
-    long_lists = (
+    long_lists = materialize(
         lines.groupBy(*who).agg(F.ceil(F.count("*") / lines_per_notice).cast("int").alias("_parts"))
-        .where("_parts > 1")
+        .where("_parts > 1"),
+        "long",
     )
-    part = F.pmod(F.xxhash64(line_key, "product_name", "expected_expiry_date"), F.coalesce("_parts", F.lit(1)))
+    part = F.lit(0)
+    if not long_lists.isEmpty():
+        lines = lines.join(long_lists, who, "left")
+        dealt = F.xxhash64(line_key, "product_name", "expected_expiry_date")
+        part = F.pmod(dealt, F.coalesce("_parts", F.lit(1))).cast("int")
     item = F.struct("expected_expiry_date", "product_name")
     rows = F.transform("items", lambda i: F.concat(
         F.lit("<tr><td>"), i["product_name"], F.lit("</td><td>"),
         i["expected_expiry_date"].cast("string"), F.lit("</td></tr>")))
     return (
-        lines.join(long_lists, who, "left")
-        .groupBy(*who, part.cast("int").alias("part"))
+        lines.groupBy(*who, part.alias("part"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
         .select(
             *who, "part",

@@ -11,6 +11,7 @@ from larder.functions.dates import calendar_features, parse_iso
 from larder.operators.calendar import add_lags, date_spine, fill_gaps
 from larder.operators.ranking import first_per_key
 from larder.operators.shape import drop_incomplete
+from larder.session import materialize
 
 CALENDAR_FEATURES = ("month", "day", "week", "quarter", "dayofyear")
 # The metrics of the multi-metric series and their lags.
@@ -71,6 +72,8 @@ def store_sales(purchases: DataFrame, customers: DataFrame, inventory: DataFrame
     listed = first_per_key(
         inventory.drop("quantity"), ["product_id"], [F.col("product_name"), F.col("store_id")]
     )
+    # Stored, so that Spark sees its size and can split hot products in the join below.
+    listed = materialize(listed, "listed")
     return (
         purchases.join(listed, "product_id").join(customers, "customer_id")
         .select(
