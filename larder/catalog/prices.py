@@ -53,7 +53,7 @@ def best(s, d):
 
 
 def stats(s, d):
-    return summary(view(s, d), "dynamic_price", 4)
+    return summary(view(s, d), ["dynamic_price", "days_to_expiry", "percentage_consumed"], 4)
 
 
 QUERIES = {
@@ -122,13 +122,16 @@ ORACLES = {
         SELECT id, days_to_expiry, round(dynamic_price, 6) AS dynamic_price,
                round(percentage_decrease, 6) AS percentage_decrease FROM ({_VIEW})""", "offers"),
     "price_summary": with_ctes(f"""
-        , v AS (SELECT dynamic_price AS x FROM ({_VIEW}))
-        SELECT statistic, round(value, 4) AS value FROM (
-            SELECT 'count' AS statistic, CAST(count(x) AS DOUBLE) AS value FROM v
-            UNION ALL SELECT 'mean', avg(x) FROM v UNION ALL SELECT 'std', stddev_samp(x) FROM v
-            UNION ALL SELECT 'min', min(x) FROM v UNION ALL SELECT 'max', max(x) FROM v
-            UNION ALL SELECT '25%', quantile_cont(x, 0.25) FROM v UNION ALL SELECT '50%', quantile_cont(x, 0.5) FROM v
-            UNION ALL SELECT '75%', quantile_cont(x, 0.75) FROM v)""", "offers"),
+        , v AS (SELECT 'dynamic_price' AS c, dynamic_price AS x FROM ({_VIEW})
+                UNION ALL SELECT 'days_to_expiry', days_to_expiry FROM ({_VIEW})
+                UNION ALL SELECT 'percentage_consumed', percentage_consumed FROM ({_VIEW}))
+        SELECT c AS "column", statistic, round(value, 4) AS value FROM (
+            SELECT c, 'count' AS statistic, CAST(count(x) AS DOUBLE) AS value FROM v GROUP BY c
+            UNION ALL SELECT c, 'mean', avg(x) FROM v GROUP BY c UNION ALL SELECT c, 'std', stddev_samp(x) FROM v GROUP BY c
+            UNION ALL SELECT c, 'min', min(x) FROM v GROUP BY c UNION ALL SELECT c, 'max', max(x) FROM v GROUP BY c
+            UNION ALL SELECT c, '25%', quantile_cont(x, 0.25) FROM v GROUP BY c
+            UNION ALL SELECT c, '50%', quantile_cont(x, 0.5) FROM v GROUP BY c
+            UNION ALL SELECT c, '75%', quantile_cont(x, 0.75) FROM v GROUP BY c)""", "offers"),
     "price_metrics": with_ctes(f"""
         SELECT count(*) AS total_items, round(avg(dynamic_price), 4) AS average FROM ({_VIEW})""", "offers"),
     "price_histogram": with_ctes(f"""

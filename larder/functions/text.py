@@ -14,8 +14,8 @@ def squeeze(c: Column) -> Column:
 
 
 def strip_hidden(c: Column) -> Column:
-    """Drop non-printing characters (controls, format marks, odd separators), then trim."""
-    return F.trim(F.regexp_replace(c, r"[\p{C}\p{Zl}\p{Zp}&&[^ ]]|[\p{Zs}&&[^ ]]", ""))
+    """Drop non-printing characters (controls, format marks, all separators but the blank), then trim."""
+    return F.trim(F.regexp_replace(c, r"[\p{C}\p{Z}&&[^ ]]", ""))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -51,24 +51,28 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) ->
     )
 
 
-def ranked_counts(df: DataFrame, value: str) -> DataFrame:
-    """Distinct values with ``n`` rows each and ``before`` rows smaller than them.
+def ranked_counts(df: DataFrame, value: str, within: str) -> DataFrame:
+    """Distinct (group, value) with ``n`` rows each and ``before`` rows of the group below.
 
-    A cumulative distribution for exact quantiles: equal values are collapsed
-    before the range shuffle, so a hot value costs nothing.
+    A cumulative distribution per group, for exact quantiles: equal values are
+    collapsed before the range shuffle, so a hot value costs nothing, and one
+    group may span many partitions. There must be few groups.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(within, value).agg(F.count("*").alias("n"))
     fixed = materialize(
-        counts.repartitionByRange(F.col(value)).withColumn("_part", F.spark_partition_id()), "ranks"
+        counts.repartitionByRange(F.col(within), F.col(value)).withColumn("_part", F.spark_partition_id()), "ranks"
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        fixed.groupBy("_part").agg(F.sum("n").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+
+    def running_start(key: str, name: str) -> DataFrame:
+        # One row per partition or per group.
+        earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        sums = fixed.groupBy(key).agg(F.sum("n").alias("_rows"))
+        return sums.select(key, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(name))
+
+    inside = Window.partitionBy("_part").orderBy(within, value).rowsBetween(Window.unboundedPreceding, -1)
     return (
         fixed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "_part")
-        .select(value, "n", (F.col("_offset") + F.col("_inside")).alias("before"))
+        .join(F.broadcast(running_start("_part", "_offset")), "_part")
+        .join(F.broadcast(running_start(within, "_start")), within)
+        .select(within, value, "n", (F.col("_offset") + F.col("_inside") - F.col("_start")).alias("before"))
     )

@@ -12,39 +12,40 @@ from larder.operators.keys import ranked_counts
 QUARTILES = (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))
 
 
-def summary(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
-    """count, mean, std, min, quartiles and max as (statistic, value) rows.
+def summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """count, mean, std, min, quartiles and max of numeric columns, as
+    (column, statistic, value) rows.
 
     Quartiles interpolate linearly and are exact: they are read off the ranked
-    distinct values, so no task ever holds the whole distribution.
+    distinct values, so no task ever holds a whole distribution. All columns
+    share one pass over the data.
     """
-    ranks = ranked_counts(df, value)
-    total = F.col("_total")
-    mean = F.sum(F.col(value) * F.col("n")) / F.sum("n")
-    with_total = ranks.select(
-        "*", ranks.agg(F.sum("n")).scalar().alias("_total"), ranks.agg(mean).scalar().alias("_mean")
-    )
-    # Each quartile needs the values at two neighbouring ranks.
-    wanted = []
-    for label, p in QUARTILES:
-        at = (total - 1) * F.lit(p)
-        low, high = F.floor(at), F.ceil(at)
-        covers = lambda r: (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
-        lo = F.max(F.when(covers(low), F.col(value)))
-        hi = F.max(F.when(covers(high), F.col(value)))
-        wanted.append((lo + (hi - lo) * F.max(at - low)).alias(label))
-    moments = [
-        F.sum("n").cast("double").alias("count"),
-        mean.alias("mean"),
-        F.sqrt(F.sum(F.col("n") * F.pow(F.col(value) - F.col("_mean"), 2)) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
-        F.min(value).cast("double").alias("min"),
-        F.max(value).cast("double").alias("max"),
-    ]
-    row = with_total.agg(*moments, *wanted)
-    names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    return row.select(*[F.round(F.col(f"`{n}`"), digits).alias(n) for n in names]).unpivot(
-        [], [F.col(f"`{n}`") for n in names], "statistic", "value"
+    tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], [F.col(c) for c in columns], "column", "value"
     )
+    ranks = ranked_counts(tall, "value", "column")
+    value, n = F.col("value"), F.col("n")
+    # One row per column: safe to broadcast.
+    totals = ranks.groupBy("column").agg(F.sum("n").alias("_total"), (F.sum(value * n) / F.sum(n)).alias("_mean"))
+    known = ranks.join(F.broadcast(totals), "column")
+    squares = F.sum(n * F.pow(value - F.col("_mean"), 2))
+    found = {
+        "count": F.max("_total").cast("double"),
+        "mean": F.max("_mean"),
+        "std": F.sqrt(squares / F.nullif(F.max("_total") - 1, F.lit(0))),
+        "min": F.min(value),
+        "max": F.max(value),
+    }
+    for label, share in QUARTILES:
+        # Each quartile lies between the values at two neighbouring ranks.
+        at = (F.col("_total") - 1) * F.lit(share)
+        low, high = (
+            F.max(F.when((F.col("before") <= rank) & (rank < F.col("before") + n), value))
+            for rank in (F.floor(at), F.ceil(at))
+        )
+        found[label] = low + (high - low) * F.max(at - F.floor(at))
+    rows = known.groupBy("column").agg(*[F.round(c, digits).alias(name) for name, c in found.items()])
+    return rows.unpivot(["column"], [F.col(f"`{name}`") for name in found], "statistic", "value")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:

@@ -117,11 +117,13 @@ def test_salted_join_equals_join(spark):
 def test_summary_equals_pandas(spark, seed):
     rng = np.random.default_rng(seed)
     values = np.concatenate([np.full(500, 3.25), rng.normal(0, 5, 777).round(2), [1e6]])
-    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
-    got = {r.statistic: r.value for r in stats.summary(df, "v").collect()}
-    want = pd.Series(values).describe()
-    assert set(got) == set(want.index)
-    assert all(abs(got[k] - want[k]) <= 1e-5 * max(1, abs(want[k])) for k in got)
+    rows = [(float(v), i % 7) for i, v in enumerate(values)] + [(None, None), (None, 3)]
+    df = spark.createDataFrame(rows, "v double, w int").repartition(5)
+    got = {(r.column, r.statistic): r.value for r in stats.summary(df, ["v", "w"]).collect()}
+    for column, k in (("v", 0), ("w", 1)):
+        want = pd.Series([r[k] for r in rows if r[k] is not None], dtype=float).describe()
+        assert {s for c, s in got if c == column} == set(want.index)
+        assert all(abs(got[column, s] - want[s]) <= 1e-5 * max(1, abs(want[s])) for s in want.index)
 
 
 def test_histogram(spark):

@@ -76,3 +76,14 @@ def test_materialize_keeps_schema(spark):
 def test_single_file_and_csv_sink(spark, tmp_path):
     io.write_csv(io.single_file(spark.range(10)), f"file:{tmp_path}/out")
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("larder_left", "larder_right"):
+        io.write_table(spark.range(100).withColumnRenamed("id", "k"), name, buckets=4, bucket_by=["k"],
+                       options={"path": scratch_path(spark, name)})
+    joined = spark.table("larder_left").hint("merge").join(spark.table("larder_right"), "k")
+    assert joined.count() == 100
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    for name in ("larder_left", "larder_right"):
+        spark.sql(f"DROP TABLE {name}")
