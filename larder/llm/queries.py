@@ -3,21 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import simhash
+from larder.llm import line_dedup, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS line_no FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), owners AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT k.doc_id, k.line, k.line_no, o.owner IS NOT NULL AND o.owner <> k.doc_id AS gone
+  FROM keyed k LEFT JOIN owners o ON k.key = o.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_line_dedup": OP2_SQL,
+}
