@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import line_dedup, simhash
+from larder.llm import line_dedup, pieces, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +44,23 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def _model_file(path: str) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    model = _model_file(model_path or public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
 }
 
 ORACLES = {
