@@ -187,20 +187,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.collect_set(F.struct("h1", "h2")).alias("_lost"))
     joined = docs.join(lost, docs[id_col] == lost["_lost_by"], "left").drop("_lost_by")
 
-    def rebuild(batch: pa.RecordBatch) -> list[pa.Array]:
+    def rebuild(texts: list[str], part: pa.RecordBatch) -> list[pa.Array]:
         kept, n_lines, n_dropped = [], [], []
-        for part, texts in pieces(batch, text_col):
-            for text, lost_lines in zip(texts, part.column("_lost")):
-                lines, hashes = line_hashes(text, min_chars)
-                stay = lines
-                if lost_lines.is_valid and len(lost_lines):
-                    pairs = lost_lines.values
-                    packed = np.stack([pairs.field("h1").to_numpy(), pairs.field("h2").to_numpy()], axis=1)
-                    gone = {p.tobytes() for p in packed}
-                    stay = [line for line, h in zip(lines, hashes) if h not in gone]
-                kept.append("\n".join(stay))
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(stay))
+        for text, lost_lines in zip(texts, part.column("_lost")):
+            lines, hashes = line_hashes(text, min_chars)
+            stay = lines
+            if lost_lines.is_valid and len(lost_lines):
+                pairs = lost_lines.values
+                packed = np.stack([pairs.field("h1").to_numpy(), pairs.field("h2").to_numpy()], axis=1)
+                gone = {p.tobytes() for p in packed}
+                stay = [line for line, h in zip(lines, hashes) if h not in gone]
+            kept.append("\n".join(stay))
+            n_lines.append(len(lines))
+            n_dropped.append(len(lines) - len(stay))
         return [pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
 
-    return append_columns(joined, _ADDED, rebuild).drop("_lost")
+    return append_columns(joined, text_col, _ADDED, rebuild).drop("_lost")

@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from larder.llm.rows import append_columns, pieces
+from larder.llm.rows import append_columns, int_lists
 
 #: The mark that stands for a blank in pieces.
 BLANK = "▁"
 #: Chunks a task remembers at least; beyond it those in use are carried over to a new memory.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 
 # Piece types and model kind of the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -332,43 +332,41 @@ def _model(raw: bytes) -> PieceModel:
     return PieceModel(raw)
 
 
-_ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
-                         T.StructField("starts", T.ArrayType(T.IntegerType(), False)), T.StructField("n_bytes", T.LongType())])
-_DECODED = T.StructType([T.StructField("decoded", T.StringType())])
+_ENCODED = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+            T.StructField("starts", T.ArrayType(T.IntegerType(), False)), T.StructField("n_bytes", T.LongType())]
+_DECODED = T.StructField("decoded", T.StringType())
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    flat = np.concatenate(values) if values else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
-
-
-def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids``, ``starts`` and ``n_bytes``; ``model`` is the content of a model file.
 
     Piece i covers the UTF-8 bytes ``starts[i]`` to ``starts[i + 1]`` of the source text, the last
-    one up to ``n_bytes``. Null and empty texts have no pieces. Columns of these names are replaced.
+    one up to ``n_bytes``. Null and empty texts have no pieces. With ``decoded``, the ids' text is
+    added in the same pass, as ``decode`` gives it. Columns of these names are replaced.
     """
 
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        known, ids, starts, sizes = _model(model), [], [], []
-        for _, texts in pieces(batch, text_col):
-            for text in texts:
-                found, edges = known.encode(text)
-                ids.append(found)
-                starts.append(edges[:-1])
-                sizes.append(len(text.encode("utf-8", "replace")))
-        return [_lists(ids), _lists(starts), pa.array(sizes, pa.int64())]
+    def run(texts: list[str], part: pa.RecordBatch) -> list[pa.Array]:
+        known = _model(model)
+        found = [known.encode(t) for t in texts]
+        sizes = pa.array([int(edges[-1]) for _, edges in found], pa.int64())
+        arrays = [int_lists([ids for ids, _ in found]), int_lists([edges[:-1] for _, edges in found]), sizes]
+        if decoded:
+            arrays.append(pa.array([known.decode(ids.tolist()) for ids, _ in found], pa.string()))
+        return arrays
 
-    return append_columns(docs, _ENCODED, run)
+    return append_columns(docs, text_col, T.StructType(_ENCODED + [_DECODED] * decoded), run)
 
 
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; null ids are null, no ids an empty text."""
+    kept = [c for c in encoded.columns if c != "decoded"]
 
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        known, column = _model(model), batch.column(ids_col)
-        return [pa.array([known.decode(column[i].values.to_pylist()) if column[i].is_valid else None for i in range(len(column))],
-                         pa.string())]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _model(model)
+        for batch in batches:
+            texts = [known.decode(ids.values.to_pylist()) if ids.is_valid else None for ids in batch.column(ids_col)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())],
+                                             names=[*kept, "decoded"])
 
-    return append_columns(encoded, _DECODED, run)
+    fields = [f for f in encoded.schema.fields if f.name != "decoded"]
+    return encoded.mapInArrow(run, T.StructType([*fields, _DECODED]))

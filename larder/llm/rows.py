@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -15,15 +16,18 @@ PIECE_CHARS = 2_000_000
 
 def pieces(batch: pa.RecordBatch, text: str, most: int = PIECE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of a batch with their texts (null becomes empty), each about ``most`` characters or one row."""
-    texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
     start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > most:
-            yield batch.slice(start, i - start), texts[start:i]
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()):
+        if i > start and size + n > most:
+            yield _piece(batch.slice(start, i - start), text)
             start, size = i, 0
-        size += len(t)
-    if texts:
-        yield batch.slice(start), texts[start:]
+        size += n
+    if batch.num_rows:
+        yield _piece(batch.slice(start), text)
+
+
+def _piece(part: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
+    return part, ["" if t is None else t for t in part.column(text).to_pylist()]
 
 
 def select_as(df: DataFrame, **columns: str) -> DataFrame:
@@ -31,19 +35,24 @@ def select_as(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(df[source].alias(name) for name, source in columns.items()))
 
 
-def append_columns(df: DataFrame, added: T.StructType, compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """``df`` with columns computed from whole batches; an existing column of the same name is replaced."""
-    kept = df.drop(*added.fieldNames())
+def append_columns(df: DataFrame, text: str, added: T.StructType,
+                   compute: Callable[[list[str], pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``df`` with columns computed from its texts, piece by piece; an existing column of the same name is replaced."""
     names = added.fieldNames()
-    kept_names = kept.columns
+    kept_names = [c for c in df.columns if c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            arrays = compute(batch)
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept_names] + arrays, names=kept_names + names)
+            for part, texts in pieces(batch, text):
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in kept_names] + compute(texts, part),
+                                                 names=kept_names + names)
 
-    return kept.mapInArrow(run, T.StructType(kept.schema.fields + added.fields))
+    fields = [f for f in df.schema.fields if f.name not in names]
+    return df.mapInArrow(run, T.StructType(fields + added.fields))
 
 
-def utc_text(stamp: datetime.datetime) -> str:
-    return stamp.strftime("%Y-%m-%dT%H:%M:%SZ")
+def int_lists(values: list[np.ndarray]) -> pa.Array:
+    """One list of 32-bit integers for each array."""
+    edges = np.zeros(len(values) + 1, np.int32)
+    np.cumsum([len(v) for v in values], out=edges[1:])
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate([np.zeros(0, np.int32), *values]).astype(np.int32)))
