@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import line_dedup, pieces, simhash
+from larder.llm import fingerprint, line_dedup, pieces, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
@@ -51,16 +57,24 @@ def _model_file(path: str) -> bytes:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     model = _model_file(model_path or public_tokenizers.path("piece_bpe_32k.model"))
-    coded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    coded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    tokenizer = _model_file(tokenizer_path or public_tokenizers.path("word_bpe_49k.json")).decode()
+    counted = token_counts.prefix_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_token_counts": op8_token_counts,
 }
 
 ORACLES = {
