@@ -27,7 +27,9 @@ from larder.llm.rows import append_columns, int_lists
 #: The mark that stands for a blank in pieces.
 BLANK = "▁"
 #: Chunks a task remembers at least; beyond it those in use are carried over to a new memory.
-REMEMBERED = 120_000
+REMEMBERED = 250_000
+#: What a pair costs that is no piece.
+NEVER = float("inf")
 
 # Piece types and model kind of the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -122,7 +124,7 @@ class PieceModel:
             raise ValueError("only byte-pair models of normal pieces with escaped, leading blanks are supported")
         self.map = CharacterMap(compiled)
         self.ids = {t: i for i, t in enumerate(self.texts) if self.types[i] == NORMAL}
-        self.scores = {t: scores[i] for t, i in self.ids.items()}
+        self.costs = {t: -scores[i] for t, i in self.ids.items()}
         self.unknown_id = self.types.index(UNKNOWN)
         self.byte_ids = {int(t[3:5], 16): i for i, t in enumerate(self.texts) if self.types[i] == BYTE}
         # A blank starts a chunk unless some piece holds one after another character.
@@ -140,8 +142,10 @@ class PieceModel:
         self.surfaces[self.unknown_id] = self.unknown.encode()
         for byte, i in self.byte_ids.items():
             self.surfaces[i] = bytes([byte])
-        self.remembered: dict[str, list[int]] = {}
-        self.former: dict[str, list[int]] = {}
+        self.is_byte = [t == BYTE for t in self.types]
+        self.plain_decoding = self.dummy_prefix and not self.remove_extra
+        self.remembered: dict[str, tuple[int, ...]] = {}
+        self.former: dict[str, tuple[int, ...]] = {}
 
     # Normalising
 
@@ -199,27 +203,24 @@ class PieceModel:
 
     # Merging
 
-    def merge(self, chunk: str) -> list[int]:
+    def merge(self, chunk: str) -> tuple[int, ...]:
         """Ids of one chunk: the pair with the best score merges first, the leftmost of equals."""
-        whole = self._merge_symbols(list(chunk))
-        found = []
-        for symbol in whole:
-            known = self.ids.get(symbol)
-            if known is not None:
-                found.append(known)
-            elif self.byte_fallback:
-                found.extend(self.byte_ids[b] for b in symbol.encode())
-            else:
-                found.append(self.unknown_id)
-        return found
+        symbols, ids = self._merge_symbols(list(chunk)), self.ids
+        try:
+            return tuple([ids[s] for s in symbols])
+        except KeyError:
+            return tuple(chain.from_iterable([(ids[s],) if s in ids else self._unknown(s) for s in symbols]))
+
+    def _unknown(self, symbol: str) -> list[int]:
+        return [self.byte_ids[b] for b in symbol.encode()] if self.byte_fallback else [self.unknown_id]
 
     def _merge_symbols(self, symbols: list) -> list[str]:
-        scores, count = self.scores, len(symbols)
+        costs, count = self.costs, len(symbols)
         if count < 24:
             return self._merge_short(symbols)
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
-        agenda = [(-scores[symbols[i] + symbols[i + 1]], i, symbols[i] + symbols[i + 1])
-                  for i in range(count - 1) if symbols[i] + symbols[i + 1] in scores]
+        agenda = [(costs[symbols[i] + symbols[i + 1]], i, symbols[i] + symbols[i + 1])
+                  for i in range(count - 1) if symbols[i] + symbols[i + 1] in costs]
         heapq.heapify(agenda)
         while agenda:
             _, i, joined = heapq.heappop(agenda)
@@ -230,28 +231,29 @@ class PieceModel:
             if after[i] < count:
                 before[after[i]] = i
                 pair = joined + symbols[after[i]]
-                if pair in scores:
-                    heapq.heappush(agenda, (-scores[pair], i, pair))
+                if pair in costs:
+                    heapq.heappush(agenda, (costs[pair], i, pair))
             if before[i] >= 0:
                 pair = symbols[before[i]] + joined
-                if pair in scores:
-                    heapq.heappush(agenda, (-scores[pair], before[i], pair))
+                if pair in costs:
+                    heapq.heappush(agenda, (costs[pair], before[i], pair))
         return [s for s in symbols if s is not None]
 
     def _merge_short(self, symbols: list) -> list[str]:
-        scores = self.scores
-        pairs = [scores.get(a + b) for a, b in zip(symbols, symbols[1:])]
-        while True:
-            best = max((s for s in pairs if s is not None), default=None)
-            if best is None:
-                return symbols
+        cost = self.costs.get
+        pairs = [cost(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == NEVER:
+                break
             i = pairs.index(best)
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            joined = symbols[i] = symbols[i] + symbols.pop(i + 1)
             del pairs[i]
             if i < len(pairs):
-                pairs[i] = scores.get(symbols[i] + symbols[i + 1])
+                pairs[i] = cost(joined + symbols[i + 1], NEVER)
             if i:
-                pairs[i - 1] = scores.get(symbols[i - 1] + symbols[i])
+                pairs[i - 1] = cost(symbols[i - 1] + joined, NEVER)
+        return symbols
 
     def ids_of(self, normalised: str) -> list[int]:
         """Ids of a normalised text, each unknown character by itself."""
@@ -290,6 +292,12 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: byte pieces in a row are read as UTF-8, each byte that is no part of it as U+FFFD."""
+        if ids and self.plain_decoding and self.types[ids[0]] == NORMAL:
+            try:
+                # Text pieces are whole characters, so all is valid only if each run of bytes is.
+                return b"".join([self.surfaces[i] for i in ids]).decode().removeprefix(" ")
+            except UnicodeDecodeError:
+                pass
         surfaces, byte = self.surfaces, self.is_byte
         drop = self.dummy_prefix or self.remove_extra
         raw, texts, start = [], [], True
@@ -311,12 +319,6 @@ class PieceModel:
             texts.append(_utf8(b"".join(raw)))
         return b"".join(texts).decode("utf-8", "replace")
 
-    @property
-    def is_byte(self) -> list[bool]:
-        if not hasattr(self, "_is_byte"):
-            self._is_byte = [t == BYTE for t in self.types]
-        return self._is_byte
-
 
 def _utf8(raw: bytes) -> bytes:
     """Bytes with every one that belongs to no character replaced by U+FFFD."""
