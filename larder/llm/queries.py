@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import fingerprint, line_dedup, pieces, simhash, token_counts
+from larder.llm import decontaminate, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
+from larder.session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -39,6 +44,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
@@ -63,20 +74,54 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
     tokenizer = _model_file(tokenizer_path or public_tokenizers.path("word_bpe_49k.json")).decode()
     counted = token_counts.prefix_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    legacy = warc.write_arc(_table(spark, sf_dir, "pages"))
+    archives = materialize(warc.convert(legacy), "warc")
+    return warc.records(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
+    "op9_warc": op9_warc,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
+    "op9_warc": OP9_SQL,
 }
