@@ -1,25 +1,64 @@
-"""Documents to training tokens: each stage reads what the one before it kept and wrote."""
+"""Documents to training tokens: each stage works on what the one before it kept and wrote."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import simhash
+from larder.llm import decontaminate, line_dedup, pieces, simhash, toxicity
 from larder.session import materialize
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``gone``; rows without an id stay."""
+    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, fitted on the labels of these documents, takes for toxic go."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).where("not is_toxic").select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the lines that a document with a smaller id has; ``n_chars`` follows. No document goes."""
+    found = line_dedup.dedup_lines(docs)
+    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
+    new = found.withColumn("n_chars", F.length(text).cast("long")) if "n_chars" in docs.columns else found
+    return new.withColumn("text", text).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
     found = simhash.near_duplicates(docs, shingle_words=3, max_distance=2)
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return _without(docs, found.where("doc_id <> component_id"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item go."""
+    return _without(docs, decontaminate.overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and their digests: that of the ids, and that of the text they decode to."""
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    coded = pieces.encode(docs.select("doc_id", "text"), model, decoded=True)
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
-    ("simhash_near_dedup", near_dedup),
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", tokenize),
 ]
 
-#: The stages train models and run tokenizers, which SQL cannot express; tests hold them against brute force.
+#: The stages train a model and run a tokenizer, which SQL cannot express; a test holds run() against brute force.
 ORACLE_SQL = None
 
 
