@@ -23,6 +23,14 @@ def closest(s, d):
     return found.select("point_id", "store_id", "store_name", "full_address", F.round("distance_km", 3).alias("distance_km"))
 
 
+def closest_by_customer(s, d):
+    """The stores closest to every customer's place."""
+    places = i.locations(s, d).select("location_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    points = i.customer_location(s, d).join(places, "location_id").select(F.col("customer_id").alias("point_id"), "lat", "lon")
+    found = closest_stores(i.stock(s, d), _places(s, d), points)
+    return found.select(F.col("point_id").alias("customer_id"), "store_id", F.round("distance_km", 3).alias("distance_km"))
+
+
 def baskets(s, d):
     """Each store lists ten product ids derived from its key; unknown ids find no product."""
     ids = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda n: F.col("s_suppkey") * 10 + n * 3)
@@ -53,6 +61,7 @@ def raw_establishments(s, d):
 
 QUERIES = {
     "closest_stores": closest,
+    "closest_stores_by_customer": closest_by_customer,
     "map_centre": lambda s, d: map_centre(_places(s, d).withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")}), 4),
     "store_deals_search": lambda s, d: store_deals(i.stock(s, d), "Supplier#000000003", "RING"),
     "all_deals_search": lambda s, d: store_deals(i.stock(s, d), "Show All", "gizmo").groupBy("store_name").agg(F.count("*").alias("n")),
@@ -79,6 +88,13 @@ ORACLES = {
               FROM (SELECT DISTINCT store_id, store_name FROM stock) JOIN clean_est ON id = store_id,
                    (VALUES ('plaza', 41.3899, 2.1146), ('harbour', 38.5, 0.25), ('hill', 43.9, 4.9)) p(point_id, lat, lon))
         QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY {_KM}, store_id) <= 5""", "stock", "clean_est"),
+    "closest_stores_by_customer": with_ctes(f"""
+        SELECT customer_id, store_id, round({_KM}, 3) AS distance_km
+        FROM (SELECT *, pow(sin(radians(CAST(e.latitude AS DOUBLE) - lat) / 2), 2) + cos(radians(lat)) * cos(radians(CAST(e.latitude AS DOUBLE)))
+                     * pow(sin(radians(CAST(e.longitude AS DOUBLE) - lon) / 2), 2) AS h
+              FROM (SELECT DISTINCT store_id FROM stock) JOIN clean_est e ON id = store_id,
+                   (SELECT customer_id, latitude AS lat, longitude AS lon FROM customer_location JOIN locations USING (location_id)))
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY {_KM}, store_id) <= 5""", "stock", "clean_est", "customer_location", "locations"),
     "map_centre": with_ctes("""
         SELECT round(avg(CAST(latitude AS DOUBLE)), 4) AS latitude, round(avg(CAST(longitude AS DOUBLE)), 4) AS longitude FROM clean_est""", "clean_est"),
     "store_deals_search": with_ctes("""

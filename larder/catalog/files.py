@@ -31,6 +31,39 @@ def json_roundtrip(s, d):
     return io.json_to_parquet(s, path, scratch_path(s, "parquet"), "s_suppkey long, s_name string, s_acctbal double", lines=True)
 
 
+def json_array(s, d):
+    """A hundred suppliers to a file, each file one array of records over several lines."""
+    path = scratch_path(s, "array")
+    record = F.to_json(F.struct("s_suppkey", "s_name", "s_acctbal"))
+    arrays = _suppliers(s, d).groupBy(F.floor(F.col("s_suppkey") / 100).alias("file")).agg(F.collect_list(record).alias("records"))
+    # A text row is a line: one array per row, and a row per file.
+    text = arrays.select(F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]")).alias("value"), "file")
+    text.repartition("file").write.partitionBy("file").text(path)
+    return io.json_to_parquet(s, path, scratch_path(s, "parquet"), "s_suppkey long, s_name string, s_acctbal double",
+                              pathGlobFilter="*.txt", recursiveFileLookup=True)
+
+
+def locked_files(s, d):
+    """A folder in which one file is somebody's lock: its rows, were they read, would count twice."""
+    path = scratch_path(s, "locked")
+    io.write_csv(_suppliers(s, d), path)
+    hadoop = s._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(s._jsc.hadoopConfiguration())
+    data = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    for file in data:
+        lock = hadoop.Path(folder, ".~lock." + file.getName())
+        hadoop.FileUtil.copy(files, file, files, lock, False, s._jsc.hadoopConfiguration())
+    return io.read_csv(s, path, "s_suppkey long, s_name string, s_acctbal double")
+
+
+def single_file_output(s, d):
+    path = scratch_path(s, "single")
+    io.write_parquet(io.single_file(_suppliers(s, d).repartition(4)), path)
+    rows = io.read_parquet(s, path)
+    return rows.agg(F.countDistinct("_metadata.file_name").cast("int").alias("n_files"), F.count("*").alias("n_rows"))
+
+
 def _two_runs(s, d):
     base = scratch_path(s, "orders")
     io.write_snapshot(_days(s, d), base, "20240501000000")
@@ -56,10 +89,11 @@ def seen_dates(s, d):
     """Every row takes the date in the name of the table it came from; one table has none."""
     base = scratch_path(s, "seen")
     orders = table(s, d, "orders")
-    names = {"O": "seen_20240524101500", "F": "seen_20240525101500", "P": "seen_undated"}
-    for status, name in names.items():
-        io.write_parquet(orders.where(F.col("o_orderstatus") == status).select("o_orderkey"), f"{base}/{name}.parquet")
-    files = io.read_parquet(s, [f"{base}/{name}.parquet" for name in names.values()])
+    state = F.coalesce("o_orderstatus", F.lit(""))
+    names = {"seen_20240524101500": state == "O", "seen_20240525101500": state == "F", "seen_undated": ~state.isin("O", "F")}
+    for name, which in names.items():
+        io.write_parquet(orders.where(which).select("o_orderkey"), f"{base}/{name}.parquet")
+    files = io.read_parquet(s, [f"{base}/{name}.parquet" for name in names])
     return files.select("o_orderkey", io.file_date("2024-06-01").alias("seen_on"))
 
 
@@ -92,6 +126,9 @@ def declared(s, d):
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
+    "json_array_roundtrip": json_array,
+    "locked_files": locked_files,
+    "single_file_output": single_file_output,
     "snapshot_latest": lambda s, d: io.read_snapshots(s, _two_runs(s, d)),
     "snapshot_all": lambda s, d: io.read_snapshots(s, _two_runs(s, d), "all"),
     "staged_replace": replaced,
@@ -113,7 +150,10 @@ ORACLES = {
     "ingest_audit": "SELECT count(*) AS n_rows, true AS no_empty_file FROM orders",
     "file_dates": """
         SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN DATE '2024-05-24' WHEN 'F' THEN DATE '2024-05-25' ELSE DATE '2024-06-01' END AS seen_on
-        FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')""",
+        FROM orders""",
+    "json_array_roundtrip": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "locked_files": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "single_file_output": "SELECT 1 AS n_files, count(*) AS n_rows FROM supplier",
     "table_overwrite": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
     "partitioned_write": """
         SELECT CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n FROM orders

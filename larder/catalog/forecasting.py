@@ -1,38 +1,70 @@
-"""Forecasts. Iterative fits have no SQL twin; tests check their invariants."""
+"""Forecasts. Tree fits and tuning have no SQL twin; tests check their invariants."""
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from larder.catalog.inputs import table
-from larder.catalog.sales import dated_lines, lag_features, order_days
+from larder.catalog.sales import ORACLES as ORACLES_OF_SALES, dated_lines, lag_features, order_days
+from larder.operators.calendar import date_spine
 from larder.plans import forecast, series
-from larder.plans.forecast import ModelSettings
+from larder.session import materialize
 
 TRAIN_UNTIL = "2000-12-31"
-# Smaller than the defaults so that a run on one machine stays short.
-QUICK = ModelSettings(iterations=50, depth=6, trees=20, boosts=10)
-QUICK_GRIDS = {
-    "linear": {"regParam": (0.01, 0.5), "elasticNetParam": (0.0, 1.0)},
-    "tree": {"maxDepth": (3, 5)},
-}
 
 
 def selection(s, d):
-    return forecast.select_model(order_days(s, d), "date", "total_sales", TRAIN_UNTIL, QUICK).table(s)
+    return forecast.select_model(order_days(s, d), "date", "total_sales", TRAIN_UNTIL).table(s)
 
 
 def ranged(s, d):
     daily = order_days(s, d)
-    best = forecast.select_model(daily, "date", "total_sales", TRAIN_UNTIL, QUICK)
+    best = forecast.select_model(daily, "date", "total_sales", TRAIN_UNTIL)
     return forecast.forecast_range(daily, "date", "total_sales", best.model, "2001-09-01", "2002-08-31")
 
 
-def tuned(s, d):
-    features = [f"total_sales_lag_{k}" for k in range(1, series.LAG_STEPS + 1)]
-    return forecast.tune(lag_features(s, d), "date", "total_sales", features, "2001-01-01",
-                         models=("linear", "tree"), folds=3, grids=QUICK_GRIDS)
+def _lags(metric):
+    return [f"{metric}_lag_{k}" for k in range(1, series.LAG_STEPS + 1)]
+
+
+def tuned(metric):
+    """All models over their whole grids, for one metric of the daily series."""
+    return lambda s, d: forecast.tune(materialize(lag_features(s, d), "lags"), "date", metric, _lags(metric), "2001-01-01")
+
+
+def lag_vectors(s, d):
+    """The lagged values of a day as one vector, written out."""
+    made = series.lag_vector(lag_features(s, d), "unique_customers")
+    return made.select("date", F.array_join(F.transform(vector_to_array("features"), lambda x: x.cast("int").cast("string")), ",").alias("features"))
+
+
+def fold_numbers(s, d):
+    train = lag_features(s, d).where("date < DATE '2001-01-01'")
+    return forecast.with_folds(train.select("date"), "date", 5, "fold")
+
+
+def lag_measures(s, d):
+    """How well yesterday's sales predict today's."""
+    return forecast.regression_measures(lag_features(s, d), "total_sales", "total_sales_lag_1", 4)
+
+
+def linear_range(s, d):
+    """A straight line through the daily sales by day number, drawn into the future."""
+    day = F.datediff("date", F.lit("2000-01-01").cast("date")).cast("double")
+    daily = order_days(s, d).withColumn("day", day)
+    ready = series.as_vector(daily, ["day"])
+    model = LinearRegression(featuresCol="features", labelCol="total_sales", solver="normal").fit(ready)
+    ahead = series.as_vector(date_spine(s, "2001-09-01", "2001-12-31").withColumn("day", day), ["day"])
+    return model.transform(ahead).select("date", F.round("prediction", 3).alias("value"))
+
+
+def seasonal_features(s, d):
+    """The trend and waves of each day, summed with their numbers as weights."""
+    made = forecast.seasonal_columns(F.datediff("date", F.lit("2000-01-01").cast("date")))
+    total = sum((c * k for k, c in enumerate(made.values(), 1)), F.lit(0.0))
+    return order_days(s, d).select("date", F.lit(len(made)).alias("n_columns"), F.round(total, 5).alias("weighted"))
 
 
 def seasonal_by_place(s, d):
@@ -49,12 +81,48 @@ QUERIES = {
     "feature_vector": vectors,
     "model_select": selection,
     "forecast_range": ranged,
-    "cv_tuning": tuned,
+    **{f"cv_tuning_{m}": tuned(m) for m in series.METRICS},
+    "lag_vector": lag_vectors,
+    "fold_numbers": fold_numbers,
+    "regression_metrics": lag_measures,
+    "linear_forecast_range": linear_range,
+    "seasonal_features": seasonal_features,
     "seasonal_forecast": lambda s, d: forecast.seasonal_forecast(order_days(s, d), "date", "total_sales", 365),
     "seasonal_forecast_by_location": seasonal_by_place,
 }
 
+_LAGGED = ORACLES_OF_SALES["lag_features"]
+_DAYS = "SELECT CAST(o_orderdate AS DATE) AS date, round(sum(o_totalprice), 2) AS total_sales FROM orders GROUP BY 1"
+
+
+def _waves(day: str) -> list[str]:
+    """The seasonal columns in SQL: trend, then sine and cosine of each wave of each season."""
+    found = [f"{day} / 365.25"]
+    for period, waves in ((365.25, 10), (7.0, 3), (30.0, 5)):
+        for k in range(1, waves + 1):
+            found += [f"{f}({day} * 2 * pi() * {k} / {period})" for f in ("sin", "cos")]
+    return found
+
+
+_WAVES = _waves("date_diff('day', DATE '2000-01-01', date)")
+
 ORACLES = {
+    "lag_vector": f"""
+        SELECT date, concat_ws(',', unique_customers_lag_1, unique_customers_lag_2, unique_customers_lag_3) AS features FROM ({_LAGGED})""",
+    "fold_numbers": f"""
+        SELECT date, CAST(ntile(5) OVER (ORDER BY date) - 1 AS INTEGER) AS fold FROM ({_LAGGED}) WHERE date < DATE '2001-01-01'""",
+    "regression_metrics": f"""
+        SELECT round(avg(abs(y - p)), 4) AS mae, round(avg(pow(y - p, 2)), 4) AS mse, round(sqrt(avg(pow(y - p, 2))), 4) AS rmse,
+               round(1 - sum(pow(y - p, 2)) / sum(pow(y - m, 2)), 4) AS r2
+        FROM (SELECT total_sales AS y, total_sales_lag_1 AS p, avg(total_sales) OVER () AS m FROM ({_LAGGED}))""",
+    "linear_forecast_range": f"""
+        SELECT CAST(d AS DATE) AS date, round(intercept + slope * date_diff('day', DATE '2000-01-01', CAST(d AS DATE)), 3) AS value
+        FROM (SELECT regr_slope(total_sales, x) AS slope, regr_intercept(total_sales, x) AS intercept
+              FROM (SELECT total_sales, CAST(date_diff('day', DATE '2000-01-01', date) AS DOUBLE) AS x FROM ({_DAYS}))),
+             generate_series(DATE '2001-09-01', DATE '2001-12-31', INTERVAL 1 DAY) g(d)""",
+    "seasonal_features": f"""
+        SELECT date, {len(_WAVES)} AS n_columns, round({' + '.join(f'{k} * ({w})' for k, w in enumerate(_WAVES, 1))}, 5) AS weighted
+        FROM ({_DAYS})""",
     "feature_vector": """
         SELECT date, concat_ws(',', month(date), day(date), weekofyear(date), quarter(date), dayofyear(date)) AS features
         FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)""",

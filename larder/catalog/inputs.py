@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def digest_sql(*columns: str) -> str:
+    """The digest of ``content_key`` in SQL."""
+    cells = [f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in columns]
+    return f"md5({' || '.join(cells)})"
+
+
 def with_ctes(body: str, *names: str) -> str:
     """A statement over the named grocery tables, with the tables they build on."""
     needed: list[str] = []
@@ -209,8 +215,8 @@ SQL = {
                format('{:,.2f}', p_retailprice) AS unit_price, CAST(l_quantity AS INTEGER) AS quantity,
                strftime(o_orderdate, '%Y-%m-%d') AS purchase_date
         FROM sold_parts JOIN customer ON o_custkey = c_custkey""",
-    "clean_purch": """
-        SELECT md5(concat_ws(chr(31), customer_id, customer_name, product_name, unit_price, quantity, purchase_date)) AS id,
+    "clean_purch": f"""
+        SELECT {digest_sql('customer_id', 'customer_name', 'product_name', 'unit_price', 'quantity', 'purchase_date')} AS id,
                customer_id, customer_name, product_name, replace(unit_price, ',', '') AS unit_price, quantity, purchase_date
         FROM (SELECT DISTINCT * FROM purchases)""",
     "stock": """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.catalog import inputs as i
 from larder.catalog.inputs import table, with_ctes
-from larder.functions.similarity import shared_tokens
+from larder.functions.similarity import match_score, shared_tokens
 from larder.operators.filters import excluding
 from larder.operators.fuzzy import best_match
 from larder.plans import catalogue, expiry
@@ -143,9 +143,14 @@ def matched(s, d, method):
     return best_match(names_catalogue(s, d), bought, "product_name", "product", method)
 
 
+def match_scores(s, d):
+    """How alike a product's name is to one put together from its own words, 0 below 60."""
+    other = F.concat(F.element_at(F.split("p_name", " "), -1), F.lit(" "), F.lower("p_type"))
+    return table(s, d, "part").select("p_partkey", match_score(F.col("p_name"), other, "ratio", 60).alias("score"))
+
+
 def notices(s, d):
-    # The notices read their input twice, so the job's output is stored first, as in production.
-    lines = expiry.notices(materialize(expected(s, d), "expiry"), NOTICE_DAY)
+    lines = expiry.notices(expected(s, d), NOTICE_DAY)
     return lines.select(
         "email_id", "customer_name", "part", "n_items", F.array_join("product_name", ", ").alias("products"),
         F.array_join(F.transform("expected_expiry_date", lambda x: x.cast("string")), ", ").alias("dates"), "html",
@@ -159,6 +164,8 @@ def perishability_page(s, d):
 
 QUERIES = {
     "catalogue_union": lambda s, d: catalogue.all_products(british(s, d), indian(s, d), food(s, d)),
+    "catalogue_ids_unique": lambda s, d: catalogue.all_products(british(s, d), indian(s, d), food(s, d)).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("product_id").alias("n_ids")),
     "price_text_parse": lambda s, d: catalogue.british_products(british(s, d)).select("product_name", "price", "product_description"),
     "exclude_categories": lambda s, d: excluding(food(s, d), "category", catalogue.NON_FOOD),
     "shelf_life_dates": shelf_dates,
@@ -169,6 +176,8 @@ QUERIES = {
     "fuzzy_match": lambda s, d: matched(s, d, "levenshtein"),
     "fuzzy_match_partial": lambda s, d: matched(s, d, "partial_token_sort_ratio"),
     "fuzzy_match_ratio": lambda s, d: matched(s, d, "ratio"),
+    "fuzzy_match_token_set": lambda s, d: matched(s, d, "partial_token_set_ratio"),
+    "match_score": match_scores,
     "token_overlap": lambda s, d: table(s, d, "part").select(
         "p_partkey", shared_tokens(F.col("p_name"), F.concat(F.lit("small red "), F.lower("p_type"), F.lit(" ring"))).alias("shared")),
     "expected_expiry": expected,
@@ -257,8 +266,10 @@ EXPECTED = f"""
 
 ORACLES = {
     "catalogue_union": f"""
-        SELECT md5(concat_ws(chr(31), product_name, price, product_description)) AS product_id, product_name, price, product_description
+        SELECT row_number() OVER (ORDER BY product_name NULLS FIRST, price NULLS FIRST, product_description NULLS FIRST) AS product_id,
+               product_name, price, product_description
         FROM ({CATALOGUE})""",
+    "catalogue_ids_unique": f"SELECT count(*) AS n_rows, count(*) AS n_ids FROM ({CATALOGUE})",
     "price_text_parse": f"SELECT product_name, price, product_description FROM ({BRITISH})",
     "exclude_categories": """
         SELECT p_name AS product, p_type AS category, p_retailprice AS sale_price, p_brand AS description

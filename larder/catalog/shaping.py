@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.catalog.inputs import table
+from larder.catalog.inputs import digest_sql, table
 from larder.functions.text import blank_to_null, contains_ci, strip_hidden, title_words
 from larder.operators.filters import within
 from larder.operators.keys import content_key, dense_key
@@ -102,7 +102,7 @@ ORACLES = {
         UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part""",
     "split_explode": """
         SELECT p_partkey, p_type AS piece FROM part UNION ALL SELECT p_partkey, unnest(string_split(p_name, ' ')) FROM part""",
-    "content_key": "SELECT o_orderkey, md5(concat_ws(chr(31), o_orderkey, o_orderpriority)) AS row_key FROM orders",
+    "content_key": f"SELECT o_orderkey, {digest_sql('o_orderkey', 'o_orderpriority')} AS row_key FROM orders",
     "dense_key": """
         SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity,
                row_number() OVER (ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS row_id FROM lineitem""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.catalog import inputs as i
-from larder.catalog.inputs import AS_OF, RUN_TS, with_ctes
+from larder.catalog.inputs import AS_OF, RUN_TS, digest_sql, with_ctes
 from larder.operators.stats import match_audit
 from larder.plans import cleaning, kpis, star
 from larder.plans.pricing import price_unsold, resale_offers
@@ -231,12 +231,12 @@ ORACLES = {
         LEFT JOIN dim_customers c ON c.customer_id = o_custkey""",
         "sold_parts", "dim_stores", "dim_products", "dim_dates", "dim_customers"),
     "fact_store_review": with_ctes(f"""
-        SELECT md5(concat_ws(chr(31), store_id, product_id, doc_id)) AS review_id, store_id, product_id,
+        SELECT {digest_sql('store_id', 'product_id', 'doc_id')} AS review_id, store_id, product_id,
                strftime(day, '%Y%m%d') AS date_id, sentiment_label, round(sentiment_score, 6) AS sentiment_score, {_STAMP}
         FROM (SELECT DISTINCT store_name, store_id, product_id FROM stock) JOIN scored ON store_name = business_name""",
         "stock", "scored"),
     "fact_customer_review": with_ctes(f"""
-        SELECT md5(concat_ws(chr(31), id, doc_id)) AS review_id, customer_id, product_id,
+        SELECT {digest_sql('id', 'doc_id')} AS review_id, customer_id, product_id,
                replace(purchase_date, '-', '') AS date_id, sentiment_label,
                round(sentiment_score, 6) AS sentiment_score, {_STAMP}
         FROM clean_purch JOIN scored ON customer_name = user_name JOIN dim_products USING (product_name)""",

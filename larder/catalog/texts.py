@@ -101,7 +101,7 @@ def spec_pairs(s, d):
 def sentiment_model(s, d):
     docs, labels = table(s, d, "documents"), table(s, d, "labels")
     labelled = docs.join(labels, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
-    model = fit_sentiment(labelled, "text", "label", features=1 << 12)
+    model = fit_sentiment(labelled, "text", "label")
     return apply_sentiment(model, docs.select("doc_id", "text")).select("doc_id", "sentiment_label", F.round("sentiment_score", 6).alias("sentiment_score"))
 
 

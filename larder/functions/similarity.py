@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
@@ -95,8 +96,27 @@ _SCORERS: dict[str, Callable[[str, str], int]] = {
 }
 
 
-def score(a: Column, b: Column, method: str) -> Column:
-    """Score two texts already in ``comparable`` form."""
+def _letter_counts(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Row of each text in a table of letter counts of the distinct texts; letters share 64 columns."""
+    codes, distinct = pd.factorize(texts)
+    points = [np.frombuffer(t.encode("utf-32-le"), np.uint32) & 63 for t in distinct]
+    return codes, np.array([np.bincount(p, minlength=64) for p in points]).reshape(-1, 64)
+
+
+def _score_limits(left: pd.Series, right: pd.Series, method: str) -> np.ndarray:
+    """No pair can score more: letters in common, whatever their order, over the letters compared."""
+    (a_row, a), (b_row, b) = _letter_counts(left), _letter_counts(right)
+    common = np.minimum(a[a_row], b[b_row]).sum(axis=1)
+    a_size, b_size = a.sum(axis=1)[a_row], b.sum(axis=1)[b_row]
+    compared = (a_size + b_size) / 2 if method == "ratio" else np.minimum(a_size, b_size)
+    return np.where(compared > 0, 100 * common / np.maximum(compared, 0.5), 100)
+
+
+def score(a: Column, b: Column, method: str, threshold: int = 0) -> Column:
+    """Score two texts already in ``comparable`` form; a score below the threshold may be given as 0.
+
+    Pairs whose letters cannot reach the threshold are settled for a whole batch at once.
+    """
     if method == "levenshtein":
         return levenshtein_ratio(a, b)
     scorer = _SCORERS[method]
@@ -104,12 +124,17 @@ def score(a: Column, b: Column, method: str) -> Column:
     @F.pandas_udf("int")
     def batched(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for left, right in parts:
-            yield pd.Series([scorer(x, y) for x, y in zip(left, right)], dtype="int32")
+            found = np.zeros(len(left), np.int32)
+            # A shared word counts as a whole in the token set method, and scores are rounded.
+            may = np.ones(len(left), bool) if method == "partial_token_set_ratio" else _score_limits(left, right, method) >= threshold - 0.5
+            for i in np.flatnonzero(may):
+                found[i] = scorer(left.iat[i], right.iat[i])
+            yield pd.Series(found)
 
     return batched(a, b)
 
 
 def match_score(a: Column, b: Column, method: str = "partial_token_sort_ratio", threshold: int = 80) -> Column:
     """Score of two texts, 0 when below the threshold or when either is missing."""
-    value = score(comparable(F.coalesce(a, F.lit("")), method), comparable(F.coalesce(b, F.lit("")), method), method)
+    value = score(comparable(F.coalesce(a, F.lit("")), method), comparable(F.coalesce(b, F.lit("")), method), method, threshold)
     return F.when(a.isNotNull() & b.isNotNull() & (value >= threshold), value).otherwise(0)

@@ -94,8 +94,8 @@ INGREDIENT_UNITS = (
     "g", "oz", "ml", "tsp", "tbs", "cups", "pint", "quart", "l", "lb", "kg",
     "teaspoon", "tablespoon", "medium", "cup", "/", "-",
 )
-# Other ingredient fragments removed.
-INGREDIENT_FRAGMENTS = (r"¼\s*", r"½\s*", r"¾\s*", "to serve", r"Handful\s*")
+# Fixed value: other ingredient fragments removed.
+INGREDIENT_FRAGMENTS = r"¼\s*|½\s*|¾\s*|to serve|Handful\s*"
 
 
 def clean_ingredients(ingredients: Column, compat: bool = False) -> Column:
@@ -107,6 +107,6 @@ def clean_ingredients(ingredients: Column, compat: bool = False) -> Column:
     """
     units = [u if compat or not u.isalpha() else u + r"\b" for u in INGREDIENT_UNITS]
     amount = r"\d+\s*(?:" + "|".join(units) + r")?\s*"
-    pattern = "(?iu)" + "|".join((amount, *INGREDIENT_FRAGMENTS))
+    pattern = f"(?iu){amount}|{INGREDIENT_FRAGMENTS}"
     joined = F.concat_ws(", ", ingredients)
     return F.trim(F.regexp_replace(F.regexp_replace(joined, pattern, ""), r"[\s,-]*$", ""))

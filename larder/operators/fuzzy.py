@@ -59,7 +59,10 @@ def _probes(grams: DataFrame, rarity: DataFrame, method: str, threshold: int) ->
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, method: str, threshold: int) -> DataFrame:
-    """Distinct (l, r) text pairs, a superset of all pairs scoring at least ``threshold``."""
+    """Distinct (l, r) text pairs that hold, for every left text, its best pair scoring at least ``threshold``.
+
+    ``left`` has ``text``; ``right`` has ``text`` and ``r_name``, the name that stands for it.
+    """
     lg, rg = _grams(left), _grams(right)
     l_rare = lg.groupBy("gram").agg(F.count("*").alias("found"))
     r_rare = rg.groupBy("gram").agg(F.count("*").alias("found"))
@@ -80,9 +83,9 @@ def candidate_pairs(left: DataFrame, right: DataFrame, method: str, threshold: i
         pairs = pairs.where(F.least(l_size, r_size) >= F.greatest(l_size, r_size) * ratio - 1e-9)
     pairs = pairs.distinct()
     if method == "partial_token_set_ratio":
-        # One shared word already scores 100, so only the first right text per word can win.
+        # One shared word already scores 100, so only the text of the first right name per word can win.
         word = lambda side: F.explode(F.filter(F.split(side, " "), lambda w: w != "")).alias("word")
-        first = right.select(word(F.col("text")), "text").groupBy("word").agg(F.min("text").alias("r"))
+        first = right.select(word(F.col("text")), "text", "r_name").groupBy("word").agg(F.min_by("text", "r_name").alias("r"))
         shared = left.select(F.col("text").alias("l"), word(F.col("text"))).join(first, "word").select("l", "r")
         pairs = pairs.unionByName(shared).distinct()
     return pairs
@@ -95,7 +98,8 @@ def best_match(
     """For each distinct left name the best right name scoring at least ``threshold``.
 
     Ties go to the alphabetically first right name. Left names without a match
-    are absent. Columns: left_name, right_name, score.
+    are absent. Columns: left_name, right_name, score. Under ``levenshtein`` a match
+    below 52 need not keep a letter in place, so lower thresholds are refused.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
@@ -112,8 +116,8 @@ def best_match(
     l, r = names(left, left_name), names(right, right_name)
     # Names that compare alike share one text; the first right name stands for its text.
     r_first = r.groupBy("text").agg(F.min("name").alias("r_name"))
-    pairs = candidate_pairs(l.select("text").distinct(), r_first.select("text"), method, threshold)
-    scored = pairs.withColumn("score", score(F.col("l"), F.col("r"), method)).where(F.col("score") >= threshold)
+    pairs = candidate_pairs(l.select("text").distinct(), r_first, method, threshold)
+    scored = pairs.withColumn("score", score(F.col("l"), F.col("r"), method, threshold)).where(F.col("score") >= threshold)
     best = (
         scored.join(r_first, scored["r"] == r_first["text"])
         .groupBy("l")

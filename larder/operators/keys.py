@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from larder.session import materialize
 
@@ -16,10 +18,12 @@ def content_key(*columns: str | Column) -> Column:
     """128-bit digest of the given columns as hex text.
 
     A row-local replacement for random UUIDs and layout-dependent ids: the same
-    row gets the same key on every retry, and no shuffle is needed.
+    row gets the same key on every retry, and no shuffle is needed. Each value is
+    preceded by its length and a null is marked, so no two rows read alike.
     """
-    cells = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.md5(F.concat_ws("\x1f", *cells))
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]
+    return F.md5(F.concat(*cells))
 
 
 def dense_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
@@ -56,23 +60,34 @@ def ranked_counts(df: DataFrame, value: str, within: str) -> DataFrame:
 
     A cumulative distribution per group, for exact quantiles: equal values are
     collapsed before the range shuffle, so a hot value costs nothing, and one
-    group may span many partitions. There must be few groups.
+    group may span many partitions. Running sums are taken while the sorted
+    partitions are written, so nothing is shuffled a second time.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(within, value).agg(F.count("*").alias("n"))
-    fixed = materialize(
-        counts.repartitionByRange(F.col(within), F.col(value)).withColumn("_part", F.spark_partition_id()), "ranks"
-    )
+    sorted_parts = counts.repartitionByRange(F.col(within), F.col(value)).sortWithinPartitions(within, value).withColumn(
+        "_part", F.spark_partition_id())
+    schema = T.StructType([*sorted_parts.schema.fields, T.StructField("_inside", T.LongType())])
+    fixed = materialize(sorted_parts.mapInArrow(_running_sum, schema), "ranks")
 
-    def running_start(key: str, name: str) -> DataFrame:
+    def running_start(keys: Sequence[str], name: str) -> DataFrame:
         # One row per partition or per group.
-        earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        sums = fixed.groupBy(key).agg(F.sum("n").alias("_rows"))
-        return sums.select(key, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(name))
+        earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        sums = fixed.groupBy(*keys).agg(F.sum("n").alias("_rows"))
+        return sums.select(*keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(name))
 
-    inside = Window.partitionBy("_part").orderBy(within, value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        fixed.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(F.broadcast(running_start("_part", "_offset")), "_part")
-        .join(F.broadcast(running_start(within, "_start")), within)
+        # One row per partition of a single shuffle: bounded, safe to broadcast.
+        fixed.join(F.broadcast(running_start(["_part"], "_offset")), "_part")
+        .join(running_start([within], "_start"), within)
         .select(within, value, "n", (F.col("_offset") + F.col("_inside") - F.col("_start")).alias("before"))
     )
+
+
+def _running_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the partition before each row, as ``_inside``."""
+    total = 0
+    for batch in batches:
+        n = batch.column("n").to_numpy()
+        upto = total + np.cumsum(n)
+        total = int(upto[-1]) if len(n) else total
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto - n)], names=[*batch.schema.names, "_inside"])

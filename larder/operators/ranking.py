@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.functions.geo import haversine_km
+from larder.functions.geo import EARTH_RADIUS_KM, haversine_km
+from larder.session import materialize
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -24,9 +25,17 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
 
 
 def lowest_with_ties(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """All rows that share the smallest value of their key."""
-    w = Window.partitionBy(*keys).orderBy(F.col(value))
-    return df.withColumn("_r", F.rank().over(w)).where("_r = 1").drop("_r")
+    """All rows that share the smallest value of their key.
+
+    The smallest value is found by a partial aggregate and joined back, so the ties of
+    a key need not meet in one task. Null keys and null values, which sort first, count like others.
+    """
+    ranked = df.groupBy(*[F.col(c).alias(f"_{c}") for c in keys]).agg(
+        F.max(F.col(value).isNull()).alias("_null"), F.min(value).alias("_least"))
+    same = F.when(F.col("_null"), F.col(value).isNull()).otherwise(F.col(value) == F.col("_least"))
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return df.join(ranked, same).select(*df.columns)
 
 
 def seeded_order(keys: Sequence[str], seed: int) -> Column:
@@ -47,30 +56,57 @@ def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
-# Query points travel as literals in the plan.
-MAX_QUERY_POINTS = 1000
+# Cells of the finest grid are this part of the Earth's radius wide, those of each coarser one eight times the last;
+# the coarsest holds the whole Earth.
+_FINEST = 2.0**-10
+_COARSER = 8
+
+
+def _on_sphere(lat: str, lon: str) -> dict[str, Column]:
+    """Coordinates on the unit sphere: near places are near in all three, across poles and date line too."""
+    a, o = F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
+    return {"_x": F.cos(a) * F.cos(o), "_y": F.cos(a) * F.sin(o), "_z": F.sin(a)}
+
+
+def _cell(size: float, *steps: int) -> Column:
+    return F.struct(*[(F.floor(F.col(c) / size) + d).alias(c) for c, d in zip(("_x", "_y", "_z"), steps)])
 
 
 def nearest(
-    places: DataFrame, points: Sequence[tuple[str, float, float]], k: int,
-    place_key: str, lat: str = "latitude", lon: str = "longitude",
+    places: DataFrame, points: DataFrame, k: int, place_key: str, lat: str = "latitude", lon: str = "longitude",
 ) -> DataFrame:
-    """The k places closest to each query point, nearest first, ties by place key.
+    """The k places closest to each point (``point_id``, ``lat``, ``lon``), nearest first, ties by place key.
 
-    The points are request parameters, not a table: every place row computes its
-    distance to each of them and the top-k is cut per task before the shuffle.
+    Points with the same coordinates are looked up once. A grid over the sphere prunes the
+    distances: a point meets the places in its own and the neighbouring cells, and is
+    settled when k of them lie within one cell's width, as all others are farther away. The
+    points left go on to a coarser grid, at last to one that holds the whole Earth. Places
+    and points without coordinates are left out.
     """
-    if not 0 < len(points) <= MAX_QUERY_POINTS:
-        raise ValueError(f"give 1 to {MAX_QUERY_POINTS} query points")
-    literal = F.array(*[
-        F.struct(F.lit(str(name)).alias("point_id"), F.lit(float(a)).alias("lat"), F.lit(float(o)).alias("lon"))
-        for name, a, o in points
-    ])
-    measured = (
-        places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .withColumn("_p", F.explode(literal))
-        .withColumn("point_id", F.col("_p.point_id"))
-        .withColumn("distance_km", haversine_km(F.col("_p.lat"), F.col("_p.lon"), F.col(lat), F.col(lon)))
-        .drop("_p")
-    )
-    return top_per_key(measured, ["point_id"], [F.col("distance_km"), F.col(place_key)], k)
+    known = materialize(places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns(_on_sphere(lat, lon)), "places")
+    asked = points.where("lat is not null and lon is not null").select(
+        "point_id", F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
+    left = materialize(asked.select("_lat", "_lon").distinct().withColumns(_on_sphere("_lat", "_lon")), "points")
+    settled, size, spots = [], _FINEST, ["_lat", "_lon"]
+    around = [(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)]
+    while not left.isEmpty():
+        spread = left.select(*spots, F.explode(F.array(*[_cell(size, *d) for d in around])).alias("_cell"))
+        # The straight line between points at a distance d on the sphere is 2 sin(d / 2R) radii long.
+        line = 2 * F.sin(F.col("distance_km") / (2 * EARTH_RADIUS_KM))
+        found = spread.join(known.withColumn("_cell", _cell(size, 0, 0, 0)).drop("_x", "_y", "_z"), "_cell").drop("_cell").withColumn(
+            "distance_km", haversine_km(F.col("_lat"), F.col("_lon"), F.col(lat).cast("double"), F.col(lon).cast("double")))
+        best = materialize(top_per_key(found, spots, [F.col("distance_km"), F.col(place_key)], k), "nearest")
+        if size >= 2:
+            settled.append(best)
+            break
+        sure = best.where(line <= size).groupBy(*spots).agg(F.count("*").alias("_n")).where(F.col("_n") >= k).select(*spots)
+        settled.append(best.join(sure, spots, "left_semi"))
+        left = materialize(left.join(sure, spots, "left_anti"), "points")
+        size *= _COARSER
+    if not settled:
+        empty = known.drop("_x", "_y", "_z").where(F.lit(False))
+        return empty.select("*", F.lit(None).cast("double").alias("distance_km"), F.lit(None).cast("string").alias("point_id"))
+    answers = settled[0]
+    for more in settled[1:]:
+        answers = answers.unionByName(more)
+    return asked.join(answers, spots).drop(*spots)

@@ -31,10 +31,6 @@ def split_rows(df: DataFrame, column: str, separator: str) -> DataFrame:
     return df.withColumn(column, F.explode(F.split(F.col(column), separator)))
 
 
-def explode_list(df: DataFrame, column: str, alias: str) -> DataFrame:
-    return df.withColumn(alias, F.explode(F.col(column))).drop(column)
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -54,35 +50,51 @@ def sorted_distinct(df: DataFrame, column: str, where: Column | None = None) ->
     return picked.select(column).distinct().orderBy(column)
 
 
+def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left outer join on one key in which the left rows without a key take no part.
+
+    A null matches nothing; shuffled by key, all of them would meet in one task. They
+    are dealt by a seeded random number instead, and ``left`` is still read once.
+    """
+    # The key and a stand-in number: 0 for keys, one of many for null keys, which no right row has.
+    stand_in = F.when(F.col(key).isNull(), F.floor(F.rand(11) * 4096).cast("int") + 1).otherwise(0)
+    known = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key").withColumn("_zero", F.lit(0))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_stand_in") == F.col("_zero"))
+    return left.withColumn("_stand_in", stand_in).join(known, same, "left").drop("_key", "_zero", "_stand_in")
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_000_000) -> DataFrame:
-    """Inner many-to-many equi-join on one key with hot keys split.
+    """Inner many-to-many equi-join on one key, with the keys that make many rows split over tasks.
 
-    Keys with more than ``hot_rows`` left rows are dealt over ceil(rows/hot_rows)
-    salts; only the right rows of those keys are repeated, once per salt. The
-    result equals the plain join, which is what is used when no key is hot.
+    A key's left and right rows are dealt over so many left and right slots that no
+    pair of slots makes more than about ``hot_rows`` ** 2 / 100 rows or reads more than
+    ``hot_rows`` of either side; each side is repeated once for every slot of the
+    other. The result equals the plain join. Null keys match nothing.
 
-    The hot keys (at most |left|/hot_rows of them) are counted first and stored,
-    so that Spark knows their size and need not shuffle either side to look them
-    up. ``left`` is read twice: pass a stored table.
+    Both sides are stored first: they are read twice, and rows are dealt by their
+    position in the stored files, so that equal rows part as well.
     """
+    left, right = materialize(left, "left"), materialize(right, "right")
+    counts = [d.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(c)) for d, c in ((left, "_l"), (right, "_r"))]
+    # Rows made by a pair of slots, and rows read by one.
+    made, read = F.lit(float(hot_rows) ** 2 / 100), F.lit(float(hot_rows))
+    l_rows, r_rows = F.col("_l").cast("double"), F.col("_r").cast("double")
+    by_read = [F.ceil(l_rows / read), F.ceil(r_rows / read)]
+    more = F.greatest(F.lit(1.0), F.ceil(l_rows * r_rows / made / (by_read[0] * by_read[1])))
+    larger = l_rows >= r_rows
+    slots = [by_read[0] * F.when(larger, more).otherwise(1), by_read[1] * F.when(larger, 1).otherwise(more)]
     hot = materialize(
-        left.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > hot_rows)
-        .select(F.col(key), F.ceil(F.col("_c") / hot_rows).cast("int").alias("_s")),
+        counts[0].join(counts[1], key).select(key, *[s.cast("int").alias(n) for s, n in zip(slots, ("_ls", "_rs"))])
+        .where((F.col("_ls") > 1) | (F.col("_rs") > 1)),
         "hot",
     )
-    if hot.isEmpty():
-        return left.join(right, key)
-    # Whole-row digests deal the rows; maps cannot be hashed and are left out.
-    plain = [c for c, t in left.dtypes if not t.startswith("map")]
-    dealt = (
-        left.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_s").isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(*plain), F.col("_s")).cast("int")))
-        .drop("_s")
-    )
-    spread = (
-        right.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)))
-        .drop("_s")
-    )
-    return dealt.join(spread, [key, "_salt"]).drop("_salt")
+
+    def dealt(side: DataFrame, own: str, other: str, own_slot: str, other_slot: str) -> DataFrame:
+        known = side.where(F.col(key).isNotNull()).withColumn("_at", F.monotonically_increasing_id()).join(hot, key, "left")
+        return (
+            known.withColumn(own_slot, F.pmod(F.xxhash64("_at"), F.coalesce(F.col(own), F.lit(1))).cast("int"))
+            .withColumn(other_slot, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)))
+            .drop("_at", "_ls", "_rs")
+        )
+
+    return dealt(left, "_ls", "_rs", "_a", "_b").join(dealt(right, "_rs", "_ls", "_b", "_a"), [key, "_a", "_b"]).drop("_a", "_b")

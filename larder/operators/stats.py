@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from larder.operators.keys import ranked_counts
@@ -18,16 +16,15 @@ def summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
 
     Quartiles interpolate linearly and are exact: they are read off the ranked
     distinct values, so no task ever holds a whole distribution. All columns
-    share one pass over the data.
+    share one pass over the data. Nulls and NaN do not count.
     """
     tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], [F.col(c) for c in columns], "column", "value"
     )
-    ranks = ranked_counts(tall, "value", "column")
+    ranks = ranked_counts(tall.where(~F.isnan("value")), "value", "column")
     value, n = F.col("value"), F.col("n")
-    # One row per column: safe to broadcast.
     totals = ranks.groupBy("column").agg(F.sum("n").alias("_total"), (F.sum(value * n) / F.sum(n)).alias("_mean"))
-    known = ranks.join(F.broadcast(totals), "column")
+    known = ranks.join(totals, "column")
     squares = F.sum(n * F.pow(value - F.col("_mean"), 2))
     found = {
         "count": F.max("_total").cast("double"),
@@ -49,16 +46,18 @@ def summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins between the smallest and the largest value; empty bins are absent."""
-    known = df.where(F.col(value).isNotNull())
-    low = known.agg(F.min(value)).scalar()
-    high = known.agg(F.max(value)).scalar()
-    step = (F.col("_hi") - F.col("_lo")) / bins
+    """Equal-width bins between the smallest and the largest value; empty bins are absent.
+
+    Nulls and NaN do not count. The input is read twice: for its limits, and to be binned.
+    """
+    known = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    limits = known.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    low, high = F.col("_limits.lo"), F.col("_limits.hi")
     # The largest value belongs to the last bin.
-    number = F.least(F.floor((F.col(value) - F.col("_lo")) / step), F.lit(bins - 1)).cast("int")
+    number = F.least(F.floor((F.col("_v") - low) / ((high - low) / bins)), F.lit(bins - 1)).cast("int")
     return (
-        known.select(F.col(value), low.alias("_lo"), high.alias("_hi"))
-        .groupBy(F.when(F.col("_hi") > F.col("_lo"), number).otherwise(0).alias("bin"))
+        known.select("_v", limits.alias("_limits"))
+        .groupBy(F.when(high > low, number).otherwise(0).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
 
@@ -111,7 +110,3 @@ def match_audit(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).alias("matched"),
         F.coalesce(F.sum(F.when(~hit, F.col("_n"))), F.lit(0)).alias("unmatched"),
     )
-
-
-def all_of(conditions: Sequence) -> object:
-    return reduce(lambda a, b: a & b, conditions)

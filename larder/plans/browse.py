@@ -19,9 +19,11 @@ FULL_SCORE = 100
 
 
 def closest_stores(
-    products: DataFrame, establishments: DataFrame, points: Sequence[tuple[str, float, float]], k: int = CLOSEST_STORES
+    products: DataFrame, establishments: DataFrame, points: DataFrame | Sequence[tuple[str, float, float]], k: int = CLOSEST_STORES
 ) -> DataFrame:
-    """The k stores with products on offer that lie closest to each point."""
+    """The k stores with products on offer that lie closest to each point (``point_id``, ``lat``, ``lon``)."""
+    if not isinstance(points, DataFrame):
+        points = products.sparkSession.createDataFrame(list(points), "point_id string, lat double, lon double")
     # Reduce to one row per store before looking up its location; distinct shrinks the lines in the tasks.
     names = products.select("store_id", "store_name").distinct()
     stores = first_per_key(names, ["store_id"], [F.col("store_name")])
@@ -42,9 +44,9 @@ def store_deals(products: DataFrame, store: str | None = None, query: str | None
 
 
 def price_view(
-    df: DataFrame, days: tuple = (0, 365), consumed: tuple = (0.0, 1.0), price: tuple = (0.0, None)
+    df: DataFrame, days: tuple = (None, None), consumed: tuple = (None, None), price: tuple = (None, None)
 ) -> DataFrame:
-    """Priced items in the chosen ranges, with the price drop in percent."""
+    """Priced items in the chosen ranges, all of them by default, with the price drop in percent."""
     drop = (F.col("unit_price") - F.col("dynamic_price")) / F.col("unit_price") * 100
     priced = df.where("dynamic_price is not null").withColumn("percentage_decrease", drop)
     return within(priced, {"days_to_expiry": days, "percentage_consumed": consumed, "dynamic_price": price})
@@ -56,15 +58,16 @@ def best_scored(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def browse_reviews(
     reviews: DataFrame, name: str, sentiment: str = "All", verified: str = "All",
-    score: tuple = (0.0, 5.0), rating: tuple = (1, 5), first: str = "2024-05-01", last: str | None = None,
+    score: tuple = (None, None), rating: tuple = (None, None), first: str | None = None, last: str | None = None,
 ) -> DataFrame:
-    """Reviews by label, verification, score, rating and date, cased for display."""
+    """Reviews by label, verification, score, rating and date, all by default, cased for display."""
     picked = matching(reviews, {"verified": verified})
     if sentiment != "All":
         picked = picked.where(F.lower("sentiment_label") == sentiment.lower())
     picked = within(picked, {"sentiment_score": score, "rating": rating})
     day = F.col("date").cast("date")
-    picked = picked.where(day >= F.lit(first).cast("date"))
+    if first is not None:
+        picked = picked.where(day >= F.lit(first).cast("date"))
     if last is not None:
         picked = picked.where(day <= F.lit(last).cast("date"))
     return picked.withColumns({

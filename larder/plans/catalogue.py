@@ -13,51 +13,47 @@ from larder.functions.text import (
     dashes_to_spaces_lower, drop_parentheses, drop_phrases, first_like, keep_alnum_lower, squeeze,
 )
 from larder.operators.filters import excluding
-from larder.operators.keys import content_key
+from larder.operators.keys import dense_key
 from larder.operators.ranking import lowest_with_ties
 from larder.operators.shape import split_rows, union_all, unpivot_others
 
 # Categories that hold no food.
 NON_FOOD = ("Beauty & Hygiene", "Kitchen, Garden & Pets", "Cleaning & Household", "Baby Care")
 
-CATALOGUE_COLUMNS = ("product_id", "product_name", "price", "product_description")
-
-
-def _catalogue(df: DataFrame) -> DataFrame:
-    return df.withColumn("product_id", content_key("product_name", "price", "product_description")).select(
-        *CATALOGUE_COLUMNS
-    )
+CATALOGUE_COLUMNS = ("product_name", "price", "product_description")
 
 
 def british_products(raw: DataFrame) -> DataFrame:
     """Price text in pounds or pence, possibly "n for ...", to euro per unit."""
-    return _catalogue(raw.select(
+    return raw.select(
         F.col("Product_name").alias("product_name"),
         F.round(gbp_text_to_eur(F.col("Price")), 2).alias("price"),
         F.col("Product_Description").alias("product_description"),
-    ))
+    )
 
 
 def indian_products(raw: DataFrame) -> DataFrame:
     """Rupee text to euro; the specification list becomes the description."""
-    return _catalogue(raw.select(
+    return raw.select(
         F.col("name").alias("product_name"),
         F.round(inr_text_to_eur(F.col("selling_price")), 2).alias("price"),
         spec_sentence(F.col("specifications")).alias("product_description"),
-    ))
+    )
 
 
 def food_products(raw: DataFrame, excluded: Sequence[str] = NON_FOOD) -> DataFrame:
     """Priced products outside the excluded categories; no category means excluded."""
-    return _catalogue(excluding(raw, "category", excluded).select(
+    return excluding(raw, "category", excluded).select(
         F.col("product").alias("product_name"),
         convert(F.col("sale_price"), "INR").alias("price"),
         F.col("description").alias("product_description"),
-    ))
+    )
 
 
 def all_products(british: DataFrame, indian: DataFrame, food: DataFrame) -> DataFrame:
-    return union_all([british_products(british), indian_products(indian), food_products(food)])
+    """The three lists in one, every row with a number of its own, in the order of its columns."""
+    rows = union_all([british_products(british), indian_products(indian), food_products(food)])
+    return dense_key(rows, CATALOGUE_COLUMNS, "product_id").select("product_id", *CATALOGUE_COLUMNS)
 
 
 SHELF_KEY = ("category", "sub_category", "product_name")

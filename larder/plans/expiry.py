@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from larder.functions.dates import parse_iso
 from larder.functions.similarity import keep_content_words
 from larder.operators.fuzzy import best_match
+from larder.operators.keys import dense_key
 from larder.session import materialize
 
 # Notification horizon in days.
@@ -63,31 +64,29 @@ def expiring_items(expiry: DataFrame, as_of: str, days: int = DAYS_CONSIDERED) -
 def notices(
     expiry: DataFrame, as_of: str, days: int = DAYS_CONSIDERED, line_key: str = "id", lines_per_notice: int = 1000,
 ) -> DataFrame:
-    """One notice per customer with its expiring items, as lists and as an HTML table.
+    """Numbered notices per customer with the expiring items, as lists and as an HTML table.
 
-    A customer with more than ``lines_per_notice`` items gets several numbered
-    notices: the lines are dealt by a digest of ``line_key`` before they are
-    collected, so no task gathers an unbounded list and no line is lost. The input
-    is read twice: pass a stored table.
+    The items of a customer are numbered by date, product and ``line_key``; notice 0 holds
+    the first ``lines_per_notice`` of them, notice 1 the next, and so on. Numbers come from
+    positions in the whole order, so no task gathers a customer's items, and customers
+    without a name or an e-mail address are treated like any other.
     """
-    lines = expiring_items(expiry, as_of, days)
     who = ["email_id", "customer_name"]
-    long_lists = materialize(
-        lines.groupBy(*who).agg(F.ceil(F.count("*") / lines_per_notice).cast("int").alias("_parts"))
-        .where("_parts > 1"),
-        "long",
-    )
-    part = F.lit(0)
-    if not long_lists.isEmpty():
-        lines = lines.join(long_lists, who, "left")
-        dealt = F.xxhash64(line_key, "product_name", "expected_expiry_date")
-        part = F.pmod(dealt, F.coalesce("_parts", F.lit(1))).cast("int")
+    lines = expiring_items(expiry, as_of, days).select(*who, "expected_expiry_date", "product_name", line_key)
+    placed = dense_key(lines, [*who, "expected_expiry_date", "product_name", line_key], "_place", 0)
+    placed = materialize(placed, "lines")
+    firsts = placed.groupBy(*[F.col(c).alias(f"_{c}") for c in who]).agg(F.min("_place").alias("_first"))
+    same = F.lit(True)
+    for c in who:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    number = F.floor((F.col("_place") - F.col("_first")) / lines_per_notice).cast("int")
     item = F.struct("expected_expiry_date", "product_name")
     rows = F.transform("items", lambda i: F.concat(
         F.lit("<tr><td>"), i["product_name"], F.lit("</td><td>"),
         i["expected_expiry_date"].cast("string"), F.lit("</td></tr>")))
     return (
-        lines.groupBy(*who, part.alias("part"))
+        placed.join(firsts, same)
+        .groupBy(*who, number.alias("part"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
         .select(
             *who, "part",

@@ -11,7 +11,11 @@ from larder.functions.text import strip_tags, title_words
 # --- receipts -----------------------------------------------------------------------
 
 # Fixed value: one receipt line is "qty NAME unit [total]"; a name ends with a letter.
-RECEIPT_ITEM = r"(\d+)?\s*([A-ZÀ-ÿ\s%]+[A-ZÀ-ÿ])\s+(\d+\.\d{2})\s*(\d+\.\d{2})?"
+RECEIPT_ITEM = r"(\d+)?\s*([A-ZÀ-ÿ\s%]+[A-ZÀ-ÿ]+)\s+(\d+\.\d{2})\s*(\d+\.\d{2})?"
+# Where an item can start at all: after the last one, at the first of some digits, or where a run of name
+# characters begins; and only if that run, read once without going back, leads up to a price. What the item
+# pattern finds stays the same, but a long text without prices is read in linear time.
+_ITEM_START = r"(?:\G|(?<![A-ZÀ-ÿ\s%\d])(?=[A-ZÀ-ÿ\s%\d])|(?<=\d)(?=[A-ZÀ-ÿ\s%])|(?<=[A-ZÀ-ÿ\s%])(?=\d))(?=\d*+[A-ZÀ-ÿ\s%]++\d+\.\d{2})"
 # Fixed value: a store name is a line that starts with capitals.
 STORE_LINE = r"^[ ,]*[A-Z]{2,}[ ,.]*[A-Z]*"
 # Street keywords.
@@ -34,7 +38,7 @@ def parse_receipts(df: DataFrame, text: str = "text") -> DataFrame:
     # Backslashes become blanks, commas become points, plus signs and stray marks go.
     read = df.withColumn("_t", F.translate(F.col(text), "\\,+" + _OPEN + _PART + _CLOSE, " ."))
     # All four parts of all items are marked in a single pass of the pattern.
-    marked = F.regexp_replace(F.col("_t"), RECEIPT_ITEM, _OPEN + _PART.join(("$1", "$2", "$3", "$4")) + _CLOSE)
+    marked = F.regexp_replace(F.col("_t"), _ITEM_START + RECEIPT_ITEM, _OPEN + _PART.join(("$1", "$2", "$3", "$4")) + _CLOSE)
     found = F.filter(F.split(marked, _OPEN), lambda piece: F.contains(piece, F.lit(_CLOSE)))
     parts = F.transform(found, lambda piece: F.split(F.split_part(piece, F.lit(_CLOSE), F.lit(1)), _PART))
     return read.withColumns({
@@ -63,6 +67,7 @@ def receipt_items(receipts: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 # --- invoices -----------------------------------------------------------------------
 
+# Fixed value: the keys of the answers.
 INVOICE_SCHEMA = (
     "`Invoice no.` string, location string, supermarket_name string, Date string, "
     "products array<struct<name: string, `Unit price`: string, quantity: string, amount: string>>, "

@@ -84,6 +84,17 @@ def select_model(
     return Selection(best, models[best], scores)
 
 
+def regression_measures(df: DataFrame, label: str, prediction: str, digits: int = 6) -> DataFrame:
+    """MAE, MSE, RMSE and R2 of a prediction column in one aggregate; rows lacking either value do not count."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    off = y - p
+    squares = F.avg(off * off)
+    return df.where(y.isNotNull() & p.isNotNull()).agg(
+        F.round(F.avg(F.abs(off)), digits).alias("mae"), F.round(squares, digits).alias("mse"),
+        F.round(F.sqrt(squares), digits).alias("rmse"), F.round(1 - squares / F.var_pop(y), digits).alias("r2"),
+    )
+
+
 def forecast_range(daily: DataFrame, date: str, label: str, model: Model, first: str, last: str) -> DataFrame:
     """History and predictions for every day of a future range, told apart by ``kind``."""
     future = with_calendar(date_spine(daily.sparkSession, first, last, date), date)
@@ -102,6 +113,12 @@ GRIDS = {
 }
 
 
+def with_folds(daily: DataFrame, date: str, folds: int, name: str) -> DataFrame:
+    """Consecutive stretches of time, numbered from 0; the input is a daily series, one row per day."""
+    order = Window.partitionBy(F.lit(0)).orderBy(date)
+    return daily.withColumn(name, (F.ntile(folds).over(order) - 1).cast("int"))
+
+
 def tune(
     df: DataFrame, date: str, metric: str, features: Sequence[str], test_from: str,
     models: Sequence[str] = ("linear", "tree", "forest"), folds: int = 5, parallelism: int = 4,
@@ -113,10 +130,7 @@ def tune(
     both sides of a split.
     """
     boundary = F.lit(test_from).cast("date")
-    train = df.where(F.col(date) < boundary)
-    # A daily series: one row per day in this window.
-    order = Window.partitionBy(F.lit(0)).orderBy(date)
-    train = train.withColumn("_fold", (F.ntile(folds).over(order) - 1).cast("int")).cache()
+    train = with_folds(df.where(F.col(date) < boundary), date, folds, "_fold").cache()
     test = df.where(F.col(date) >= boundary).cache()
     estimators = regressors(metric)
     rows = []
@@ -147,18 +161,27 @@ SEASONS = {"yearly": (365.25, 10), "weekly": (7.0, 5), "monthly": (30.0, 5)}
 INTERVAL_Z = 1.2815515655446004
 
 
+def _waves() -> list[tuple[str, float]]:
+    """Name and turn per day of every wave; at half the sampling rate and beyond, waves repeat lower ones."""
+    return [(f"{name}_{{}}_{k}", 2 * math.pi * k / period) for name, (period, order) in SEASONS.items()
+            for k in range(1, min(order, math.ceil(period / 2) - 1) + 1)]
+
+
 def seasonal_columns(day_number: Column) -> dict[str, Column]:
     """Trend plus sine and cosine waves of every season."""
     columns = {"trend": day_number / 365.25}
-    for name, (period, order) in SEASONS.items():
-        # At half the sampling rate and beyond, waves repeat lower ones.
-        for k in range(1, min(order, math.ceil(period / 2) - 1) + 1):
-            angle = day_number * (2 * math.pi * k / period)
-            columns[f"{name}_sin_{k}"] = F.sin(angle)
-            columns[f"{name}_cos_{k}"] = F.cos(angle)
+    for name, turn in _waves():
+        columns[name.format("sin")] = F.sin(day_number * turn)
+        columns[name.format("cos")] = F.cos(day_number * turn)
     return columns
 
 
+def seasonal_matrix(days: np.ndarray) -> np.ndarray:
+    """A constant, the trend and the waves of each day."""
+    turns = np.outer(days, [turn for _, turn in _waves()])
+    return np.column_stack([np.ones(len(days)), days / 365.25, np.sin(turns), np.cos(turns)])
+
+
 def seasonal_forecast(daily: DataFrame, date: str, label: str, horizon: int, ridge: float = 1e-6) -> DataFrame:
     """Fitted and future values with an interval, none below zero: (date, yhat, lower, upper, kind)."""
     day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date"))
@@ -189,8 +212,7 @@ def seasonal_forecast_by(daily: DataFrame, series: str, date: str, label: str, h
     calendar, not by the sales.
     """
     kind = dict(daily.dtypes)[series]
-    day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date"))
-    waves = list(seasonal_columns(F.lit(0)))
+    day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date")).alias("_day")
     per_day = daily.groupBy(series, date).agg(F.sum(F.col(label).cast("double")).alias("y"))
     history = per_day.withColumn("kind", F.lit("history"))
     ahead = (
@@ -198,11 +220,11 @@ def seasonal_forecast_by(daily: DataFrame, series: str, date: str, label: str, h
         .select(series, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))).alias(date),
                 F.lit(None).cast("double").alias("y"), F.lit("forecast").alias("kind"))
     )
-    rows = history.unionByName(ahead).withColumns(seasonal_columns(day_number))
+    rows = history.unionByName(ahead).select(series, date, "y", "kind", day_number)
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         known = part["y"].notna().to_numpy()
-        x = np.column_stack([np.ones(len(part)), part[waves].to_numpy(float)])
+        x = seasonal_matrix(part["_day"].to_numpy(float))
         y = part["y"].to_numpy(float)[known]
         a = x[known]
         weights = np.linalg.solve(a.T @ a + ridge * np.eye(x.shape[1]), a.T @ y)

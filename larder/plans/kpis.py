@@ -8,9 +8,9 @@ from larder.functions.dates import month_before
 
 
 def _dated(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Fact rows whose date key is in the date dimension (one row per day: bounded)."""
+    """Fact rows whose date key is in the date dimension ."""
     days = dates.select(F.col("date_id").cast("string").alias("purchase_date_id"), "date", "year", "month")
-    return fact.join(F.broadcast(days), "purchase_date_id")
+    return fact.join(days, "purchase_date_id")
 
 
 def active_customers(fact: DataFrame, dates: DataFrame) -> DataFrame:

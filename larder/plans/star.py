@@ -8,7 +8,7 @@ from larder.functions.dates import date_key, date_key_int, parse_iso
 from larder.functions.text import strip_hidden
 from larder.operators.calendar import spine_of
 from larder.operators.keys import content_key, dense_key
-from larder.operators.shape import salted_join
+from larder.operators.shape import left_join_known, salted_join
 from larder.plans.pricing import retail_prices
 
 # First surrogate numbers.
@@ -136,16 +136,18 @@ def fact_customer_sale(
     places = customers.select("customer_id", "location_id")
     buyer = places.toDF("buying_customer_id", "buyer_location_id")
     seller = places.toDF("selling_customer_id", "seller_location_id")
-    # One row per calendar day, at most 3.7 million for the whole date type: safe to broadcast.
-    day = F.broadcast(dates.select(F.col("date").alias("_d"), F.col("date_id").alias("selling_date_id")))
-    return _stamped(
+    day = dates.select(F.col("date").alias("_d"), F.col("date_id").alias("selling_date_id"))
+    rows = (
         sales.withColumnRenamed("customer_id", "selling_customer_id")
         .withColumn("_d", parse_iso(F.col("selling_date")))
         .withColumn("buying_customer_id", F.col("buying_customer_id").try_cast("long"))
-        .join(buyer, "buying_customer_id", "left")
         .join(seller, "selling_customer_id", "left")
         .join(products.select("product_name", "product_id"), "product_name", "left")
-        .join(day, "_d", "left")
+    )
+    # Unsold items have neither buyer nor day; many rows share that null, so they stay out of those joins.
+    rows = left_join_known(rows, day, "_d")
+    return _stamped(
+        left_join_known(rows, buyer, "buying_customer_id")
         .select(
             "id", "selling_customer_id", "buying_customer_id", "seller_location_id", "buyer_location_id",
             "selling_date_id", "product_id", "unit_price", "quantity", "expected_price", "dynamic_price",
@@ -165,8 +167,7 @@ def fact_store_sale(
     """
     places = stores.select(strip_hidden(F.col("supermarket_id").cast("string")).alias("store_id"), "location_id")
     buyers = customers.select("customer_id", F.col("location_id").alias("buyer_location_id"))
-    # One row per calendar day: safe to broadcast.
-    day = F.broadcast(dates.select(F.col("date").alias("_d"), F.col("date_id").alias("purchase_date_id")))
+    day = dates.select(F.col("date").alias("_d"), F.col("date_id").alias("purchase_date_id"))
     return _stamped(
         retail_prices(sales)
         .withColumn("store_id", strip_hidden(F.col("store_id").cast("string")))

@@ -8,8 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int = 8, app: str = "larder") -> SparkSession:
-    """A session for tests and benchmarks; on a cluster the caller brings its own."""
+def local_session(cores: int = 8, app: str = "larder", folder: str | None = None) -> SparkSession:
+    """A session for tests and benchmarks, storing its tables under ``folder`` (a new one by default).
+
+    On a cluster the caller brings its own session.
+    """
     return prepare(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -20,6 +23,7 @@ def local_session(cores: int = 8, app: str = "larder") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="larder-"))
         .getOrCreate()
     )
 
@@ -37,17 +41,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder; anywhere else
-    an unset value is an error, because executors would not see the driver's disk.
+    An unset value is an error: a folder of the driver's own would not be seen by executors.
+    ``local_session`` names one, as all its tasks run on one machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="larder-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return named.rstrip("/")
 
 
 def _session_scratch(spark: SparkSession) -> str:

@@ -76,9 +76,9 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: Struct
 
 
 def json_to_parquet(
-    spark: SparkSession, source: str, target: str, schema: StructType | str, lines: bool = False
+    spark: SparkSession, source: str, target: str, schema: StructType | str, lines: bool = False, **options
 ) -> DataFrame:
-    write_parquet(read_json_records(spark, source, schema, lines), target)
+    write_parquet(read_json_records(spark, source, schema, lines, **options), target)
     return spark.read.parquet(target)
 
 

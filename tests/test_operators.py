@@ -102,8 +102,9 @@ def test_dense_key_of_nothing(spark):
 
 
 def test_content_key_tells_null_from_text(spark):
-    df = spark.createDataFrame([(None, "a"), ("a", None), ("", "a"), ("a", "a")], "x string, y string")
-    assert df.select(keys.content_key("x", "y")).distinct().count() == 4
+    rows = [(None, "a"), ("a", None), ("", "a"), ("a", "a"), ("\\N", "a"), ("n", "a"), ("b\x1fc", "d"), ("b", "c\x1fd"), ("1:a", ""), ("1:", "a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(keys.content_key("x", "y")).distinct().count() == len(rows)
 
 
 def test_salted_join_equals_join(spark):
@@ -113,6 +114,37 @@ def test_salted_join_equals_join(spark):
     assert got == sorted(map(tuple, left.join(right, "k").select("k", "x", "y").collect()))
 
 
+def test_salted_join_splits_keys_hot_on_either_side(spark):
+    few = spark.createDataFrame([("hot", i) for i in range(3)] + [("cold", 1)], "k string, x int")
+    many = spark.createDataFrame([("hot", 5)] * 500 + [("cold", i) for i in range(4)], "k string, y int").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+    try:
+        for left, right in ((few, many), (many, few)):
+            for hot_rows in (2, 10, 10_000):
+                got = sorted(map(tuple, shape.salted_join(left, right, "k", hot_rows).select("k", "x", "y").collect()))
+                assert got == sorted(map(tuple, left.join(right, "k").select("k", "x", "y").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_left_join_known_keeps_rows_without_a_key(spark):
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 100), (2, 200)], "k int, x int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (None, "never")], "k int, y string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(map(tuple, shape.left_join_known(left, right, "k").select("k", "x", "y").collect()), key=str)
+        assert got == sorted(map(tuple, left.join(right, "k", "left").select("k", "x", "y").collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lowest_with_ties_equals_rank(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("a", 1), ("b", None), ("b", 3), (None, 4), (None, 4), (None, 9)], "k string, v int")
+    got = sorted(map(tuple, ranking.lowest_with_ties(df, ["k"], "v").collect()), key=str)
+    assert got == sorted([("a", 1), ("a", 1), ("b", None), (None, 4), (None, 4)], key=str)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_summary_equals_pandas(spark, seed):
     rng = np.random.default_rng(seed)
@@ -130,6 +162,9 @@ def test_histogram(spark):
     df = spark.createDataFrame([(float(v),) for v in range(101)] + [(None,)], "v double")
     got = {r.bin: r.n for r in stats.histogram(df, "v", 50).collect()}
     assert got == {b: (3 if b == 49 else 2) for b in range(50)}
+    odd = df.union(spark.createDataFrame([(float("nan"),)], "v double"))
+    assert {r.bin: r.n for r in stats.histogram(odd, "v", 50).collect()} == got
+    assert {tuple(r) for r in stats.summary(odd, ["v"]).collect()} == {tuple(r) for r in stats.summary(df, ["v"]).collect()}
     same = spark.createDataFrame([(5.0,), (5.0,)], "v double")
     assert [(r.bin, r.n) for r in stats.histogram(same, "v").collect()] == [(0, 2)]
 
@@ -169,19 +204,23 @@ def test_nearest_equals_brute_force(spark):
     rng = random.Random(3)
     places = [(f"s{i:02}", rng.uniform(35, 45), rng.uniform(-5, 5)) for i in range(40)] + [("none", None, None)]
     df = spark.createDataFrame(places, "id string, latitude double, longitude double")
-    points = [("p", 40.0, 0.0), ("q", 36.0, 4.0)]
+    places += [("pole", 89.9, 10.0), ("line", 10.0, 179.9)]
+    df = spark.createDataFrame(places, "id string, latitude double, longitude double")
+    places = [p for p in places if p[1] is not None] + [("none", None, None)]
+    points = [("p", 40.0, 0.0), ("q", 36.0, 4.0), ("twin", 40.0, 0.0), ("far", 10.0, -179.9), ("north", 89.8, -170.0)]
 
     def km(a, b, c, d):
         from math import atan2, cos, radians, sin, sqrt
         h = sin(radians(c - a) / 2) ** 2 + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2
         return 2 * 6371 * atan2(sqrt(h), sqrt(1 - h))
 
-    for name, lat, lon in points:
-        want = sorted(places[:-1], key=lambda p: km(lat, lon, p[1], p[2]))[:5]
-        got = ranking.nearest(df, points, 5, "id").where(F.col("point_id") == name).orderBy("distance_km").collect()
-        assert [r.id for r in got] == [p[0] for p in want]
-    with pytest.raises(ValueError):
-        ranking.nearest(df, [], 5, "id")
+    asked = spark.createDataFrame([*points, ("lost", None, 1.0)], "point_id string, lat double, lon double")
+    got = ranking.nearest(df, asked, 5, "id").orderBy("point_id", "distance_km").collect()
+    want = [(name, p[0]) for name, lat, lon in sorted(points) for p in sorted(places[:-1], key=lambda p: km(lat, lon, p[1], p[2]))[:5]]
+    assert [(r.point_id, r.id) for r in got] == want
+    assert ranking.nearest(df, asked.where("false"), 5, "id").count() == 0
+    assert ranking.nearest(df.where("false"), asked, 5, "id").count() == 0
+    assert ranking.nearest(df, asked, 100, "id").where("point_id = 'far'").count() == 42
 
 
 def test_top_rows_do_not_depend_on_layout(spark):

@@ -177,13 +177,15 @@ def test_expected_expiry(spark):
 
 
 def test_notices_split_long_lists_without_losing_lines(spark):
-    rows = [(str(i), "Ann", "a@x", f"p{i:03}", day("2024-01-10")) for i in range(95)] + [("z", "Bo", "b@x", "tea", day("2024-01-05")), ("y", "Bo", "b@x", "old", day("2024-01-01"))]
+    rows = [(str(i), "Ann", "a@x", f"p{i:03}", day("2024-01-10")) for i in range(95)] + [("z", "Bo", "b@x", "tea", day("2024-01-05")), ("y", "Bo", "b@x", "old", day("2024-01-01"))] + [(f"n{i}", "Cy", None, "salt", day("2024-01-09")) for i in range(50)]
     df = spark.createDataFrame(rows, "id string, customer_name string, email_id string, product_name string, expected_expiry_date date")
     got = expiry.notices(df, "2024-01-01", 20, lines_per_notice=20).collect()
     ann = [r for r in got if r.customer_name == "Ann"]
     assert len(ann) == 5 and sorted(p for r in ann for p in r.product_name) == [f"p{i:03}" for i in range(95)]
     assert all(r.product_name == sorted(r.product_name) and r.html.count("<tr>") == r.n_items for r in ann)
     assert [(r.part, r.product_name) for r in got if r.customer_name == "Bo"] == [(0, ["tea"])]
+    assert sorted((r.part, r.n_items) for r in got if r.email_id is None) == [(0, 20), (1, 20), (2, 10)]
+    assert sorted((r.part, r.n_items) for r in ann) == [(0, 20), (1, 20), (2, 20), (3, 20), (4, 15)]
 
 
 def test_deliver_reaches_every_notice(spark, tmp_path):
@@ -298,3 +300,22 @@ def test_plans_do_not_depend_on_layout(spark):
         bought = cleaning.clean_purchases(raw)
         return sorted(map(tuple, bought.collect())), sorted(map(tuple, star.dim_product(bought, TS).collect()))
     assert run(1) == run(5) == run(9)
+
+
+def test_receipts_without_prices_are_read_in_linear_time(spark):
+    import re
+    import time
+
+    from larder.plans import extraction
+
+    texts = ["2 PAN DE MOLDE 1.50 3.00\nLECHE 0.95 A 1.00", "ABC 12 XYZ 1.00", "QUESO% 2.00", "X 1.00 YY  3.50\n\n4 Z Z 1.25 5.00 6.00",
+             "12 34 AB 1.00 2.00 3.00 CD 4.00", "É L 1.11", "A1.00 BC1.00 B C 1.00", "  7  UVA BLANCA   12.345.67"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    plain = re.compile(extraction.RECEIPT_ITEM, re.ASCII)
+    want = {(i, int(q or 1), n.strip(), float(u)) for i, t in enumerate(texts) for q, n, u, _ in plain.findall(t)}
+    got = extraction.receipt_items(extraction.parse_receipts(df), ["id"]).collect()
+    assert {(r.id, r.quantity, r.description, r.unit_price) for r in got} == want and len(want) >= 10
+    long = spark.createDataFrame([(0, "ABCDE " * 20_000), (1, "1 " * 20_000), (2, "%" * 50_000)], "id int, text string")
+    start = time.monotonic()
+    assert extraction.receipt_items(extraction.parse_receipts(long), ["id"]).count() == 0
+    assert time.monotonic() - start < 20

@@ -63,8 +63,8 @@ def test_seasonal_by_series(spark):
 
 
 def test_tuning(spark):
-    rows = _rows(spark, "cv_tuning")
-    assert {(r.model, r.part) for r in rows} == {(m, p) for m in ("linear", "tree") for p in ("train", "test")}
+    rows = _rows(spark, "cv_tuning_total_sales")
+    assert {(r.model, r.part) for r in rows} == {(m, p) for m in ("linear", "tree", "forest") for p in ("train", "test")}
     assert all(r.mae > 0 and abs(r.rmse ** 2 - r.mse) < 1e-6 * r.mse for r in rows)
 
 
