@@ -253,7 +253,56 @@ MATCH = f"""
         FROM (SELECT DISTINCT p_name AS product_name FROM part), (
             SELECT DISTINCT {SPELLED} AS product FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)))
     WHERE score >= 80 QUALIFY row_number() OVER (PARTITION BY product_name ORDER BY score DESC, product) = 1"""
-EXPECTED = f"""
+
+
+def _sorted_words(text: str, distinct: bool = False) -> str:
+    words = f"list_sort(string_split(lower({text}), ' '))"
+    return f"array_to_string({f'list_sort(list_distinct({words}))' if distinct else words}, ' ')"
+
+
+def _lcs(pairs: str) -> str:
+    """Common table expressions ending in ``lcs_of`` (a, b, n): longest common subsequences of the pairs a, b.
+
+    ``vals`` is the row of the usual table for the first i letters of a; each step makes the next row, whose
+    cells are running maxima.
+    """
+    return f"""
+        lcs(a, b, i, vals) AS (
+            SELECT a, b, 0, list_transform(range(length(b)), lambda x: 0) FROM ({pairs})
+            UNION ALL
+            SELECT a, b, i + 1, list_transform(range(1, length(b) + 1), lambda j: CAST(list_max(cells[1:j]) AS INTEGER))
+            FROM (SELECT a, b, i, list_transform(range(1, length(b) + 1), lambda j:
+                      CASE WHEN substr(b, j, 1) = substr(a, i + 1, 1) THEN coalesce(vals[j - 1], 0) + 1 ELSE vals[j] END) AS cells
+                  FROM lcs WHERE i < length(a))),
+        lcs_of AS (SELECT a, b, vals[-1] AS n FROM lcs WHERE i = length(a))"""
+
+
+def _match_sql(method: str) -> str:
+    """All pairs of names scored by one of the subsequence methods, the best right name per left name kept."""
+    form = {"ratio": "{}", "partial_token_sort_ratio": _sorted_words("{}"), "partial_token_set_ratio": _sorted_words("{}", True)}[method]
+    whole = method == "ratio"
+    cut = ("SELECT l, r, l AS a, r AS b FROM texts" if whole else """
+        SELECT l, r, short AS a, substr(long, CAST(i AS INTEGER) + 1, length(short)) AS b
+        FROM (SELECT l, r, CASE WHEN length(l) <= length(r) THEN l ELSE r END AS short,
+                     CASE WHEN length(l) <= length(r) THEN r ELSE l END AS long FROM texts), unnest(range(length(long) - length(short) + 1)) u(i)""")
+    score = "max(round_even(200.0 * n / (length(a) + length(b)), 0))"
+    if method == "partial_token_set_ratio":
+        score = f"CASE WHEN len(list_intersect(string_split(l, ' '), string_split(r, ' '))) > 0 THEN 100 ELSE {score} END"
+    return f"""
+    WITH RECURSIVE names AS (
+        SELECT product_name, product, {form.format('product_name')} AS l, {form.format('product')} AS r
+        FROM (SELECT DISTINCT p_name AS product_name FROM part), (
+            SELECT DISTINCT {SPELLED} AS product FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem))),
+    texts AS (SELECT DISTINCT l, r FROM names),
+    cuts AS ({cut}),
+    {_lcs('SELECT DISTINCT a, b FROM cuts')},
+    scores AS (SELECT l, r, CAST({score} AS INTEGER) AS score FROM cuts JOIN lcs_of USING (a, b) GROUP BY l, r)
+    SELECT product_name, product, score FROM names JOIN scores USING (l, r) WHERE score >= 80
+    QUALIFY row_number() OVER (PARTITION BY product_name ORDER BY score DESC, product) = 1"""
+
+
+def _expected_sql(match: str) -> str:
+    return f"""
     SELECT l_orderkey || '-' || l_linenumber AS id, c_custkey AS customer_id, c_name AS customer_name,
            'c' || c_custkey || '@example.com' AS email_id, {SPELLED} AS product_name, p_retailprice AS unit_price,
            CAST(l_quantity AS INTEGER) AS quantity, strftime(o_orderdate, '%Y-%m-%d') AS purchase_date,
@@ -261,9 +310,12 @@ EXPECTED = f"""
            CAST(o_orderdate AS DATE) + CAST(ceil(days / 2) AS INTEGER) AS expected_expiry_date
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
     JOIN customer ON o_custkey = c_custkey
-    JOIN ({MATCH}) m ON m.product = {SPELLED}
+    JOIN ({match}) m ON m.product = {SPELLED}
     JOIN (SELECT p_name AS product_name, min(p_size) * 21 AS days FROM part GROUP BY 1) k ON k.product_name = m.product_name"""
 
+
+EXPECTED = _expected_sql(MATCH)
+
 ORACLES = {
     "catalogue_union": f"""
         SELECT row_number() OVER (ORDER BY product_name NULLS FIRST, price NULLS FIRST, product_description NULLS FIRST) AS product_id,
@@ -280,6 +332,15 @@ ORACLES = {
     "best_before": BEST_BEFORE,
     "perishability_catalogue": PERISHABILITY,
     "fuzzy_match": MATCH,
+    "fuzzy_match_partial": _match_sql("partial_token_sort_ratio"),
+    "fuzzy_match_ratio": _match_sql("ratio"),
+    "fuzzy_match_token_set": _match_sql("partial_token_set_ratio"),
+    "match_score": f"""
+        WITH RECURSIVE texts AS (SELECT p_partkey, p_name AS a, string_split(p_name, ' ')[-1] || ' ' || lower(p_type) AS b FROM part),
+        {_lcs('SELECT DISTINCT a, b FROM texts')}
+        SELECT p_partkey, CASE WHEN score >= 60 THEN score ELSE 0 END AS score
+        FROM (SELECT p_partkey, CAST(round_even(200.0 * n / (length(a) + length(b)), 0) AS INTEGER) AS score FROM texts JOIN lcs_of USING (a, b))""",
+    "expected_expiry_partial": _expected_sql(_match_sql("partial_token_sort_ratio")),
     "token_overlap": """
         SELECT p_partkey, CAST(len(list_intersect(string_split(p_name, ' '), ['small', 'red', lower(p_type), 'ring'])) AS INTEGER) AS shared FROM part""",
     "expected_expiry": EXPECTED,

@@ -13,8 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder.functions.similarity import METHODS, comparable, score
+from larder.operators.shape import salted_join
 from larder.session import materialize
 
+# Names with one gram that a task reads at most, on either side.
+HOT_GRAM_ROWS = 100_000
+
 
 def _losses(size: Column, method: str, threshold: int) -> tuple[Column, Column]:
     """Most letters, and most two-letter grams, of a name of this size that a match can lose."""
@@ -71,9 +75,10 @@ def candidate_pairs(left: DataFrame, right: DataFrame, method: str, threshold: i
     l_all = lg.select(F.col("text").alias("l"), "gram")
     r_all = rg.select(F.col("text").alias("r"), "gram")
     l_size, r_size = F.length("l"), F.length("r")
+    # There are few grams and some are in very many names: their rows are dealt over tasks.
     pairs = (
-        l_probe.join(r_all, "gram").where(l_size <= r_size)
-        .unionByName(l_all.join(r_probe, "gram").where(l_size > r_size))
+        salted_join(l_probe, r_all, "gram", HOT_GRAM_ROWS).where(l_size <= r_size)
+        .unionByName(salted_join(l_all, r_probe, "gram", HOT_GRAM_ROWS).where(l_size > r_size))
         .select("l", "r")
     )
     if method in ("ratio", "levenshtein"):

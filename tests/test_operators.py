@@ -80,6 +80,12 @@ def test_best_match_equals_all_pairs(spark, method, threshold):
     assert {r.l: (r.r, r.score) for r in got.collect()} == want
 
 
+def test_shared_word_ties_go_to_the_first_name(spark):
+    left, right = names(spark, ["chocolate digestive b"], "l"), names(spark, ["oil b", "b rice", "digestive z"], "r")
+    got = fuzzy.best_match(left, right, "l", "r", "partial_token_set_ratio", 80)
+    assert [(r.r, r.score) for r in got.collect()] == [("b rice", 100)]
+
+
 def test_best_match_rejects_unknown(spark):
     one = names(spark, ["a"], "l")
     with pytest.raises(ValueError):
