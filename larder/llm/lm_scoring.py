@@ -85,32 +85,32 @@ class Network:
         return Network(parts)
 
     def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Embedded neighbours, hidden layer, class logits."""
         p = self.parts
         x = p["embedding"][context].reshape(len(context), -1)
         hidden = np.tanh(x @ p["w1"] + p["b1"])
-        return x, hidden, _log_softmax(hidden @ p["w2"] + p["b2"])
+        return x, hidden, hidden @ p["w2"] + p["b2"]
 
     def log_probabilities(self, context: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Of each target, given the tokens around it."""
-        _, hidden, by_class = self._forward(context)
-        out = np.empty(len(targets), np.float32)
+        _, hidden, logits = self._forward(context)
+        out = _log_probability(logits, targets // PER_CLASS)
         for k, rows in _by_class(targets):
-            inside = _log_softmax(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k])
-            out[rows] = by_class[rows, k] + inside[np.arange(len(rows)), targets[rows] % PER_CLASS]
+            out[rows] += _log_probability(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k], targets[rows] % PER_CLASS)
         return out
 
     def gradients(self, context: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         p, n = self.parts, np.float32(1 / len(targets))
-        x, hidden, by_class = self._forward(context)
-        wrong = np.exp(by_class)
+        x, hidden, logits = self._forward(context)
+        wrong = _softmax(logits)
         wrong[np.arange(len(targets)), targets // PER_CLASS] -= 1
         wrong *= n
         found = {"w2": hidden.T @ wrong, "b2": wrong.sum(0), "w3": np.zeros_like(p["w3"]), "b3": np.zeros_like(p["b3"])}
         back = wrong @ p["w2"].T
         for k, rows in _by_class(targets):
             own = hidden[rows]
-            inside = np.exp(_log_softmax(own @ p["w3"][k] + p["b3"][k]))
+            inside = _softmax(own @ p["w3"][k] + p["b3"][k])
             inside[np.arange(len(rows)), targets[rows] % PER_CLASS] -= 1
             inside *= n
             found["w3"][k], found["b3"][k] = own.T @ inside, inside.sum(0)
@@ -123,10 +123,25 @@ class Network:
         return found
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | np.floating]:
+    """Powers of e of the logits less a shift, their sums by row, and the shift."""
+    shift = logits.max()
+    if shift - logits.min() > 60:  # one shift for all rows would lose the smallest
+        shift = logits.max(axis=1, keepdims=True)
+    powers = np.exp(logits - shift)
+    return powers, powers @ np.ones(logits.shape[1], logits.dtype), shift
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    powers, sums, _ = _exponentials(logits)
+    powers /= sums[:, None]
+    return powers
+
+
+def _log_probability(logits: np.ndarray, choice: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one column."""
+    _, sums, shift = _exponentials(logits)
+    return logits[np.arange(len(choice)), choice] - np.ravel(shift) - np.log(sums)
 
 
 def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -310,7 +325,7 @@ def score_codes(codes: DataFrame, network: Network) -> DataFrame:
     return found.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 
-def score_rows(network: Network, rows: list[np.ndarray], block: int = 16_384) -> list[float]:
+def score_rows(network: Network, rows: list[np.ndarray], block: int = 8_192) -> list[float]:
     """The summed log-probabilities of each document, rounded to six decimals."""
     tokens, places = padded(rows)
     logs = [network.log_probabilities(_context(tokens, places[i:i + block]), tokens[places[i:i + block]]) for i in range(0, len(places), block)]
