@@ -101,7 +101,10 @@ def stored_table(s, d):
     path = scratch_path(s, "warehouse")
     name = "larder_" + path[-12:]
     io.write_table(_suppliers(s, d), name, options={"path": path})
-    return s.table(name)
+    stored = s.table(name)
+    stored.schema  # resolved before the name goes; the files stay with the other scratch tables
+    s.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def partitioned(s, d):

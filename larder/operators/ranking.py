@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -56,9 +57,7 @@ def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
-# Cells of the finest grid are this part of the Earth's radius wide, those of each coarser one eight times the last;
-# the coarsest holds the whole Earth.
-_FINEST = 2.0**-10
+# Cells of a grid are eight times as wide as those of the one before; the last grid holds the whole Earth.
 _COARSER = 8
 
 
@@ -80,14 +79,17 @@ def nearest(
     Points with the same coordinates are looked up once. A grid over the sphere prunes the
     distances: a point meets the places in its own and the neighbouring cells, and is
     settled when k of them lie within one cell's width, as all others are farther away. The
-    points left go on to a coarser grid, at last to one that holds the whole Earth. Places
-    and points without coordinates are left out.
+    points left go on to a coarser grid, at last to one that holds the whole Earth. The
+    first cells are as wide as to hold k places each, were these spread evenly. Places and
+    points without coordinates are left out.
     """
     known = materialize(places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns(_on_sphere(lat, lon)), "places")
     asked = points.where("lat is not null and lon is not null").select(
         "point_id", F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
     left = materialize(asked.select("_lat", "_lon").distinct().withColumns(_on_sphere("_lat", "_lon")), "points")
-    settled, size, spots = [], _FINEST, ["_lat", "_lon"]
+    # The whole sphere has an area of 4 pi squares of the Earth's radius.
+    size = min(1.0, math.sqrt(4 * math.pi * k / max(1, known.count())))
+    settled, spots = [], ["_lat", "_lon"]
     around = [(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)]
     while not left.isEmpty():
         spread = left.select(*spots, F.explode(F.array(*[_cell(size, *d) for d in around])).alias("_cell"))

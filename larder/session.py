@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,15 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[SparkSession]:
+    """Owns the tables stored inside the block: they are deleted at its end, when the results have been used."""
+    try:
+        yield spark
+    finally:
+        clear_scratch(spark)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write once to the shared folder and read back.
 

@@ -87,3 +87,18 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     for name in ("larder_left", "larder_right"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    import os
+
+    import __spark_entry__ as driver
+    from larder.session import scratch, shared_dir
+
+    queries = driver.queries()
+    with scratch(spark):
+        for name in ("table_overwrite", "expiry_notifications", "snapshot_all", "closest_stores"):
+            assert queries[name](spark, "/root/testdata/sf0.001").count() > 0
+    own = f"{shared_dir(spark).removeprefix('file://')}/larder-{spark.sparkContext.applicationId}"
+    assert not os.path.exists(own)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("larder_")]
