@@ -9,13 +9,14 @@ training: a toxic document that calls somebody something (insult), and one that
 (contempt), by short word lists. Their models feed the last one, whose category is the label itself
 and which decides, at the threshold
 that parts the out-of-fold probabilities best. Features are words and their beginnings, chosen by how far their document
-frequencies differ between labels; the models are fitted in numpy on a bounded sample of labelled
-rows, and every document is scored in its own task.
+frequencies differ between labels; the models are fitted in numpy, by one task, on a bounded sample
+of labelled rows, and every document is scored in its own task.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -169,8 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         n_features: int = FEATURES) -> ToxicityModel:
     """A chain fitted on at most ``sample_rows`` rows of ``labels`` (``doc_id``, ``toxic``) with a document.
 
-    Feature frequencies are counted in Spark; the driver sees the chosen features and the sample's
-    counts of them. Several labels of one id count as toxic if one of them does. Without labelled
+    Feature frequencies are counted in Spark; the driver sees the chosen features and the fitted
+    weights. Several labels of one id count as toxic if one of them does. Without labelled
     rows nothing is toxic.
     """
     sample = _labelled(docs, labels, id_col, text_col, sample_rows)
@@ -206,17 +207,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     names=["doc_id", "toxic", "insult", "contempt", "at", "value"])
 
     rows = sample.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        counts, "doc_id long, toxic int, insult boolean, contempt boolean, at array<int>, value array<float>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending")])
-    sizes = rows.column("at").combine_chunks()
-    x = np.zeros((rows.num_rows, len(vocabulary)), np.float32)
-    row_of = np.repeat(np.arange(rows.num_rows), [len(a) for a in sizes])
-    x[row_of, sizes.flatten().to_numpy()] = rows.column("value").combine_chunks().flatten().to_numpy()
-    toxic = rows.column("toxic").to_numpy() > 0
-    insult, contempt = (toxic & rows.column(c).to_numpy() for c in ("insult", "contempt"))
-    labels_of = np.stack([insult, contempt, toxic], axis=1).astype(np.float64)
-    models, unseen = fit_chain(x, labels_of, np.arange(len(x)) % FOLDS)
-    return ToxicityModel(vocabulary, models, threshold=best_threshold(unseen[:, -1].astype(np.float64), labels_of[:, -1]))
+        counts, "doc_id long, toxic int, insult boolean, contempt boolean, at array<int>, value array<float>")
+    # The sample is bounded, so one task fits the models, on its rows in one order whatever their layout was.
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "toxic", "at", "value")
+    fitted = ordered.mapInArrow(_fit_sample(len(vocabulary)), "place int, weights array<double>, bias double, threshold double")
+    found = sorted(fitted.collect())
+    return ToxicityModel(vocabulary, [Linear(np.array(r.weights), r.bias) for r in found], threshold=found[-1].threshold)
+
+
+def _fit_sample(width: int):
+    """A task that fits the chain on all rows it sees and gives a row for each model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = pa.Table.from_batches(batches)
+        ats = seen.column("at").combine_chunks()
+        x = np.zeros((seen.num_rows, width), np.float32)
+        row_of = np.repeat(np.arange(seen.num_rows), ats.value_lengths().to_numpy())
+        x[row_of, ats.flatten().to_numpy()] = seen.column("value").combine_chunks().flatten().to_numpy()
+        toxic = seen.column("toxic").to_numpy() > 0
+        insult, contempt = (toxic & seen.column(c).to_numpy() for c in ("insult", "contempt"))
+        labels = np.stack([insult, contempt, toxic], axis=1).astype(np.float64)
+        models, unseen = fit_chain(x, labels, np.arange(len(x)) % FOLDS)
+        threshold = best_threshold(unseen[:, -1].astype(np.float64), labels[:, -1])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(range(len(models)), pa.int32()), pa.array([m.weights for m in models], pa.list_(pa.float64())),
+            pa.array([m.bias for m in models]), pa.array([threshold] * len(models))], names=["place", "weights", "bias", "threshold"])
+
+    return run
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
