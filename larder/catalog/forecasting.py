@@ -51,13 +51,13 @@ def lag_measures(s, d):
 
 
 def linear_range(s, d):
-    """A straight line through the daily sales by day number, drawn into the future."""
+    """The daily sales, and a straight line through them by day number drawn into the future."""
     day = F.datediff("date", F.lit("2000-01-01").cast("date")).cast("double")
     daily = order_days(s, d).withColumn("day", day)
     ready = series.as_vector(daily, ["day"])
     model = LinearRegression(featuresCol="features", labelCol="total_sales", solver="normal").fit(ready)
     ahead = series.as_vector(date_spine(s, "2001-09-01", "2001-12-31").withColumn("day", day), ["day"])
-    return model.transform(ahead).select("date", F.round("prediction", 3).alias("value"))
+    return forecast.with_history(daily, "date", "total_sales", model.transform(ahead)).withColumn("value", F.round("value", 3))
 
 
 def seasonal_features(s, d):
@@ -116,7 +116,9 @@ ORACLES = {
                round(1 - sum(pow(y - p, 2)) / sum(pow(y - m, 2)), 4) AS r2
         FROM (SELECT total_sales AS y, total_sales_lag_1 AS p, avg(total_sales) OVER () AS m FROM ({_LAGGED}))""",
     "linear_forecast_range": f"""
-        SELECT CAST(d AS DATE) AS date, round(intercept + slope * date_diff('day', DATE '2000-01-01', CAST(d AS DATE)), 3) AS value
+        SELECT date, round(total_sales, 3) AS value, 'history' AS kind FROM ({_DAYS})
+        UNION ALL
+        SELECT CAST(d AS DATE) AS date, round(intercept + slope * date_diff('day', DATE '2000-01-01', CAST(d AS DATE)), 3) AS value, 'forecast' AS kind
         FROM (SELECT regr_slope(total_sales, x) AS slope, regr_intercept(total_sales, x) AS intercept
               FROM (SELECT total_sales, CAST(date_diff('day', DATE '2000-01-01', date) AS DOUBLE) AS x FROM ({_DAYS}))),
              generate_series(DATE '2001-09-01', DATE '2001-12-31', INTERVAL 1 DAY) g(d)""",

@@ -99,9 +99,14 @@ def forecast_range(daily: DataFrame, date: str, label: str, model: Model, first:
     """History and predictions for every day of a future range, told apart by ``kind``."""
     future = with_calendar(date_spine(daily.sparkSession, first, last, date), date)
     ready = VectorAssembler(inputCols=list(CALENDAR_FEATURES), outputCol="features").transform(future)
-    predicted = model.transform(ready).select(date, F.col("prediction").alias("value"))
+    return with_history(daily, date, label, model.transform(ready))
+
+
+def with_history(daily: DataFrame, date: str, label: str, predicted: DataFrame) -> DataFrame:
+    """The known days and the predicted ones under each other: (date, value, kind)."""
+    ahead = predicted.select(date, F.col("prediction").alias("value"))
     return daily.select(date, F.col(label).alias("value")).withColumn("kind", F.lit("history")).unionByName(
-        predicted.withColumn("kind", F.lit("forecast"))
+        ahead.withColumn("kind", F.lit("forecast"))
     )
 
 
