@@ -224,12 +224,12 @@ def _counts_batch(counts: Counter) -> pa.RecordBatch:
 
 def encoder(vocabulary: list[str]):
     """Text to token numbers: a known word by its rank, another by its length."""
-    known = {w: i for i, w in enumerate(vocabulary)}
+    rank = {w: i for i, w in enumerate(vocabulary)}.get
     lengths = VOCABULARY - PER_CLASS
 
     def encode(text: str) -> np.ndarray:
-        found = [known[w] if w in known else lengths + min(len(w), PER_CLASS) - 1 for w in words(text)]
-        return np.array(found, np.int16)
+        found = np.array([rank(w, -len(w)) for w in words(text)], np.int64)
+        return np.where(found < 0, lengths - 1 + np.minimum(-found, PER_CLASS), found).astype(np.int16)
 
     return encode
 

@@ -31,8 +31,11 @@ def _piece(part: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, list[str]]:
 
 
 def select_as(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the operator's own names, so that extra columns cannot clash."""
-    return df.select(*(df[source].alias(name) for name, source in columns.items()))
+    """Only the named columns, under the operator's own names, so that extra columns cannot clash.
+
+    Names ending in ``_id`` become 64-bit numbers, the others text.
+    """
+    return df.select(*(df[source].cast("long" if name.endswith("_id") else "string").alias(name) for name, source in columns.items()))
 
 
 def append_columns(df: DataFrame, text: str, added: T.StructType,
