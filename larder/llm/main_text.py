@@ -47,20 +47,24 @@ ABOUT_OTHERS = frozenset(("no", "has", "with", "without", "hide", "show"))
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _MARKS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_NAME_PARTS = re.compile(r"[^a-z0-9]+")
+_NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _RAW_ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
 def _marked(attributes: str) -> bool:
-    """Whether a class, id or role says that an element is not article text; "no-sidebar" and the like do not say so."""
-    if "=" not in attributes:
+    """Whether an element is hidden, or a class, id or role says that it is not article text.
+
+    Names are read in parts ("cookieBanner", "ad-slot2"); "no-sidebar" and the like say nothing.
+    """
+    if not attributes.strip():
         return False
-    for value in ("".join(m).lower() for m in _MARKS.findall(attributes)):
+    for value in ("".join(m) for m in _MARKS.findall(attributes)):
         for word in value.split():
-            parts = _NAME_PARTS.split(word)
-            if parts[0] not in ABOUT_OTHERS and not NOT_ARTICLE.isdisjoint(parts):
+            parts = [p.lower() for p in _NAME_PARTS.findall(word)]
+            if parts and parts[0] not in ABOUT_OTHERS and not NOT_ARTICLE.isdisjoint(parts):
                 return True
-    return False
+    return bool(_HIDDEN.search(attributes))
 
 
 class _Lines:
@@ -136,7 +140,8 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[bool]]:
             continue
         never = name in NEVER_TEXT or name == "header" and not articles
         if name not in VOID and name not in ("html", "body") and (never or by_marks and _marked(attributes)):
-            lines.end(articles > 0, 1)
+            if never or name in BLOCKS:  # others are part of a line
+                lines.end(articles > 0, 1)
             if not attributes.endswith("/"):
                 skipped, depth = name, 1
             continue

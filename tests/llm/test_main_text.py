@@ -45,6 +45,8 @@ def test_odd_markup():
     assert mt.main_text("<p>a<br>b&nbsp; c<p><b>bold<i>er</b> x</i>") == "a b c\nbolder x"
     assert mt.main_text('<div class="ad">never closed <article><p>Text here</p>') == "Text here"
     assert mt.main_text('<div class="page no-sidebar"><p>Text here</p></div>') == "Text here"
+    assert mt.main_text('<article><p class="notice">Sign here<p>Text <span aria-hidden="true">icon</span>here<p hidden>no<p>End</article>') == "Text here\nEnd"
+    assert mt.main_text('<div id="ad2">Buy</div><div class="cookieBanner">Yes</div><div class="adventure story">Text here</div>') == "Text here"
     assert mt.main_text('<div class="promo"><p>All there is</p></div>') == "All there is"
     assert mt.main_text("<p>1 < 2 and <3 <a title='x>y'>link text</a> with more around it") == "1 < 2 and <3 link text with more around it"
     assert mt.main_text("<article>" + "<p>x" * 30_000) == "\n".join(["x"] * 30_000)
