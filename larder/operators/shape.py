@@ -54,10 +54,12 @@ def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left outer join on one key in which the left rows without a key take no part.
 
     A null matches nothing; shuffled by key, all of them would meet in one task. They
-    are dealt by a seeded random number instead, and ``left`` is still read once.
+    are dealt by their other columns instead, and ``left`` is still read once.
     """
     # The key and a stand-in number: 0 for keys, one of many for null keys, which no right row has.
-    stand_in = F.when(F.col(key).isNull(), F.floor(F.rand(11) * 4096).cast("int") + 1).otherwise(0)
+    # A hash of the row, unlike a random number, is the same when a lost task is run again; maps have none.
+    plain = [c for c, t in left.dtypes if "map<" not in t]
+    stand_in = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*plain), F.lit(4096)).cast("int") + 1).otherwise(0)
     known = right.where(F.col(key).isNotNull()).withColumnRenamed(key, "_key").withColumn("_zero", F.lit(0))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_stand_in") == F.col("_zero"))
     return left.withColumn("_stand_in", stand_in).join(known, same, "left").drop("_key", "_zero", "_stand_in")
