@@ -30,7 +30,7 @@ from larder.llm.rows import append_columns, pieces, select_as
 #: Labelled rows the chain is fitted on at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 8_000
 #: Words and word beginnings with a weight.
-FEATURES = 1_500
+FEATURES = 800
 #: Labelled documents a feature must be found in at least.
 LEAST_DOCS = 4
 #: Lengths of the word beginnings that are features beside whole words.
