@@ -30,9 +30,9 @@ from larder.llm.rows import append_columns, pieces, select_as
 #: Labelled rows the chain is fitted on at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 8_000
 #: Words and word beginnings with a weight.
-FEATURES = 800
+FEATURES = 1_500
 #: Labelled documents a feature must be found in at least.
-LEAST_DOCS = 4
+LEAST_DOCS = 8
 #: Lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = (5, 7)
 FOLDS = 5
@@ -71,7 +71,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, penalty: float = 1e-4) -> Linear:
+def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, penalty: float = 1e-3) -> Linear:
     """Logistic regression by accelerated gradient steps; a label seen on no row, or on all, gives a constant model."""
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
