@@ -42,7 +42,7 @@ MASKED = 0.15
 BATCH = 4_096
 RATE = 0.08
 #: Tokens of a shard, on average.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 4_000_000
 #: Words counted in a task before its counts are handed on.
 COUNTED_WORDS = 400_000
 #: Weights are averaged in whole units of this size.
@@ -93,25 +93,30 @@ class Network:
 
     def log_probabilities(self, context: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Of each target, given the tokens around it."""
-        _, hidden, logits = self._forward(context)
-        out = _log_probability(logits, targets // PER_CLASS)
-        for k, rows in _by_class(targets):
-            out[rows] += _log_probability(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k], targets[rows] % PER_CLASS)
+        order, classes = _by_class(targets)
+        targets, out = targets[order], np.empty(len(targets), np.float32)
+        _, hidden, logits = self._forward(context[order])
+        found = _log_probability(logits, targets // PER_CLASS)
+        for k, rows in classes:
+            found[rows] += _log_probability(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k], targets[rows] % PER_CLASS)
+        out[order] = found
         return out
 
     def gradients(self, context: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
         p, n = self.parts, np.float32(1 / len(targets))
+        order, classes = _by_class(targets)
+        context, targets = context[order], targets[order]
         x, hidden, logits = self._forward(context)
         wrong = _softmax(logits)
         wrong[np.arange(len(targets)), targets // PER_CLASS] -= 1
         wrong *= n
         found = {"w2": hidden.T @ wrong, "b2": wrong.sum(0), "w3": np.zeros_like(p["w3"]), "b3": np.zeros_like(p["b3"])}
         back = wrong @ p["w2"].T
-        for k, rows in _by_class(targets):
+        for k, rows in classes:
             own = hidden[rows]
             inside = _softmax(own @ p["w3"][k] + p["b3"][k])
-            inside[np.arange(len(rows)), targets[rows] % PER_CLASS] -= 1
+            inside[np.arange(len(inside)), targets[rows] % PER_CLASS] -= 1
             inside *= n
             found["w3"][k], found["b3"][k] = own.T @ inside, inside.sum(0)
             back[rows] += inside @ p["w3"][k].T
@@ -144,14 +149,12 @@ def _log_probability(logits: np.ndarray, choice: np.ndarray) -> np.ndarray:
     return logits[np.arange(len(choice)), choice] - np.ravel(shift) - np.log(sums)
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each class with the rows whose target is in it."""
-    classes = targets // PER_CLASS
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order that brings targets of a class together, and where each class found is in it."""
+    classes = (targets // PER_CLASS).astype(np.int16)
     order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        if edges[k] < edges[k + 1]:
-            yield k, order[edges[k]:edges[k + 1]]
+    edges = np.searchsorted(classes[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(k, slice(a, b)) for k, (a, b) in enumerate(zip(edges, edges[1:])) if a < b]
 
 
 def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
