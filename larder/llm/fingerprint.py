@@ -235,7 +235,7 @@ def _row(this: _Side, following: _Side | None) -> tuple:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by part, own ones by id and then those borrowed from the next part; each own row meets the one after it."""
-    schema, held, part_of_held = None, None, None
+    held, part_of_held = None, None
     names = [c.split()[0] for c in _COMPARED.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     schema = pa.schema(list(zip(names, kinds)))

@@ -1,7 +1,6 @@
 import random
 
 import xxhash
-from pyspark.sql import functions as F
 
 from larder.llm import queries, simhash
 from larder.llm.graph import components
