@@ -6,7 +6,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from larder.catalog.inputs import table
 from larder.catalog.sales import ORACLES as ORACLES_OF_SALES, dated_lines, lag_features, order_days
 from larder.operators.calendar import date_spine
 from larder.plans import forecast, series

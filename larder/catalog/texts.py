@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.catalog import inputs as i
 from larder.catalog.inputs import table
 from larder.functions.money import pair_spec_lines, rupee_block
 from larder.plans import extraction
