@@ -26,17 +26,25 @@ def fill_gaps(daily: DataFrame, spine: DataFrame, date: str, values: Sequence[st
     )
 
 
+def days_of(date: str, series: Sequence[str] = ()):
+    """The days of each series, or of the only one, in order."""
+    return Window.partitionBy(*(series or [F.lit(0)])).orderBy(date)
+
+
+def once_a_day(date: str, days, value: Column) -> Column:
+    """``value``, or an error where a day has another row: what bounds such a window is the calendar."""
+    again = F.lag(date).over(days).eqNullSafe(F.col(date)) & F.col(date).isNotNull()
+    return F.when(again, F.raise_error(F.lit("a daily series has more than one row of a day"))).otherwise(value)
+
+
 def add_lags(df: DataFrame, date: str, metrics: Sequence[str], steps: int, series: Sequence[str] = ()) -> DataFrame:
     """metric_lag_1..steps per series; rows without a full history are dropped.
 
-    Input is a daily series, so a window partition holds at most one row per day.
+    Input is a daily series, so a window partition holds at most one row per day;
+    a second row of a day is an error.
     """
-    if series:
-        w = Window.partitionBy(*series).orderBy(date)
-    else:
-        # One daily series: the whole input is bounded by the number of days.
-        w = Window.partitionBy(F.lit(0)).orderBy(date)
-    names = {f"{m}_lag_{k}": F.lag(m, k).over(w) for m in metrics for k in range(1, steps + 1)}
+    w = days_of(date, series)
+    names = {f"{m}_lag_{k}": once_a_day(date, w, F.lag(m, k).over(w)) for m in metrics for k in range(1, steps + 1)}
     return df.withColumns(names).na.drop("any", subset=list(names))
 
 

@@ -20,9 +20,9 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.operators.calendar import after, date_spine, until
+from larder.operators.calendar import after, date_spine, days_of, once_a_day, until
 from larder.plans.series import CALENDAR_FEATURES, with_calendar
 
 MEASURES = ("mae", "mse", "rmse", "r2")
@@ -120,8 +120,8 @@ GRIDS = {
 
 def with_folds(daily: DataFrame, date: str, folds: int, name: str) -> DataFrame:
     """Consecutive stretches of time, numbered from 0; the input is a daily series, one row per day."""
-    order = Window.partitionBy(F.lit(0)).orderBy(date)
-    return daily.withColumn(name, (F.ntile(folds).over(order) - 1).cast("int"))
+    days = days_of(date)
+    return daily.withColumn(name, once_a_day(date, days, (F.ntile(folds).over(days) - 1).cast("int")))
 
 
 def tune(

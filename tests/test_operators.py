@@ -199,6 +199,14 @@ def test_lags_and_gaps(spark):
     assert calendar.spine_of(daily.limit(0), "date").count() == 0
 
 
+def test_a_daily_series_has_one_row_per_day(spark):
+    day = datetime.date(2024, 1, 1)
+    twice = spark.createDataFrame([("a", day, 1.0), ("b", day, 2.0)], "s string, date date, v double")
+    assert calendar.add_lags(twice, "date", ["v"], 1, ["s"]).count() == 0
+    with pytest.raises(Exception, match="more than one row of a day"):
+        calendar.add_lags(twice, "date", ["v"], 1).collect()
+
+
 def test_lags_per_series(spark):
     rows = [(s, datetime.date(2024, 1, n), float(n * (1 if s == "a" else 10))) for s in "ab" for n in (1, 2, 3)]
     df = spark.createDataFrame(rows, "s string, date date, v double")
