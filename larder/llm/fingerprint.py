@@ -5,11 +5,16 @@ The prefix array of a text holds, for every i, the sum of ``(c[j] + 1) * B**j``
 prefix values agree after shifting one by a power of B; the longest common extension of two
 positions is found by binary search over its length.
 
-A fingerprint is the prefix array at the multiples of a power of two, at most ``CELLS`` of them, and
-the hashes of the suffixes of the same lengths, so that texts of other lengths can be compared: the
-coarser grid of two is part of the finer. Likeness is the part of the longer text that two
-fingerprints show to be shared: the longest common prefix and suffix (binary search on the grid) and
-grid cells that agree between them.
+A fingerprint holds the hashes of consecutive spans that cover the whole text. They are cut where the
+hash of the code points before says so, so that the same passage gives the same spans at any offset,
+and their number grows with the text. Besides, it is the prefix array at the multiples of a power of
+two, at most ``CELLS`` of them, and the hashes of the suffixes of the same lengths, for texts that are
+too short for spans: the coarser grid of two is part of the finer.
+
+Likeness is the part of the longer text that both have in common. Spans and grid cells that agree are
+anchors. With the texts at hand, each anchor is extended to the longest run that agrees on either side
+of it, as are both ends of the texts. Written fingerprints alone show the anchors and, by binary search
+on the grid, the common prefix and suffix.
 """
 
 from __future__ import annotations
@@ -31,6 +36,10 @@ BASES = (1_234_567_891, 987_654_323)
 CELLS = 32
 #: Cells of fewer code points agree by chance too often to count between prefix and suffix.
 LEAST_CELL = 16
+#: Code points whose hash decides on a cut after them, and one cut in how many places.
+CUT_WINDOW, CUT_EVERY = 16, 64
+#: Code points of a span, at least (the last one of a text aside) and at most.
+LEAST_SPAN, MOST_SPAN = 16, 256
 
 _SHIFT = np.uint64(31)
 _PRIME = np.uint64(PRIME)
@@ -88,17 +97,34 @@ class PrefixHashes:
             found.append((int(array[stop]) - int(array[start])) * int(inverse[start]) % PRIME)
         return tuple(found)
 
-    def common_extension(self, at: int, other: PrefixHashes, other_at: int) -> int:
-        """How many code points agree from ``at`` here and ``other_at`` there: binary search over span equality."""
-        low, high = 0, min(self.size - at, other.size - other_at)
+    def common_extension(self, at: int, other: PrefixHashes, other_at: int, back: bool = False) -> int:
+        """How many code points agree from ``at`` here and ``other_at`` there: binary search over span equality.
+
+        With ``back``, how many agree before them.
+        """
+        low, high = 0, min(at, other_at) if back else min(self.size - at, other.size - other_at)
         while low < high:
             middle = (low + high + 1) // 2
-            if self.span(at, at + middle) == other.span(other_at, other_at + middle):
+            here, there = (at - middle, other_at - middle) if back else (at, other_at)
+            if self.span(here, here + middle) == other.span(there, there + middle):
                 low = middle
             else:
                 high = middle - 1
         return low
 
+    def cuts(self) -> list[int]:
+        """Bounds of the spans, from 0 to the length; where they are depends on the code points near them only."""
+        array, inverse = self.arrays[0], _POWERS[0].upto(self.size)[1]
+        count = max(0, self.size - CUT_WINDOW)
+        before = _reduce(_reduce(array[CUT_WINDOW:CUT_WINDOW + count] + _PRIME - array[:count]) * inverse[:count])
+        found = [0]
+        for cut in [*(np.flatnonzero(before % np.uint64(CUT_EVERY) == 0) + CUT_WINDOW).tolist(), self.size]:
+            if cut - found[-1] > MOST_SPAN:
+                found += range(found[-1] + MOST_SPAN, cut, MOST_SPAN)
+            if cut - found[-1] >= LEAST_SPAN or cut == self.size > found[-1]:
+                found.append(cut)
+        return found
+
     def fingerprint(self) -> Fingerprint:
         step = 1
         while self.size > step * CELLS:
@@ -110,19 +136,28 @@ class PrefixHashes:
             heads.append(array[marks])
             tails.append(_reduce(_reduce(array[self.size] + _PRIME - array[starts]) * inverse[starts]))
         whole = [int(a[self.size]) for a in self.arrays]
-        return Fingerprint(self.size, step, whole, np.array(heads), np.array(tails))
+        cuts = np.array(self.cuts())
+        spans = [_reduce(_reduce(array[cuts[1:]] + _PRIME - array[cuts[:-1]]) * powers.upto(self.size)[1][cuts[:-1]])
+                 for array, powers in zip(self.arrays, _POWERS)]
+        return Fingerprint(self.size, step, whole, np.array(heads), np.array(tails), np.array([*spans, np.diff(cuts).astype(np.uint64)]), self)
 
 
 class Fingerprint:
-    """``heads[k][i]``: hash of the first ``i * step`` code points under base k; ``tails``: of the last."""
+    """``heads[k][i]``: hash of the first ``i * step`` code points under base k; ``tails``: of the last.
+
+    ``spans``: a row of hashes for each base, and the lengths. ``hashes``: the arrays of the text, while at hand.
+    """
 
-    def __init__(self, size: int, step: int, whole: list[int], heads: np.ndarray, tails: np.ndarray):
+    def __init__(self, size: int, step: int, whole: list[int], heads: np.ndarray, tails: np.ndarray, spans: np.ndarray,
+                 hashes: PrefixHashes | None = None):
         self.size, self.step, self.whole, self.heads, self.tails = size, step, whole, heads, tails
+        self.spans, self.hashes = spans, hashes
 
     def __str__(self) -> str:
-        """Length, hash of the whole text, and both grids, in hexadecimal; equal for equal texts."""
+        """Length, hash of the whole text, both grids, and spans, in hexadecimal; equal for equal texts."""
         grids = [g[:, 1:].T.astype(">u4").tobytes().hex() for g in (self.heads, self.tails)]
-        return f"{self.size:x}:{self.whole[0]:08x}{self.whole[1]:08x}:{grids[0]}:{grids[1]}"
+        spans = self.spans.T.astype(">u4").tobytes().hex()
+        return f"{self.size:x}:{self.whole[0]:08x}{self.whole[1]:08x}:{grids[0]}:{grids[1]}:{spans}"
 
     @staticmethod
     def parse(text: str) -> Fingerprint:
@@ -130,20 +165,27 @@ class Fingerprint:
         step = 1
         while int(size, 16) > step * CELLS:
             step *= 2
+        spans = np.frombuffer(bytes.fromhex(grids.pop()), ">u4").reshape(-1, 3).T.astype(np.uint64)
         read = [np.frombuffer(bytes.fromhex(g), ">u4").reshape(-1, 2).T.astype(np.uint64) for g in grids]
         first = np.zeros((2, 1), np.uint64)
         return Fingerprint(int(size, 16), step, [int(whole[:8], 16), int(whole[8:], 16)],
-                           *(np.concatenate((first, g), axis=1) for g in read))
+                           *(np.concatenate((first, g), axis=1) for g in read), spans)
 
     def likeness(self, other: Fingerprint) -> float:
         """Share of the longer text that both are shown to have in common; 1 for equal texts, two empty ones too."""
         longest = max(self.size, other.size)
         if self.size == other.size and self.whole == other.whole:
             return 1.0
+        common = self._same_cells(other) + self._same_spans(other)
+        if self.hashes and other.hashes:
+            common = _extended(self.hashes, other.hashes, common)
+        shared = min(_covered([(c[side], c[side] + c[2]) for c in common]) for side in (0, 1))
+        return shared / longest
+
+    def _same_cells(self, other: Fingerprint) -> list[tuple[int, int, int]]:
+        """Where a grid cell agrees with the one at the same offset from the front or the back: both places, and its size."""
         step = max(self.step, other.step)
         count = min(self.size, other.size) // step
-        if not count:
-            return 0.0
         agree = []
         for a, b in ((self.heads, other.heads), (self.tails, other.tails)):
             agree.append((a[:, :: step // self.step][:, :count + 1] == b[:, :: step // other.step][:, :count + 1]).all(axis=0))
@@ -152,8 +194,22 @@ class Fingerprint:
         if step >= LEAST_CELL:
             cells[0] |= self._cells(other, "heads", step, count)
             cells[1] |= self._cells(other, "tails", step, count)
-        shared = min(_covered(cells, step, size) for size in (self.size, other.size))
-        return min(shared, longest) / longest
+        front, back = (np.flatnonzero(c).tolist() for c in cells)
+        return ([(i * step, i * step, step) for i in front]
+                + [(self.size - (i + 1) * step, other.size - (i + 1) * step, step) for i in back])
+
+    def _same_spans(self, other: Fingerprint) -> list[tuple[int, int, int]]:
+        """Spans that agree, wherever they stand, the first with the first and so on: both places, and their size."""
+        places: dict[tuple, list[int]] = {}
+        for key, at in reversed(other._placed()):
+            places.setdefault(key, []).append(at)
+        return [(at, places[key].pop(), key[2]) for key, at in self._placed() if places.get(key)]
+
+    def _placed(self) -> list[tuple[tuple, int]]:
+        """Each span of at least ``LEAST_SPAN`` with its start."""
+        rows = list(zip(*self.spans.tolist()))
+        starts = [0, *np.cumsum(self.spans[2].astype(np.int64)).tolist()]
+        return [(r, a) for r, a in zip(rows, starts) if r[2] >= LEAST_SPAN]
 
     def _cells(self, other: Fingerprint, grid: str, step: int, count: int) -> np.ndarray:
         """Which cells of the common grid agree, whatever stands before them."""
@@ -178,12 +234,26 @@ def _last_true(agree: np.ndarray) -> int:
     return low
 
 
-def _covered(cells: list[np.ndarray], step: int, size: int) -> int:
-    """Code points in cells counted from the front or from the back of a text."""
-    spans = sorted([(i * step, (i + 1) * step) for i in np.flatnonzero(cells[0]).tolist()]
-                   + [(size - (i + 1) * step, size - i * step) for i in np.flatnonzero(cells[1]).tolist()])
+def _extended(here: PrefixHashes, there: PrefixHashes, anchors: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The longest runs that agree around each anchor, and at both ends of the texts."""
+    head = here.common_extension(0, there, 0)
+    tail = here.common_extension(here.size, there, there.size, back=True)
+    found = [(0, 0, head), (here.size - tail, there.size - tail, tail)]
+    upto = {0: head}  # how far the runs found reach, for each distance between the places
+    for at, other_at, size in sorted(anchors):
+        if at + size <= upto.get(at - other_at, 0):
+            continue
+        before = here.common_extension(at, there, other_at, back=True)
+        after = here.common_extension(at, there, other_at)
+        found.append((at - before, other_at - before, before + after))
+        upto[at - other_at] = at + after
+    return found
+
+
+def _covered(spans: list[tuple[int, int]]) -> int:
+    """Code points in any of the spans."""
     total, upto = 0, 0
-    for start, stop in spans:
+    for start, stop in sorted(spans):
         total += max(0, stop - max(start, upto))
         upto = max(upto, stop)
     return total

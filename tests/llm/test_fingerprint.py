@@ -61,6 +61,31 @@ def test_likeness_finds_what_is_shared():
         assert near(text[:size], fp._text(changed)) >= 0.75 - 1 / 16 - (0.1 if size < 4 else 0)
 
 
+def test_likeness_of_copies_with_many_edits_and_of_moved_text():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(6666)]
+
+    def near(a, b):
+        one, two = hashes(a).fingerprint(), hashes(b).fingerprint()
+        exact, written = one.likeness(two), fp.Fingerprint.parse(str(one)).likeness(fp.Fingerprint.parse(str(two)))
+        assert written <= exact == two.likeness(one)
+        return exact, written
+
+    text = " ".join(words)
+    for edits, most_lost, least in ((5, 0.01, 0.96), (20, 0.02, 0.9), (200, 0.3, 0.4)):
+        changed = list(words)
+        for place in rng.sample(range(len(words)), edits):
+            changed[place] = "another" * rng.randint(1, 2)
+        exact, written = near(text, " ".join(changed))
+        assert exact > 1 - most_lost and written > least
+    half = len(text) // 2
+    assert min(near(text, text[half:] + text[:half])) > 0.99
+    other = "".join(rng.choices("klmnop", k=half))
+    assert min(near(text, other[:777] + text[half:] + other)) > 0.48
+    assert len(str(hashes(text).fingerprint())) > 3 * len(str(hashes(text[:half // 2]).fingerprint()))
+    assert near("ab" * 9_000 + "c" + "ab" * 9_000 + "dd" + "ab" * 100, "ab" * 18_100)[0] > 0.99
+
+
 def slow(rows):
     order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0], r[1].encode()))
     out = []
