@@ -5,16 +5,20 @@ the four neighbours up in one embedding table, passes them through a tanh layer
 probability in two steps: its class, then the word within the class. A document's score is the sum of
 the logarithms over all its tokens.
 
-The vocabulary is the most frequent words of all documents, other words standing for their length.
-Training is spread over shards: in each round every shard starts from the same weights, learns from a
-random part of its tokens, the masked ones, and the shards' weights are averaged by their number of
-masked tokens. The number of shards follows the number of tokens; which documents share a shard
+The network's vocabulary is the most frequent words of all documents; other words stand for their
+length. These have a third step, from the length to the word, counted over all documents: by its own
+frequency if it is among the listed words, and otherwise letter by letter, each after the two before.
+
+Training is spread over shards: in each round every shard starts from the same weights, learns from
+the tokens whose turn it is, the masked ones, and the shards' weights are averaged by their number of
+masked tokens. Every token has its turn in one of the rounds. The number of shards follows the number of tokens; which documents share a shard
 follows from their ids, so the result does not depend on how the table is stored or split. Sums are
 taken over whole numbers, so that their order does not matter either.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,15 +40,20 @@ VOCABULARY = CLASSES * PER_CLASS
 WINDOW = 2
 EMBEDDING = 12
 HIDDEN = 24
+#: Passes over the documents; each token is masked for training in one of them.
 ROUNDS = 2
-#: The part of all tokens masked for training in each round.
-MASKED = 0.15
 BATCH = 4_096
 RATE = 0.08
 #: Tokens of a shard, on average.
 SHARD_TOKENS = 4_000_000
 #: Words counted in a task before its counts are handed on.
 COUNTED_WORDS = 400_000
+#: Words beyond the vocabulary with a frequency of their own, at most; the least frequent of them sets the floor.
+LISTED = 50_000
+#: Kinds of letters in the spelling of other words: none, the most frequent, and all others.
+LETTERS = 64
+#: Weight of a letter's frequency, in counts, beside its frequency after two others.
+PRIOR = 4.0
 #: Weights are averaged in whole units of this size.
 UNIT = 2.0**-24
 
@@ -173,14 +182,21 @@ def _context(tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
     return tokens[places[:, None] + np.array(around)]
 
 
-def train_shard(network: Network, rows: Iterator[np.ndarray], seed: int) -> tuple[Network, int]:
+def turns(row: np.ndarray, rounds: int) -> np.ndarray:
+    """The round in which each token of a document is masked, drawn by its place and the document's tokens."""
+    mixed = (np.arange(len(row), dtype=np.uint64) + np.uint64(row.sum(dtype=np.int64) & 0xFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed ^ mixed >> np.uint64(32)) % np.uint64(rounds)).astype(np.int64)
+
+
+def train_shard(network: Network, rows: Iterator[np.ndarray], seed: int, turn: int = 0, rounds: int = 1) -> tuple[Network, int]:
     """The network after one pass over the masked tokens of a shard's documents, and their number."""
     own = Network({k: v.copy() for k, v in network.parts.items()})
     past = {k: np.full_like(v, 1e-6) for k, v in own.parts.items()}
     rng, seen = np.random.default_rng(seed), 0
     for group in _groups(rows, 200_000):
         tokens, places = padded(group)
-        masked = rng.permutation(places[rng.random(len(places)) < MASKED])
+        masked = rng.permutation(places[np.concatenate([turns(row, rounds) for row in group]) == turn])
         for at in range(0, len(masked), BATCH):
             chosen = masked[at:at + BATCH]
             share = np.float32(len(chosen) / BATCH)
@@ -226,43 +242,158 @@ def _counts_batch(counts: Counter) -> pa.RecordBatch:
 
 
 def encoder(vocabulary: list[str]):
-    """Text to token numbers: a known word by its rank, another by its length."""
+    """Text, or its words, to token numbers: a known word by its rank, another by its length."""
     rank = {w: i for i, w in enumerate(vocabulary)}.get
     lengths = VOCABULARY - PER_CLASS
 
-    def encode(text: str) -> np.ndarray:
-        found = np.array([rank(w, -len(w)) for w in words(text)], np.int64)
+    def encode(text: str | list[str]) -> np.ndarray:
+        found = np.array([rank(w, -len(w)) for w in (words(text) if isinstance(text, str) else text)], np.int64)
         return np.where(found < 0, lengths - 1 + np.minimum(-found, PER_CLASS), found).astype(np.int16)
 
     return encode
 
 
+class Spelling:
+    """Probability of a word outside the vocabulary, given its length code.
+
+    Over the words of a code, probabilities sum to one: listed words share their part of the counts by
+    frequency, and the other part is shared letter by letter among all words.
+    """
+
+    def __init__(self, listed: dict[str, int], letters: dict[int, int], rest: np.ndarray, long: tuple[int, int], triples: np.ndarray):
+        """``rest``: occurrences of other words by length code; ``long``: number and letters of those as long as the last one or longer."""
+        self.listed = listed
+        self.all = rest + 1.0
+        for word, n in listed.items():
+            self.all[min(len(word), PER_CLASS)] += n
+        self.rest = np.log(rest + 1.0)
+        known = sorted(letters, key=lambda c: (-letters[c], c))[:LETTERS - 2]
+        self.kind = {c: i + 1 for i, c in enumerate(known)}
+        others = {c: n for c, n in letters.items() if c not in self.kind}
+        self.unlisted = -math.log(sum(others.values()) + 0x110000 - len(known))
+        self.other = {c: math.log(n + 1) + self.unlisted for c, n in others.items()}
+        alone = triples.sum(axis=(0, 1))[1:] + 1.0
+        alone /= alone.sum()
+        self.steps = np.log((triples[:, :, 1:] + PRIOR * alone) / (triples[:, :, 1:].sum(axis=2, keepdims=True) + PRIOR))
+        self.flat = self.steps.ravel().tolist()
+        # Each further letter of a word of the last code follows with the same probability.
+        excess = long[1] - PER_CLASS * long[0]
+        self.ends, self.goes_on = math.log((long[0] + 1) / (long[0] + excess + 2)), math.log((excess + 1) / (long[0] + excess + 2))
+
+    def log_letters(self, word: str) -> float:
+        """Of the word's letters, given its length code."""
+        total, pair, kind, flat = 0.0, 0, self.kind.get, self.flat
+        for c in map(ord, word):
+            three = kind(c, LETTERS - 1)
+            total += flat[pair * (LETTERS - 1) + three - 1]
+            if three == LETTERS - 1:
+                total += self.other.get(c, self.unlisted)
+            pair = pair % LETTERS * LETTERS + three
+        if len(word) >= PER_CLASS:
+            total += self.ends + (len(word) - PER_CLASS) * self.goes_on
+        return total
+
+    def log_probability(self, word: str) -> float:
+        code = min(len(word), PER_CLASS)
+        spelt = float(self.rest[code]) + self.log_letters(word)
+        n = self.listed.get(word, 0)
+        return (math.log(n + math.exp(spelt)) if n else spelt) - math.log(self.all[code])
+
+
+def _rare_counts(counts: DataFrame, known: set[str], kind: dict[int, int] | None) -> DataFrame:
+    """``key``, ``n``, ``letters``: counted over the words not ``known``, letters by code point or, if ``kind`` is given, in threes.
+
+    Without ``kind``, lengths are counted too, under -1 less the length code, with the letters they sum to.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[int] = Counter()
+        sizes: Counter[int] = Counter()
+        for batch in batches:
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                if word in known:
+                    continue
+                if kind is None:
+                    code = -1 - min(len(word), PER_CLASS)
+                    found[code] += n
+                    sizes[code] += n * len(word)
+                    for letter in word:
+                        found[ord(letter)] += n
+                    continue
+                key = 0
+                for letter in word:
+                    key = (key * LETTERS + kind.get(ord(letter), LETTERS - 1)) % LETTERS**3
+                    found[key] += n
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64()),
+                                          pa.array([sizes[k] for k in found], pa.int64())], names=["key", "n", "letters"])
+
+    return counts.mapInArrow(run, "key int, n long, letters long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("letters").alias("letters"))
+
+
+def spelling(counts: DataFrame, vocabulary: list[str]) -> Spelling:
+    """Counted over all words outside the vocabulary; the driver holds the listed words and the letters' counts."""
+    room, floor = LISTED + len(vocabulary), 1
+    for row in sorted(counts.groupBy("n").count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            floor = row.n + 1
+            break
+    own = set(vocabulary)
+    listed = {r.word: r.n for r in counts.where(F.col("n") >= floor).collect() if r.word not in own}
+    below = counts.where(F.col("n") < floor)
+    single = {r.key: (r.n, r.letters) for r in _rare_counts(below, own, None).collect()}
+    letters = {k: n for k, (n, _) in single.items() if k >= 0}
+    rest = np.array([single.get(-1 - code, (0, 0))[0] for code in range(PER_CLASS + 1)], np.float64)
+    triples = np.zeros(LETTERS**3)
+    found = Spelling(listed, letters, rest, single.get(-1 - PER_CLASS, (0, 0)), triples.reshape(LETTERS, LETTERS, LETTERS))
+    for r in _rare_counts(below, own, found.kind).collect():
+        triples[r.key] = r.n
+    return Spelling(listed, letters, rest, single.get(-1 - PER_CLASS, (0, 0)), triples.reshape(LETTERS, LETTERS, LETTERS))
+
+
 @dataclass
 class LanguageModel:
     vocabulary: list[str]
     network: Network
+    spelling: Spelling
 
 
-def encode(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``doc_id``, ``codes`` (16-bit token numbers as bytes), ``n_tokens``."""
-    coder = encoder(vocabulary)
+def encode(docs: DataFrame, vocabulary: list[str], spelt: Spelling) -> DataFrame:
+    """``doc_id``, ``codes`` (16-bit token numbers as bytes), ``n_tokens``, ``log_words``.
+
+    The last is the sum of the logarithms of words outside the vocabulary, given their lengths.
+    """
+    rank = {w: i for i, w in enumerate(vocabulary)}
+    shared = docs.sparkSession.sparkContext.broadcast(spelt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, coder, logs = shared.value, encoder(vocabulary), {}
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                codes = [coder(t) for t in texts]
+                codes, sums = [], []
+                for text in texts:
+                    found = words(text)
+                    codes.append(coder(found))
+                    rare = [w for w in found if w not in rank]
+                    for word in rare:
+                        if word not in logs:
+                            logs[word] = own.log_probability(word)
+                    sums.append(math.fsum(map(logs.__getitem__, rare)))
+                    if len(logs) > COUNTED_WORDS:
+                        logs.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([c.astype("<i2").tobytes() for c in codes], pa.binary()), pa.array([len(c) for c in codes], pa.int64())],
-                    names=["doc_id", "codes", "n_tokens"])
+                    [part.column("doc_id"), pa.array([c.astype("<i2").tobytes() for c in codes], pa.binary()),
+                     pa.array([len(c) for c in codes], pa.int64()), pa.array(sums, pa.float64())],
+                    names=["doc_id", "codes", "n_tokens", "log_words"])
 
-    return docs.mapInArrow(run, "doc_id long, codes binary, n_tokens long")
+    return docs.mapInArrow(run, "doc_id long, codes binary, n_tokens long, log_words double")
 
 
 def _rows_of(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(c.as_buffer(), "<i2") for c in batch.column("codes")]
 
 
-def _round(codes: DataFrame, network: Network, shards: int, number: int) -> Network:
+def _round(codes: DataFrame, network: Network, shards: int, number: int, rounds: int) -> Network:
     """All shards learn from the same weights; their means, by number of masked tokens, are the new ones."""
     # Other documents meet in each round.
     dealt = (codes.select("doc_id", "codes", F.pmod(F.xxhash64("doc_id", F.lit(number)), F.lit(shards)).cast("int").alias("shard"))
@@ -280,7 +411,7 @@ def _round(codes: DataFrame, network: Network, shards: int, number: int) -> Netw
             for batch in batches:
                 yield from _rows_of(batch)
 
-        learnt, seen = train_shard(Network.from_flat(start), rows(), number * 1_000_003 + shard)
+        learnt, seen = train_shard(Network.from_flat(start), rows(), number * 1_000_003 + shard, number, rounds)
         units = np.round(learnt.flat().astype(np.float64) / UNIT).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(units), dtype=np.int32)), pa.array(units), pa.array(np.full(len(units), seen))],
                                          names=["at", "units", "seen"])
@@ -295,20 +426,22 @@ def _round(codes: DataFrame, network: Network, shards: int, number: int) -> Netw
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> tuple[LanguageModel, DataFrame]:
-    """A model of all texts of ``docs``, and the documents in its token numbers (``doc_id``, ``codes``, ``n_tokens``).
+    """A model of all texts of ``docs``, and the documents in its token numbers (``doc_id``, ``codes``, ``n_tokens``, ``log_words``).
 
-    The driver holds the vocabulary and one set of weights. Words equally frequent are ranked by their
+    The driver holds the vocabulary, the spelling of other words and one set of weights. Words equally frequent are ranked by their
     letters. Documents without tokens teach nothing; without any tokens the network stays as it began.
     """
     named = select_as(docs, doc_id=id_col, text=text_col)
-    top = count_words(named).orderBy(F.desc("n"), "word").limit(VOCABULARY - PER_CLASS).collect()
+    counts = materialize(count_words(named), "counts")
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - PER_CLASS).collect()
     vocabulary = [r.word for r in top]
-    codes = materialize(encode(named, vocabulary), "codes")
+    spelt = spelling(counts, vocabulary)
+    codes = materialize(encode(named, vocabulary, spelt), "codes")
     tokens = codes.agg(F.sum("n_tokens")).first()[0] or 0
     shards, network = max(1, -(-tokens // SHARD_TOKENS)), Network.fresh()
     for number in range(rounds):
-        network = _round(codes, network, shards, number)
-    return LanguageModel(vocabulary, network), codes
+        network = _round(codes, network, shards, number, rounds)
+    return LanguageModel(vocabulary, network, spelt), codes
 
 
 def score_codes(codes: DataFrame, network: Network) -> DataFrame:
@@ -321,10 +454,11 @@ def score_codes(codes: DataFrame, network: Network) -> DataFrame:
             sums = []
             for group in _groups(iter(_rows_of(batch)), 50_000):
                 sums += score_rows(own, group)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(sums, pa.float64())],
+            total = np.round(np.array(sums, np.float64) + batch.column("log_words").to_numpy(), 6)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_tokens"), pa.array(total, pa.float64())],
                                              names=["doc_id", "n_tokens", "log_likelihood"])
 
-    found = codes.select("doc_id", "codes", "n_tokens").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+    found = codes.select("doc_id", "codes", "n_tokens", "log_words").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
     return found.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

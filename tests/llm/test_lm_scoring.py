@@ -82,6 +82,37 @@ def test_vocabulary_counts_all_words(spark, monkeypatch):
     assert dict(lm.count_words(docs).collect()) == {"a": 3, "b": 2, ",": 1, "c": 1, "d": 1, "e": 1, "f": 1, "g": 1, "h": 1}
 
 
+def test_each_token_is_masked_in_one_round():
+    for size in (0, 1, 7, 5000):
+        row = np.random.default_rng(size).integers(0, lm.VOCABULARY, size).astype(np.int16)
+        for rounds in (1, 2, 3):
+            found = np.bincount(lm.turns(row, rounds), minlength=rounds)
+            assert len(found) == rounds and found.sum() == size and (size < 5000 or found.min() > 0.9 * size / rounds)
+    rows = [np.arange(300, dtype=np.int16), np.arange(50, dtype=np.int16)]
+    assert sum(lm.train_shard(lm.Network.fresh(), iter(rows), 1, turn, 2)[1] for turn in (0, 1)) == 350
+
+
+def test_words_outside_the_vocabulary_are_predicted(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LISTED", 110)
+    rare = ["abba", "abab", "zqzq", "baab", "abaa", "bbab", "baba", "x" * 40, "y" * 32, "日本"]
+    docs = [(0, " ".join(f"w{i}" for i in range(1100)))] * 3 + [(i + 1, w) for i, w in enumerate(rare)] + [(50, "abba")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model, _ = lm.fit(frame, rounds=1)
+    spelt, coder = model.spelling, lm.encoder(model.vocabulary)
+    assert not set(rare) & set(model.vocabulary) and len(spelt.listed) == 109 and spelt.listed["abba"] == 2
+    # Words of a length share one: each step does, and so do the letters without a kind of their own.
+    assert np.allclose(np.exp(spelt.steps).sum(axis=2), 1)
+    unnamed = 0x110000 - len(spelt.kind) - len(spelt.other)
+    assert abs(sum(map(math.exp, spelt.other.values())) + unnamed * math.exp(spelt.unlisted) - 1) < 1e-9
+    assert abs(sum(spelt.listed[w] for w in spelt.listed if len(w) == 4) + math.exp(spelt.rest[4]) - spelt.all[4]) < 1e-6
+    assert abs(sum(math.exp(spelt.ends + k * spelt.goes_on) for k in range(2_000)) - 1) < 1e-6
+    # Words of a length differ, and each row has the word's own factor.
+    assert spelt.log_probability("abba") > spelt.log_probability("abab") > spelt.log_probability("zqzq") > spelt.log_probability("кжзй")
+    got = {r.doc_id: r.log_likelihood for r in lm.pseudo_likelihood(frame, rounds=1).collect()}
+    for i, word in enumerate(rare):
+        assert abs(got[i + 1] - lm.score_rows(model.network, [coder(word)])[0] - spelt.log_probability(word)) < 1e-4
+
+
 def test_no_rows_and_clashes(spark):
     docs = spark.createDataFrame([(None, "a b", "x"), (None, "a b", "y")], "doc_id long, text string, codes string")
     assert [r.n_tokens for r in lm.pseudo_likelihood(docs).collect()] == [2, 2]
