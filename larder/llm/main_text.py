@@ -5,8 +5,8 @@ menus, adverts, comments and the like, known by tag or by class, id and role) le
 its place, as does a line of links; the bounds of an article leave a gap as wide as a window. Over the text lengths of the lines,
 sums of sliding windows are taken. A run starts at a surge point, where a window first has text, and
 ends at a dive point, where the window is empty again. Runs whose fullest window is well below that of
-the page's fullest run are dropped, unless they stand inside the article; the text between the points
-of the others is kept whole.
+the page's fullest run are dropped; inside an article a window counts several times, and the runs of an
+article stay or go together. The text between the points of the others is kept whole.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from larder.llm.rows import append_columns
 
 #: Lines of a window.
 WINDOW = 3
-#: A run outside an article is kept if its fullest window has this share of the fullest of all.
+#: A run, or an article, is kept if its fullest window has this share of the fullest of all.
 LEAST_SHARE = 0.25
+#: How many times a window inside an article counts.
+ARTICLE_BONUS = 3
 #: A line with more of its text inside links than this is navigation.
 MOST_LINKED = 0.6
 
@@ -68,11 +70,11 @@ def _marked(attributes: str) -> bool:
 
 
 class _Lines:
-    """Lines as they are found: text, characters inside links, and whether inside an article."""
+    """Lines as they are found: text, characters inside links, and the number of the outermost article around (0: none)."""
 
     def __init__(self) -> None:
         self.texts: list[str] = []
-        self.inside: list[bool] = []
+        self.inside: list[int] = []
         self.parts: list[str] = []
         self.linked = 0
 
@@ -82,7 +84,7 @@ class _Lines:
             if in_link:
                 self.linked += len(raw.strip())
 
-    def end(self, inside: bool, blank: int = 0) -> None:
+    def end(self, inside: int, blank: int = 0) -> None:
         if self.parts:
             text = " ".join(unescape("".join(self.parts)).split())
             if text and (inside or self.linked <= MOST_LINKED * len(text)):
@@ -95,13 +97,22 @@ class _Lines:
         self.inside += [inside] * blank
 
 
-def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[bool]]:
-    """The lines of a page with markup stripped, blank where something was left out, and which stand inside an article.
+def _closed(html: str, at: int, name: str, depth: int) -> bool:
+    """Whether as many elements of a name as are open at a place are closed after it."""
+    for match in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(html, at):
+        depth += -1 if match.group(1) else 1
+        if not depth:
+            return True
+    return False
+
+
+def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
+    """The lines of a page with markup stripped, blank where something was left out, and the outermost article each stands in (0: none).
 
     Without ``by_marks``, elements are left out by their tag alone.
     """
-    lines, at, articles, links = _Lines(), 0, 0, 0
-    skipped, depth = "", 0  # the element being left out, and how many of its name are open
+    lines, at, articles, number, links = _Lines(), 0, 0, 0, 0
+    skipped, depth, closed = "", 0, None  # the element being left out, how many of its name are open, whether it is closed
     while True:
         match = _TAG.search(html, at)
         if not skipped:
@@ -123,6 +134,9 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[bool]]:
                 depth += -1 if closing else 1
             implied = skipped in ENDED_BY_BLOCKS and name in BLOCKS and (closing and name != skipped or not closing)
             opened = not closing and name in ARTICLES and not (by_marks and _marked(attributes))
+            if opened and skipped != "form":
+                closed = _closed(html, at, skipped, depth) if closed is None else closed
+                opened = not closed
             if not (ends and depth <= 0 or implied or opened):
                 continue
             skipped = ""
@@ -132,31 +146,32 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[bool]]:
             if name == "a":
                 links = max(0, links - 1)
             elif name in ARTICLES:
-                lines.end(articles > 0)
+                lines.end(number if articles else 0)
                 articles = max(0, articles - 1)
-                lines.end(articles > 0, 0 if articles else WINDOW)
+                lines.end(number if articles else 0, 0 if articles else WINDOW)
             elif name in BLOCKS:
-                lines.end(articles > 0)
+                lines.end(number if articles else 0)
             continue
         never = name in NEVER_TEXT or name == "header" and not articles
         if name not in VOID and name not in ("html", "body") and (never or by_marks and _marked(attributes)):
             if never or name in BLOCKS:  # others are part of a line
-                lines.end(articles > 0, 1)
+                lines.end(number if articles else 0, 1)
             if not attributes.endswith("/"):
-                skipped, depth = name, 1
+                skipped, depth, closed = name, 1, None
             continue
         if name == "a":
             links += 1
         elif name == "br":
             lines.text(" ", False)
         elif name in ARTICLES:
-            lines.end(articles > 0, 0 if articles else WINDOW)
+            lines.end(number if articles else 0, 0 if articles else WINDOW)
+            number += not articles
             articles += 1
             links = 0
         elif name in BLOCKS:
-            lines.end(articles > 0)
+            lines.end(number if articles else 0)
             links = 0
-    lines.end(articles > 0)
+    lines.end(number if articles else 0)
     return lines.texts, lines.inside
 
 
@@ -181,9 +196,13 @@ def main_text(html: str) -> str:
         runs = block_runs(np.array([len(x) for x in lines], np.int64))
         if not runs:
             continue
-        in_article = [any(inside[i] and lines[i] for i in range(a, b)) for a, b, _ in runs]
-        fullest = max(r[2] for r in runs)
-        kept = [r for r, own in zip(runs, in_article) if own or not any(in_article) and r[2] >= LEAST_SHARE * fullest]
+        owners = [max(inside[i] for i in range(a, b) if lines[i]) for a, b, _ in runs]
+        weights = [r[2] * (ARTICLE_BONUS if own else 1) for r, own in zip(runs, owners)]
+        articles: dict[int, int] = {}
+        for own, weight in zip(owners, weights):
+            articles[own] = max(weight, articles.get(own, 0))
+        least = LEAST_SHARE * max(weights)
+        kept = [r for r, own, weight in zip(runs, owners, weights) if (articles[own] if own else weight) >= least]
         return "\n".join(x for a, b, _ in kept for x in lines[a:b] if x)
     return ""
 

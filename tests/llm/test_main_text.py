@@ -33,6 +33,20 @@ def test_blocks_between_noise_are_kept_whole(container):
         assert mt.main_text(page) == "\n".join(blocks), page
 
 
+def test_teasers_in_articles_do_not_replace_the_body():
+    body = "".join(f"<p>{'Long sentences of the body. ' * 12}{i}</p>" for i in range(6))
+    cards = "".join(f"<article><h3>Card {i}</h3><p>A teaser</p></article>" for i in range(4))
+    want = "\n".join("Long sentences of the body. " * 12 + str(i) for i in range(6))
+    assert mt.main_text(f"<div id=content>{body}</div>{cards}") == want
+    for about in ("<aside>%s</aside>", "<section class='related'>%s</section>", "<div class='comments'><div>%s</div></div>"):
+        assert mt.main_text(f"<div id=content>{body}</div>{about % cards}") == want
+        assert mt.main_text(f"<article>{body}</article>{about % cards}") == want
+    # An article keeps its short runs, text outside as full as the article stays, and a page inside a form has its article.
+    assert mt.main_text(f"<article><h1>Title</h1>{'<aside>x</aside>' * 4}{body}</article><p>Small print</p>") == "Title\n" + want
+    assert mt.main_text(f"<article>{body}</article><div>{body}</div>") == want + "\n" + want
+    assert mt.main_text(f"<form><article>{body}</article></form>") == want
+
+
 def test_surge_and_dive_points():
     sizes = np.array([0, 0, 0, 0, 9, 0, 0, 5, 0, 0, 0, 4])
     assert mt.block_runs(sizes) == [(2, 8, 9), (9, 12, 4)]
