@@ -45,7 +45,15 @@ navigation breadcrumb breadcrumbs toolbar sidebar sidebars aside rail widget wid
 comment comments commentlist disqus respond reply replies footer header masthead topbar copyright legal login signin signup register subscribe
 subscription newsletter search searchbox pager pagination paging skip complementary contentinfo search tagcloud""".split())
 
-ABOUT_OTHERS = frozenset(("no", "has", "with", "without", "hide", "show"))
+#: A name with one of these parts is about something else than the element: "page-with-sidebar", "category-legal".
+ABOUT_OTHERS = frozenset("no has with without hide show category tag topic type status format".split())
+#: Parts at the end of a name that do not say what the element holds: "related-posts", "ad-slot".
+HOLDERS = frozenset("""post posts article articles item items list wrap wrapper container box block section area zone bar slot unit button
+buttons link links icon icons inner content body title heading form panel group row col""".split())
+#: What the header of these is belongs to the article.
+OWN_HEADERS = frozenset("article post entry story page content main".split())
+#: A reading by marks is given up if it leaves less than this share of the text, and so many characters less.
+LEAST_LEFT, MOST_MARKED = 0.1, 500
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _MARKS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -54,18 +62,30 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|
 _RAW_ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
-def _marked(attributes: str) -> bool:
+def _named(word: str, whole: bool) -> bool:
+    """Whether a class, id or role says that its element is not article text: by all of the name or, unless ``whole``, its last part that counts."""
+    parts = [p.lower() for p in _NAME_PARTS.findall(word)]
+    if not parts or not ABOUT_OTHERS.isdisjoint(parts):
+        return False
+    if "".join(parts) in NOT_ARTICLE:
+        return True
+    if whole or parts[-1] == "header" and not OWN_HEADERS.isdisjoint(parts):
+        return False
+    while len(parts) > 1 and parts[-1] in HOLDERS:
+        parts.pop()
+    return parts[-1] in NOT_ARTICLE
+
+
+def _marked(attributes: str, whole: bool = False) -> bool:
     """Whether an element is hidden, or a class, id or role says that it is not article text.
 
-    Names are read in parts ("cookieBanner", "ad-slot2"); "no-sidebar" and the like say nothing.
+    Names are read in parts ("cookieBanner", "ad-slot2"), and with ``whole`` as one; "no-sidebar" and the like say nothing.
     """
     if not attributes.strip():
         return False
     for value in ("".join(m) for m in _MARKS.findall(attributes)):
-        for word in value.split():
-            parts = [p.lower() for p in _NAME_PARTS.findall(word)]
-            if parts and parts[0] not in ABOUT_OTHERS and not NOT_ARTICLE.isdisjoint(parts):
-                return True
+        if any(_named(word, whole) for word in value.split()):
+            return True
     return bool(_HIDDEN.search(attributes))
 
 
@@ -133,7 +153,7 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
             if name == skipped and not attributes.endswith("/"):
                 depth += -1 if closing else 1
             implied = skipped in ENDED_BY_BLOCKS and name in BLOCKS and (closing and name != skipped or not closing)
-            opened = not closing and name in ARTICLES and not (by_marks and _marked(attributes))
+            opened = not closing and name in ARTICLES and not (by_marks and _marked(attributes, True))
             if opened and skipped != "form":
                 closed = _closed(html, at, skipped, depth) if closed is None else closed
                 opened = not closed
@@ -153,7 +173,7 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
                 lines.end(number if articles else 0)
             continue
         never = name in NEVER_TEXT or name == "header" and not articles
-        if name not in VOID and name not in ("html", "body") and (never or by_marks and _marked(attributes)):
+        if name not in VOID and name not in ("html", "body") and (never or by_marks and _marked(attributes, name in ARTICLES)):
             if never or name in BLOCKS:  # others are part of a line
                 lines.end(number if articles else 0, 1)
             if not attributes.endswith("/"):
@@ -189,13 +209,20 @@ def block_runs(sizes: np.ndarray, window: int = WINDOW) -> list[tuple[int, int,
 def main_text(html: str) -> str:
     """The article's blocks, one on a line; empty if the page has none.
 
-    A page all of whose text is marked as something else is read again without the marks.
+    A page nearly all of whose text is marked as something else is read again without the marks.
     """
-    for by_marks in (True, False):
-        lines, inside = to_lines(html, by_marks)
-        runs = block_runs(np.array([len(x) for x in lines], np.int64))
-        if not runs:
-            continue
+    found = _body(*to_lines(html))
+    if len(found) < len(html) * LEAST_LEFT or not found:
+        unmarked = _body(*to_lines(html, False))
+        if not found or len(found) < LEAST_LEFT * len(unmarked) and len(unmarked) - len(found) >= MOST_MARKED:
+            return unmarked
+    return found
+
+
+def _body(lines: list[str], inside: list[int]) -> str:
+    """The text of the runs that are kept."""
+    runs = block_runs(np.array([len(x) for x in lines], np.int64))
+    if runs:
         owners = [max(inside[i] for i in range(a, b) if lines[i]) for a, b, _ in runs]
         weights = [r[2] * (ARTICLE_BONUS if own else 1) for r, own in zip(runs, owners)]
         articles: dict[int, int] = {}

@@ -47,6 +47,21 @@ def test_teasers_in_articles_do_not_replace_the_body():
     assert mt.main_text(f"<form><article>{body}</article></form>") == want
 
 
+def test_names_that_only_mention_something_else():
+    body = "".join(f"<p>{'Long sentences of the body. ' * 12}{i}</p>" for i in range(6))
+    want = "\n".join("Long sentences of the body. " * 12 + str(i) for i in range(6))
+    title = "<h2>The site</h2>"
+    for opened, closed in (("<article class='post category-legal'>", "</article>"), ("<div class='layout sidebar-right'>", "</div>"),
+                           ("<div id='page-with-sidebar'>", "</div>"), ("<main class='main-search social-share'>", "</main>"),
+                           ("<div class='layout sidebar-right'><article>", "</article></div>")):
+        assert want in mt.main_text(title + opened + body + closed)
+    assert mt.main_text(f"<article><h1 class='article-header'>Title</h1>{body}</article>") == "Title\n" + want
+    # Even a mark that says so does not take nearly all of a page.
+    assert want in mt.main_text(f"{title}<div class='notice'>{body}</div>")
+    for name in ("related-posts", "ad-slot2", "sidebar", "commentList", "post-comments", "share-buttons", "site-header", "cookieBanner"):
+        assert mt.main_text(f"<article>{body}<div class='{name}'>Not the article</div></article>") == want
+
+
 def test_surge_and_dive_points():
     sizes = np.array([0, 0, 0, 0, 9, 0, 0, 5, 0, 0, 0, 4])
     assert mt.block_runs(sizes) == [(2, 8, 9), (9, 12, 4)]
