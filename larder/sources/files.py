@@ -83,8 +83,8 @@ def json_to_parquet(
 
 
 def single_file(df: DataFrame) -> DataFrame:
-    """One output file. Only for results known to be small."""
-    return df.coalesce(1)
+    """One output file. Only for results known to be small; what computes them stays parallel, one task writes."""
+    return df.repartition(1)
 
 
 def file_date(as_of: str) -> Column:

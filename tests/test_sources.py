@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import sources as io
+from larder.catalog import files
 from larder.session import materialize, scratch_path
 from larder.sources.snapshots import snapshot_paths
 
@@ -78,6 +79,14 @@ def test_single_file_and_csv_sink(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
 
 
+def test_single_file_output_writes_a_table_of_bounded_size(spark, tmp_path, monkeypatch):
+    handed, real = [], io.single_file
+    monkeypatch.setattr(io, "single_file", lambda df: handed.append(df) or real(df))
+    spark.range(1000).selectExpr("id as s_suppkey", "'n' as s_name", "0.0D as s_acctbal", "id % 25 as s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    row = files.single_file_output(spark, str(tmp_path)).first()
+    assert (row.n_files, row.n_rows) == (1, 1000) and handed[0].count() == 25
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     for name in ("larder_left", "larder_right"):
         io.write_table(spark.range(100).withColumnRenamed("id", "k"), name, buckets=4, bucket_by=["k"],
