@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
+from larder.llm import alignment, decontaminate, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
 from larder.session import materialize
 
 
@@ -108,6 +108,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.pseudo_likelihood(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    a_json = _model_file(a_path or public_tokenizers.path("byte_bpe_50k.json")).decode()
+    b_model = _model_file(b_path or public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.statistics(_table(spark, sf_dir, "documents").select("doc_id", "text"), a_json, b_model)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
@@ -119,6 +125,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLES = {
