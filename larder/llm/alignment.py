@@ -242,7 +242,7 @@ def _stored(docs: DataFrame, a_json: str, b_model: bytes) -> DataFrame:
     return materialize(docs.mapInArrow(run, _BATCH_SCHEMA), "aligned")
 
 
-def _finish(key, batch: pa.Table, pairs: pa.Table) -> pa.Table:
+def _finish(key: tuple, batch: pa.Table, pairs: pa.Table) -> pa.Table:
     """The documents of one batch, from its links and the corpus counts of its pairs."""
     listed = batch.column("pair")[0].values.to_numpy(zero_copy_only=False)
     links = _unpacked(batch.column("links")[0].as_py())

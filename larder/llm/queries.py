@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import alignment, decontaminate, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
+from larder.llm import alignment, decontaminate, embedding_dedup, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
 from larder.session import materialize
 
 
@@ -114,6 +114,33 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str, a_path: str | None =
     return alignment.statistics(_table(spark, sf_dir, "documents").select("doc_id", "text"), a_json, b_model)
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+
+
+OP12_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, row_number() OVER () AS n FROM embeddings
+), comparable AS (
+  SELECT * FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.n, b.n AS other FROM comparable a JOIN comparable b ON a.n <> b.n AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) END >= 0.9
+), reached AS (
+  SELECT n, n AS other FROM vectors
+  UNION
+  SELECT r.n, l.other FROM reached r JOIN links l ON r.other = l.n
+), named AS (
+  SELECT r.n, min(v.vec_id) AS component_id FROM reached r JOIN vectors v ON r.other = v.n GROUP BY r.n
+)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.n = v.n) AS n_links, c.component_id,
+       v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM vectors v JOIN named c ON v.n = c.n
+"""
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
@@ -126,9 +153,11 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_token_alignment": op11_token_alignment,
+    "op12_embedding_dedup": op12_embedding_dedup,
 }
 
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op9_warc": OP9_SQL,
+    "op12_embedding_dedup": OP12_SQL,
 }
