@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import alignment, decontaminate, embedding_dedup, fingerprint, line_dedup, lm_scoring, main_text, pieces, simhash, token_counts, toxicity, warc
-from larder.session import materialize
+from larder.llm import alignment, decontaminate, embedding_dedup, fingerprint, line_dedup, lm_scoring, main_text, pieces, prefix_trie, simhash, token_counts, toxicity, warc
+from larder.session import materialize, prepare
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,7 +115,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str, a_path: str | None =
 
 
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+    return embedding_dedup.near_duplicates(_table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
 
 
 OP12_SQL = """
@@ -141,6 +141,55 @@ FROM vectors v JOIN named c ON v.n = c.n
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = F.col("conv_id")
+    return prefix_trie.rebuilt_trie(_table(prepare(spark), sf_dir, "conversations"), base=of - of % 5,
+                                    taken=F.crc32(of.cast("string").cast("binary")) % 9)
+
+
+OP13_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), plan AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+           [4294967295] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+             lambda c: [ascii(c)::BIGINT] || list_transform(range(8), lambda i: -1))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 9 AS taken
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), parts AS (
+  SELECT p.conv_id, 0 AS part, t.place, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.base AND t.place < p.taken
+  UNION ALL
+  SELECT p.conv_id, 1, t.place, t.role, t.text FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.place >= p.taken
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth,
+         sha256(length(role) || ':' || role || text) AS d, octet_length(encode(text)) AS size
+  FROM parts
+), paths AS (
+  SELECT conv_id, 0 AS depth, '' AS name, CAST(NULL AS VARCHAR) AS up, 0 AS size FROM plan
+  UNION ALL
+  SELECT r.conv_id, r.depth, sha256(p.name || r.d), p.name, r.size FROM paths p JOIN rebuilt r ON r.conv_id = p.conv_id AND r.depth = p.depth + 1
+), nodes AS (
+  SELECT name, depth, any_value(up) AS up, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs FROM paths GROUP BY name, depth
+), children AS (
+  SELECT up, count(*) AS n FROM nodes GROUP BY up
+), above AS (
+  SELECT DISTINCT a.name, a.depth, u.name AS under FROM paths a JOIN paths u ON a.conv_id = u.conv_id AND a.depth <= u.depth
+), totals AS (
+  SELECT a.name, count(*) FILTER (WHERE c.n IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.size)::BIGINT AS saved_tokens
+  FROM above a JOIN nodes u ON a.under = u.name LEFT JOIN children c ON c.up = u.name GROUP BY a.name
+), ends AS (
+  SELECT name, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, name, depth, max(depth) OVER (PARTITION BY conv_id) AS n FROM paths) WHERE depth = n GROUP BY name
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+       t.n_leaves, t.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.up = p.name AND n.depth > 0 LEFT JOIN children c ON c.up = n.name
+JOIN totals t ON t.name = n.name LEFT JOIN ends e ON e.name = n.name
+"""
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
@@ -154,10 +203,12 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_token_alignment": op11_token_alignment,
     "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
     "op2_line_dedup": OP2_SQL,
     "op9_warc": OP9_SQL,
     "op12_embedding_dedup": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
