@@ -15,6 +15,7 @@ its own list.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -62,6 +63,31 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+#: The split that byte-level tokenizer files mean by ``use_regex``. Fixed value.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _ranked(a_json: str, table: list[bytes]):
+    """The encoder of tiktoken for a plain byte-level file whose ids ascend in the order of its merges; None for others.
+
+    It gives the same ids in a quarter of the time. Special tokens are left out, so their strings are plain text.
+    """
+    file = json.loads(a_json)
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = model["type"] == "BPE" and not file.get("normalizer") and not any(
+        model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain = plain and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    merged = ["".join(m.split(" ")) if isinstance(m, str) else "".join(m) for m in model["merges"]] if plain else []
+    ids = [model["vocab"][m] for m in merged]
+    ranks = {token: i for i, token in enumerate(table) if token}
+    singles = [ranks.get(bytes([b])) for b in range(256)]
+    if not plain or None in singles or sorted(ids) != ids or min(ids, default=256) <= max(singles) or len(ranks) != 256 + len(set(ids)):
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding("byte-level", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Both tokenizers, and the bytes each of their ids stands for."""
 
@@ -75,8 +101,11 @@ class Aligner:
         letters, words = _byte_letters(), self.a.get_vocab()
         self.bytes_a = [b""] * (max(words.values()) + 1)
         for word, i in words.items():
-            # A word with other letters is a special token, which plain text never becomes.
+            # Special tokens, which plain text never becomes, stand for nothing.
             self.bytes_a[i] = bytes(letters[c] for c in word) if all(c in letters for c in word) else b""
+        for i in self.a.get_added_tokens_decoder():
+            self.bytes_a[i] = b""
+        self.ranked = _ranked(a_json, self.bytes_a)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         piece = self.b.id_to_piece
         self.bytes_b = [bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode()
@@ -86,11 +115,16 @@ class Aligner:
     def _encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none for a text that is empty or that either side does not give back byte by byte."""
         asked = [" " + t for t in texts]
-        left = [e.ids for e in self.a.encode_batch_fast(asked, add_special_tokens=False)]
+        if self.ranked:
+            left = [self.ranked.encode_ordinary(t) for t in asked]
+        else:
+            left = [e.ids for e in self.a.encode_batch_fast(asked, add_special_tokens=False)]
         right = self.b.encode(texts, num_threads=1)
         for i, text in enumerate(asked):
             want = text.encode()
-            if not texts[i] or want != b"".join(map(self.bytes_a.__getitem__, left[i])) or want != b"".join(map(self.bytes_b.__getitem__, right[i])):
+            # The ranked encoder only ever joins the bytes of the text.
+            same = bool(texts[i]) and (self.ranked is not None or want == b"".join(map(self.bytes_a.__getitem__, left[i])))
+            if not same or want != b"".join(map(self.bytes_b.__getitem__, right[i])):
                 left[i], right[i] = [], []
         return left, right
 
@@ -122,10 +156,14 @@ class Aligner:
             cover_b = pd.merge_asof(b, a.assign(token=np.arange(low_a, high_a)), on="start", by="doc")["token"].to_numpy(np.int64)
             # Tokens that start together find each other from both sides.
             new = start_a[cover_b] != start_b[low_b:high_b]
-            first = np.concatenate([start_a[low_a:high_a], start_b[low_b:high_b][new]])
-            order = np.argsort(first, kind="stable")
-            found_a.append(np.concatenate([np.arange(low_a, high_a), cover_b[new]])[order])
-            found_b.append(np.concatenate([cover_a, np.arange(low_b, high_b)[new]])[order])
+            # Both directions are in order of the first shared byte: merge them.
+            after_a = np.arange(low_a, high_a) - low_a + np.searchsorted(start_b[low_b:high_b][new], start_a[low_a:high_a])
+            after_b = np.ones(len(after_a) + np.count_nonzero(new), bool)
+            after_b[after_a] = False
+            for found, direct, reverse in ((found_a, np.arange(low_a, high_a), cover_b[new]), (found_b, cover_a, np.arange(low_b, high_b)[new])):
+                merged = np.empty(len(after_b), np.int64)
+                merged[after_a], merged[after_b] = direct, reverse
+                found.append(merged)
             low_a, low_b = high_a, high_b
         return np.concatenate(found_a), np.concatenate(found_b)
 

@@ -116,3 +116,16 @@ def test_empty_table_and_other_names(spark, files):
     assert alignment.align(none, *files).count() == 0
     other = spark.createDataFrame([(1, "some words", "x")], "key int, body string, batch string")
     assert alignment.statistics(other, *files, id_col="key", text_col="body").first()["n_a"] == 2
+
+
+def test_both_encoders_of_a_byte_level_file_agree(files):
+    aligner = alignment.Aligner(*files)
+    texts = [" " + (t or "") for _, t in rows_with_oddities()] + [" " + chr(c) * 2 + f"1{chr(c)} {chr(c)}\n " for c in range(1, 0x3000, 7)]
+    want = [e.ids for e in aligner.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [aligner.ranked.encode_ordinary(t) for t in texts] == want
+    # Another split of the text is not the one that the ranked encoder knows.
+    other = files[0].replace('"add_prefix_space": false', '"add_prefix_space": true').replace('"add_prefix_space":false', '"add_prefix_space":true')
+    slow = alignment.Aligner(other, files[1])
+    assert slow.ranked is None
+    for a, b in zip(aligner.align(["some words", "naïve"]), slow.align(["some words", "naïve"])):
+        assert (a == b).all()
