@@ -1,15 +1,11 @@
-"""First row per key, top-k, ties, seeded order and nearest points."""
+"""First row per key, top-k, ties and seeded order."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from larder.functions.geo import EARTH_RADIUS_KM, haversine_km
-from larder.session import materialize
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``order``, which must be total.
@@ -55,60 +51,3 @@ def seeded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> Data
 def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The last n rows of an order (a small top-k, not a full sort)."""
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
-
-
-# Cells of a grid are eight times as wide as those of the one before; the last grid holds the whole Earth.
-_COARSER = 8
-
-
-def _on_sphere(lat: str, lon: str) -> dict[str, Column]:
-    """Coordinates on the unit sphere: near places are near in all three, across poles and date line too."""
-    a, o = F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
-    return {"_x": F.cos(a) * F.cos(o), "_y": F.cos(a) * F.sin(o), "_z": F.sin(a)}
-
-
-def _cell(size: float, *steps: int) -> Column:
-    return F.struct(*[(F.floor(F.col(c) / size) + d).alias(c) for c, d in zip(("_x", "_y", "_z"), steps)])
-
-
-def nearest(
-    places: DataFrame, points: DataFrame, k: int, place_key: str, lat: str = "latitude", lon: str = "longitude",
-) -> DataFrame:
-    """The k places closest to each point (``point_id``, ``lat``, ``lon``), nearest first, ties by place key.
-
-    Points with the same coordinates are looked up once. A grid over the sphere prunes the
-    distances: a point meets the places in its own and the neighbouring cells, and is
-    settled when k of them lie within one cell's width, as all others are farther away. The
-    points left go on to a coarser grid, at last to one that holds the whole Earth. The
-    first cells are as wide as to hold k places each, were these spread evenly. Places and
-    points without coordinates are left out.
-    """
-    known = materialize(places.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns(_on_sphere(lat, lon)), "places")
-    asked = points.where("lat is not null and lon is not null").select(
-        "point_id", F.col("lat").cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
-    left = materialize(asked.select("_lat", "_lon").distinct().withColumns(_on_sphere("_lat", "_lon")), "points")
-    # The whole sphere has an area of 4 pi squares of the Earth's radius.
-    size = min(1.0, math.sqrt(4 * math.pi * k / max(1, known.count())))
-    settled, spots = [], ["_lat", "_lon"]
-    around = [(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)]
-    while not left.isEmpty():
-        spread = left.select(*spots, F.explode(F.array(*[_cell(size, *d) for d in around])).alias("_cell"))
-        # The straight line between points at a distance d on the sphere is 2 sin(d / 2R) radii long.
-        line = 2 * F.sin(F.col("distance_km") / (2 * EARTH_RADIUS_KM))
-        found = spread.join(known.withColumn("_cell", _cell(size, 0, 0, 0)).drop("_x", "_y", "_z"), "_cell").drop("_cell").withColumn(
-            "distance_km", haversine_km(F.col("_lat"), F.col("_lon"), F.col(lat).cast("double"), F.col(lon).cast("double")))
-        best = materialize(top_per_key(found, spots, [F.col("distance_km"), F.col(place_key)], k), "nearest")
-        if size >= 2:
-            settled.append(best)
-            break
-        sure = best.where(line <= size).groupBy(*spots).agg(F.count("*").alias("_n")).where(F.col("_n") >= k).select(*spots)
-        settled.append(best.join(sure, spots, "left_semi"))
-        left = materialize(left.join(sure, spots, "left_anti"), "points")
-        size *= _COARSER
-    if not settled:
-        empty = known.drop("_x", "_y", "_z").where(F.lit(False))
-        return empty.select("*", F.lit(None).cast("double").alias("distance_km"), F.lit(None).cast("string").alias("point_id"))
-    answers = settled[0]
-    for more in settled[1:]:
-        answers = answers.unionByName(more)
-    return asked.join(answers, spots).drop(*spots)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from larder.functions.text import blank_to_null, capitalize, title_words
 from larder.operators.calendar import between_days
 from larder.operators.filters import matching, searching, within
-from larder.operators.ranking import first_per_key, nearest
+from larder.operators.nearest import nearest
+from larder.operators.ranking import first_per_key
 from larder.operators.shape import drop_incomplete, sorted_distinct
 
 # Fixed values.

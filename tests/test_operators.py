@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.functions import similarity
-from larder.operators import calendar, filters, fuzzy, keys, ranking, shape, stats
+from larder.operators import calendar, filters, fuzzy, keys, nearest, ranking, shape, stats
 
 
 def names(spark, values, column):
@@ -229,12 +229,48 @@ def test_nearest_equals_brute_force(spark):
         return 2 * 6371 * atan2(sqrt(h), sqrt(1 - h))
 
     asked = spark.createDataFrame([*points, ("lost", None, 1.0)], "point_id string, lat double, lon double")
-    got = ranking.nearest(df, asked, 5, "id").orderBy("point_id", "distance_km").collect()
+    got = nearest.nearest(df, asked, 5, "id").orderBy("point_id", "distance_km").collect()
     want = [(name, p[0]) for name, lat, lon in sorted(points) for p in sorted(places[:-1], key=lambda p: km(lat, lon, p[1], p[2]))[:5]]
     assert [(r.point_id, r.id) for r in got] == want
-    assert ranking.nearest(df, asked.where("false"), 5, "id").count() == 0
-    assert ranking.nearest(df.where("false"), asked, 5, "id").count() == 0
-    assert ranking.nearest(df, asked, 100, "id").where("point_id = 'far'").count() == 42
+    assert nearest.nearest(df, asked.where("false"), 5, "id").count() == 0
+    assert nearest.nearest(df.where("false"), asked, 5, "id").count() == 0
+    assert nearest.nearest(df, asked, 100, "id").where("point_id = 'far'").count() == 42
+
+
+def test_nearest_in_a_dense_city(spark):
+    """50,000 places and points within 10 km, others far from any, and places at the same spot."""
+    rng = np.random.default_rng(5)
+
+    def around(n, lat, lon, km):
+        return np.column_stack([lat + rng.normal(size=n) * km / 111, lon + rng.normal(size=n) * km / 111])
+
+    spots = np.concatenate([around(44_000, 41.4, 2.1, 3), around(5_000, 41.41, 2.11, 0.05), np.repeat([[41.4, 2.2]], 990, 0), around(10, -33, 151, 500)])
+    asked = np.concatenate([around(49_000, 41.4, 2.1, 4), around(900, 41.9, 2.8, 1), around(50, -30, 100, 2000), np.repeat([[41.4, 2.2]], 50, 0)])
+    places = spark.createDataFrame([(i, *map(float, s)) for i, s in enumerate(spots)], "id int, latitude double, longitude double")
+    points = spark.createDataFrame([(i, *map(float, s)) for i, s in enumerate(asked)], "point_id int, lat double, lon double")
+    got = nearest.nearest(places, points, 5, "id").select("point_id", "id", "distance_km").toPandas()
+    assert len(got) == 5 * len(asked)
+    measured = got.sort_values(["point_id", "distance_km", "id"])
+
+    def unit(a):
+        lat, lon = np.radians(a).T
+        return np.column_stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)])
+
+    some = np.concatenate([np.arange(0, 49_000, 100), np.arange(49_000, 50_000, 10), np.arange(49_900, 50_000)])
+    line = ((unit(asked[some])[:, None] - unit(spots)[None]) ** 2).sum(axis=2)
+    want = 2 * 6371 * np.arcsin(np.sqrt(np.sort(line, axis=1)[:, :5]) / 2)
+    answers = measured.set_index("point_id").loc[some, "distance_km"].to_numpy().reshape(-1, 5)
+    assert np.abs(answers - want).max() < 1e-4
+    same = measured.set_index("point_id").loc[49_950:, "id"].to_numpy().reshape(-1, 5)
+    assert (same == np.arange(49_000, 49_005)).all()
+    # What a point is compared with does not grow with the density around it.
+    located = nearest._with_cells(places.withColumns(nearest._on_sphere(F.col("latitude"), F.col("longitude"))).where("id < 49000"))
+    where = nearest._with_cells(points.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).distinct().withColumns(
+        nearest._on_sphere(F.col("_lat"), F.col("_lon"))))
+    cells = nearest.cells_to_search(located, where, 5).toPandas()
+    assert cells[cells.level < nearest.LEVELS]["n"].max() <= nearest.most_places(5)
+    per_point = cells.groupby(["_lat", "_lon"])["n"].sum()
+    assert per_point.mean() < 10 * nearest.most_places(5) and per_point.max() < 50 * nearest.most_places(5)
 
 
 def test_top_rows_do_not_depend_on_layout(spark):
