@@ -1,5 +1,9 @@
 """Column helpers against plain Python restatements."""
 
+import random
+
+import numpy as np
+import slow_similarity
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -113,22 +117,27 @@ def test_lexicon(spark):
         ("positive", 0.6667), ("negative", 1.0), ("neutral", 0.5), ("neutral", 0.0), ("neutral", 0.0)]
 
 
-def test_common_subsequence_against_table():
-    def slow(a, b):
-        row = [0] * (len(b) + 1)
-        for x in a:
-            new = [0]
-            for j, y in enumerate(b):
-                new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
-            row = new
-        return row[-1]
-
-    words = ["apple juice", "apple juce", "", "aaaa", "abab", "baba", "small ring", "smal rings"]
-    for a in words:
-        for b in words:
-            assert similarity._common(a, b) == slow(a, b)
-    assert similarity.ratio("apple juice", "apple juce") == 95
-    assert similarity.partial_ratio("ring", "small ring") == 100
+def test_batches_equal_one_pair_at_a_time(monkeypatch):
+    rng = random.Random(8)
+    letters = ["ab", "abcdefgh ", "aé漢🙂b c", "ab cd "]
+    texts = ["", " ", "apple juice", "apple juce", "aaaa", "abab", "small ring", "smal rings", "ring", "a" * 300]
+    texts += ["".join(rng.choices(rng.choice(letters), k=rng.choice([1, 2, 5, 9, 20, 33, 70]))) for _ in range(250)]
+    left, right = [rng.choice(texts) for _ in range(1500)], [rng.choice(texts) for _ in range(1500)]
+    slow = {"ratio": slow_similarity.ratio, "partial_ratio": slow_similarity.partial_ratio,
+            "partial_token_sort_ratio": slow_similarity.partial_ratio, "partial_token_set_ratio": slow_similarity.token_set}
+    for method, one in slow.items():
+        want = [one(a, b) for a, b in zip(left, right)]
+        assert similarity.batch_scores(left, right, method).tolist() == want
+        high = similarity.batch_scores(left, right, method, 70)
+        assert [w if w >= 70 else 0 for w in want] == np.where(high >= 70, high, 0).tolist()
+        monkeypatch.setattr(similarity, "BRAID_CELLS", 200)  # many small parts
+        assert similarity.batch_scores(left, right, method).tolist() == want
+        monkeypatch.undo()
+        assert similarity.batch_scores([], [], method).tolist() == []
+    assert similarity.batch_scores(["ring", "apple juice"], ["small ring", "apple juce"], "partial_ratio").tolist() == [100, 90]
+    # Strands of long texts do not fit 16 bits.
+    long = "".join(rng.choices("ab", k=40_000))
+    assert similarity.batch_scores(["abba"], [long], "ratio").tolist() == [0]
 
 
 def test_match_score(spark):
