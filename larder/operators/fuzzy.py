@@ -3,9 +3,12 @@
 For a given threshold, a match leaves most two-letter grams of the shorter name
 intact, so a bounded number of its grams is certain to contain one that also
 occurs in the longer name. Joining just those grams (the rarest ones) against the
-grams of the longer names yields every pair that can reach the threshold:
-candidates are complete, and scoring decides. Names too short for that guarantee
-use single letters under the same argument.
+grams of the longer names yields every pair that can reach the threshold.
+Names too short for that guarantee use single letters under the same argument.
+
+Pairs met that way must then share enough grams, counted with their repeats: a
+match keeps so many letters, and so many of them side by side in both names.
+Candidates stay complete, and scoring decides among the few that are left.
 """
 
 from __future__ import annotations
@@ -62,12 +65,42 @@ def _probes(grams: DataFrame, rarity: DataFrame, method: str, threshold: int) ->
     )
 
 
+def _shared_at_least(short: Column, long: Column, method: str, threshold: int) -> tuple[Column, Column]:
+    """Letters, and two-letter grams, that names of these sizes have in common if they match."""
+    keep = (threshold - 0.5) / 100
+    if method == "levenshtein":
+        edits = F.floor(long * (1 - keep) + 1e-9)
+        return long - edits, long - 1 - 2 * edits
+    other = long if method == "ratio" else short  # the others compare stretches as long as the shorter name
+    letters = F.ceil((short + other) / 2 * keep - 1e-9)
+    # Of the common letters in a row, each letter left out on either side can part one pair.
+    return letters, 3 * letters - short - other - 1
+
+
+def _bags(grams: DataFrame, side: str) -> DataFrame:
+    """Letters and grams of each name as numbers, a repeat being a further number; equal numbers of others only add candidates."""
+    numbered = F.transform(F.sequence(F.lit(1), F.col("times").cast("int")), lambda k: F.hash("gram", k))
+    cells = [F.flatten(F.collect_list(F.when(F.length("gram") == width, numbered))).alias(f"{side}_bag{width}") for width in (1, 2)]
+    return grams.groupBy(F.col("text").alias(side)).agg(*cells)
+
+
+def sharing_enough(pairs: DataFrame, left_grams: DataFrame, right_grams: DataFrame, method: str, threshold: int) -> DataFrame:
+    """The pairs (``l``, ``r``) with as many letters and grams in common as a match must have."""
+    l_size, r_size = F.length("l"), F.length("r")
+    needed = _shared_at_least(F.least(l_size, r_size), F.greatest(l_size, r_size), method, threshold)
+    counted = pairs.join(_bags(left_grams, "l"), "l").join(_bags(right_grams, "r"), "r")
+    enough = F.lit(True)
+    for width, least in zip((1, 2), needed):
+        enough = enough & (F.size(F.array_intersect(f"l_bag{width}", f"r_bag{width}")) >= least)
+    return counted.where(enough).select("l", "r")
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, method: str, threshold: int) -> DataFrame:
     """Distinct (l, r) text pairs that hold, for every left text, its best pair scoring at least ``threshold``.
 
     ``left`` has ``text``; ``right`` has ``text`` and ``r_name``, the name that stands for it.
     """
-    lg, rg = _grams(left), _grams(right)
+    lg, rg = materialize(_grams(left), "grams"), materialize(_grams(right), "grams")
     l_rare = lg.groupBy("gram").agg(F.count("*").alias("found"))
     r_rare = rg.groupBy("gram").agg(F.count("*").alias("found"))
     l_probe = _probes(lg, r_rare, method, threshold).withColumnRenamed("text", "l")
@@ -86,7 +119,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, method: str, threshold: i
         keep = (threshold - 0.5) / 100
         ratio = keep / (2 - keep) if method == "ratio" else keep
         pairs = pairs.where(F.least(l_size, r_size) >= F.greatest(l_size, r_size) * ratio - 1e-9)
-    pairs = pairs.distinct()
+    pairs = sharing_enough(pairs.distinct(), lg, rg, method, threshold)
     if method == "partial_token_set_ratio":
         # One shared word already scores 100, so only the text of the first right name per word can win.
         word = lambda side: F.explode(F.filter(F.split(side, " "), lambda w: w != "")).alias("word")

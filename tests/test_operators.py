@@ -80,6 +80,19 @@ def test_best_match_equals_all_pairs(spark, method, threshold):
     assert {r.l: (r.r, r.score) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("method,threshold", [("levenshtein", 80), ("ratio", 80), ("partial_ratio", 80), ("partial_token_set_ratio", 90)])
+def test_few_candidates_besides_the_matches(spark, method, threshold):
+    left, right = vocabulary(threshold)
+    l, r = sorted(set(left)), sorted(set(right))
+    pairs = fuzzy.candidate_pairs(names(spark, l, "text"), names(spark, r, "text").withColumn("r_name", F.col("text")), method, threshold)
+    found = {(p.l, p.r) for p in pairs.collect()}
+    slow = {"ratio": slow_similarity.ratio, "partial_ratio": slow_similarity.partial_ratio, "partial_token_set_ratio": slow_similarity.partial_ratio}
+    score = slow.get(method, lambda a, b: slow_score(a, b, method))
+    matches = {(a, b) for a in l for b in r if score(a, b) >= threshold}
+    assert matches <= found
+    assert len(found) < 2 * len(matches) + len(l) * len(r) / 10
+
+
 def test_shared_word_ties_go_to_the_first_name(spark):
     left, right = names(spark, ["chocolate digestive b"], "l"), names(spark, ["oil b", "b rice", "digestive z"], "r")
     got = fuzzy.best_match(left, right, "l", "r", "partial_token_set_ratio", 80)
