@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from larder.sources.json_arrays import read_json_array
+
 # Office lock files sit next to the data they lock.
 _LOCK_PREFIX = ".~lock."
 
@@ -35,11 +37,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, **options
 def read_json_records(
     spark: SparkSession, path: str, schema: StructType | str, lines: bool = False, **options
 ) -> DataFrame:
-    """JSON files holding one array of records each, or one record per line.
-
-    An array file cannot be split between tasks; use line files for large inputs.
-    """
-    settings = {"multiLine": not lines, "pathGlobFilter": "*.json"} | options
+    """JSON files holding one array of records each, or one record per line; both are split between tasks."""
+    settings = {"pathGlobFilter": "*.json"} | options
+    if not lines:
+        return read_json_array(spark, path, schema, skip_prefix=_LOCK_PREFIX, **settings)
     return _discovered(spark.read.options(**settings).schema(schema).json(path))
 
 

@@ -1,6 +1,7 @@
 """Files, snapshots and staged replacement."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,63 @@ def test_json_array(spark, tmp_path):
     assert [tuple(r) for r in got.orderBy(F.col("a").desc_nulls_last()).collect()] == [(1, ["x", "y"]), (None, None)]
 
 
+NASTY = ["", "}", "{", "]", '"', "\\", '\\"', "a}\n{b", "},{", '"}', "[{\"x\": 1}]", "é漢🙂", "\\\\", "tail\\"]
+
+
+def test_json_arrays_in_small_splits(spark, tmp_path):
+    """Brackets, quotes and backslashes in strings, nested records, all layouts, and splits of a few dozen bytes."""
+    rng = random.Random(4)
+
+    def record(i):
+        note = "".join(rng.choices(NASTY, k=rng.randint(0, 6)))
+        return {"a": i, "note": note, "in": {"deep": [{"x": note}, {"x": "}"}]}, "long": "y}" * rng.choice([0, 0, 100])}
+
+    rows = [record(i) for i in range(60)]
+    layouts = [{"indent": 2}, {"separators": (",", ":")}, {"indent": None}, {"ensure_ascii": False}]
+    for i, layout in enumerate(layouts):
+        (tmp_path / f"f{i}.json").write_text(json.dumps(rows[i * 10:(i + 1) * 10], **layout), encoding="utf-8")
+    (tmp_path / "one.json").write_text(" \n " + json.dumps(rows[40], indent=1))
+    (tmp_path / "mixed.json").write_text("[1, " + json.dumps(rows[41]) + ', "}", [], null, ' + json.dumps(rows[42]) + "]\n")
+    (tmp_path / "none.json").write_text("[]")
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / ".~lock.f.json").write_text(json.dumps(rows[50:]))
+    (tmp_path / "notes.txt").write_text(json.dumps(rows[50:]))
+    schema = "a long, note string, `in` struct<deep: array<struct<x: string>>>, long string"
+    for size in ("97", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = io.read_json_records(spark, str(tmp_path), schema).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        want = [(r["a"], r["note"], [d["x"] for d in r["in"]["deep"]], r["long"]) for r in rows[:43]]
+        assert sorted((r["a"], r["note"], [d.x for d in r["in"].deep], r["long"]) for r in got) == want
+
+
+def test_json_array_of_200_mb_is_read_by_several_tasks(spark, tmp_path):
+    text = '{"k":%d,"v":"' + "x{[]} " + "plain words " * 19 + '"}'
+    with open(tmp_path / "large.json", "w") as file:
+        file.write("[")
+        for i in range(800_000):
+            file.write(("," if i else "") + text % i)
+        file.write("]")
+    assert (tmp_path / "large.json").stat().st_size > 200_000_000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32m")
+    try:
+        rows = io.read_json_records(spark, str(tmp_path), "k long, v string")
+        got = rows.agg(F.count("k").alias("n"), F.sum("k").alias("k"), F.min(F.length("v")).alias("low"), F.max(F.length("v")).alias("high")).first()
+        tasks = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(got) == (800_000, 800_000 * 799_999 // 2, 234, 234) and tasks >= 6
+
+
+def test_a_record_that_does_not_fit_is_null(spark, tmp_path):
+    (tmp_path / "r.json").write_text('[{"a": 1}, {"a": }, {"a": 3}]')
+    assert sorted([r.a for r in io.read_json_records(spark, str(tmp_path), "a long").collect()], key=str) == [1, 3, None]
+
+
 def test_file_date(spark, tmp_path):
     (tmp_path / "seen_20240524_1.csv").write_text("id\n1\n")
     (tmp_path / "seen_later.csv").write_text("id\n2\n")
