@@ -78,7 +78,7 @@ def replaced(s, d):
     path = scratch_path(s, "staged")
     io.write_parquet(_days(s, d), path)
     io.staged_replace(s.read.parquet(path).withColumn("o_totalprice", F.col("o_totalprice") * 2), path)
-    return s.read.parquet(path)
+    return io.read_current(s, path)
 
 
 def audit(s, d):

@@ -11,6 +11,7 @@ from larder.operators.filters import excluding
 from larder.operators.fuzzy import best_match
 from larder.plans import catalogue, expiry
 from larder.plans.browse import browse_expiry, browse_perishability, day_limits, expiry_view, perishability_view, pick_list
+from larder.session import materialize, scratch_path
 
 SEEN_ON = "1998-06-01"
 NOTICE_DAY = "1998-06-01"
@@ -156,6 +157,24 @@ def notices(s, d):
     )
 
 
+def _mailbox():
+    """A sender that turns down every notice of a number of lines that four divides."""
+    def send(notice):
+        if notice.n_items % 4 == 0:
+            raise ConnectionError("mailbox is full")
+
+    return send
+
+
+def delivery(s, d):
+    """All notices delivered twice over one ledger: states and, to show that none went twice, outcomes."""
+    lines, ledger = materialize(expiry.notices(expected(s, d), NOTICE_DAY), "all-notices"), scratch_path(s, "ledger")
+    outcomes = [expiry.deliver(lines, _mailbox, ledger) for _ in range(2)]
+    n = outcomes[0].unionByName(outcomes[1]).groupBy("notice").agg(F.count("*").alias("n"))
+    return expiry.ledger_state(s, ledger).join(n, "notice", "left").groupBy("status").agg(
+        F.count("*").alias("n_notices"), F.sum("n").alias("n_outcomes"))
+
+
 def perishability_page(s, d):
     view = perishability_view(perishability(s, d))
     return browse_perishability(view, {"category": "PROMO", "product_name": "ring"}, (2, 30))
@@ -182,6 +201,7 @@ QUERIES = {
     "expected_expiry": expected,
     "expected_expiry_partial": lambda s, d: expected(s, d, "partial_token_sort_ratio"),
     "expiry_notifications": notices,
+    "expiry_delivery": delivery,
     "perishability_browser": perishability_page,
     "perishability_limits": lambda s, d: day_limits(perishability_view(perishability(s, d))),
     "sorted_distinct": lambda s, d: pick_list(perishability_view(perishability(s, d)), "sub_category", {"category": "Promo"}),
@@ -343,6 +363,11 @@ ORACLES = {
     "token_overlap": """
         SELECT p_partkey, CAST(len(list_intersect(string_split(p_name, ' '), ['small', 'red', lower(p_type), 'ring'])) AS INTEGER) AS shared FROM part""",
     "expected_expiry": EXPECTED,
+    "expiry_delivery": f"""
+        SELECT status, count(*) AS n_notices, count(*) AS n_outcomes
+        FROM (SELECT CASE WHEN count(*) % 4 = 0 THEN 'open' ELSE 'sent' END AS status FROM ({EXPECTED})
+              WHERE expected_expiry_date - DATE '{NOTICE_DAY}' BETWEEN 1 AND 19 GROUP BY email_id, customer_name)
+        GROUP BY status""",
     "expiry_notifications": f"""
         SELECT email_id, customer_name, 0 AS part, CAST(count(*) AS INTEGER) AS n_items,
                string_agg(product_name, ', ' ORDER BY expected_expiry_date, product_name) AS products,

@@ -88,6 +88,8 @@ QUERIES = {
     "weekly_sales": lambda s, d: weekly(order_days(s, d), "date", "total_sales", "total_sales"),
     "monthly_sales": lambda s, d: monthly(order_days(s, d), "date", "total_sales", "total_sales"),
     "daily_multi_metric": lambda s, d: series.daily_metrics(dated_lines(s, d)),
+    "weekly_multi_metric": lambda s, d: series.weekly_metrics(dated_lines(s, d)),
+    "monthly_multi_metric": lambda s, d: series.monthly_metrics(dated_lines(s, d)),
     "sales_by_postal_code": lambda s, d: series.daily_sales_by(dated_lines(s, d), "postal_code"),
     "sales_by_location": lambda s, d: series.daily_sales_by(dated_lines(s, d), "location_id"),
     "calendar_features": lambda s, d: series.with_calendar(order_days(s, d), "date"),
@@ -108,6 +110,15 @@ _METRICS = f"""
     SELECT date, count(DISTINCT location_id) AS unique_locations, count(DISTINCT postal_code) AS unique_postal_codes,
            count(DISTINCT customer_id) AS unique_customers, round(sum(price), 2) AS total_sales,
            count(DISTINCT store_id) AS unique_stores FROM ({_DATED}) GROUP BY date"""
+
+
+def _metrics_of(unit: str, part: str) -> str:
+    return f"""
+    SELECT CAST(year(date) AS INTEGER) AS year, CAST({part}(date) AS INTEGER) AS {unit}, count(DISTINCT location_id) AS unique_locations,
+           count(DISTINCT postal_code) AS unique_postal_codes, count(DISTINCT customer_id) AS unique_customers,
+           round(sum(price), 2) AS total_sales, count(DISTINCT store_id) AS unique_stores FROM ({_DATED}) GROUP BY 1, 2"""
+
+
 _LAGS = ", ".join(
     f"lag({m}, {k}) OVER (ORDER BY date) AS {m}_lag_{k}" for m in series.METRICS for k in range(1, series.LAG_STEPS + 1)
 )
@@ -132,6 +143,8 @@ ORACLES = {
         SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, round(sum(total_sales), 2) AS total_sales
         FROM ({_ORDER_DAYS}) GROUP BY 1, 2""",
     "daily_multi_metric": _METRICS,
+    "weekly_multi_metric": _metrics_of("week", "weekofyear"),
+    "monthly_multi_metric": _metrics_of("month", "month"),
     "sales_by_postal_code": f"SELECT date, postal_code, round(sum(price), 2) AS total_sales_postal_code FROM ({_DATED}) GROUP BY 1, 2",
     "sales_by_location": f"SELECT date, location_id, round(sum(price), 2) AS total_sales_location_id FROM ({_DATED}) GROUP BY 1, 2",
     "calendar_features": f"""

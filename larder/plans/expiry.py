@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, functions as F
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from larder.functions.dates import parse_iso
 from larder.functions.similarity import keep_content_words
 from larder.operators.fuzzy import best_match
-from larder.operators.keys import dense_key
+from larder.operators.keys import content_key, dense_key
 from larder.session import materialize
 
 # Notification horizon in days.
@@ -101,9 +104,64 @@ def notices(
     )
 
 
-def deliver(notices_: DataFrame, send: Callable[[Iterator[Row]], None]) -> None:
-    """Hand the notices to a sender, one call per partition, so it can reuse a connection.
+_LEDGER = "notice string, run string, status string"
 
-    A retried task sends again: the sender should skip (email_id, part) pairs it has seen.
+
+def _handed_over(connect: Callable[[], Callable[[Row], None]], run: str) -> Callable:
+    """Sends the rows of a partition, and says of each what became of it."""
+
+    def send_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # An earlier attempt at this partition was lost, and nobody knows how far it got.
+        send, status = None, "open"
+        if TaskContext.get().attemptNumber() == 0:
+            try:
+                send = connect()
+            except Exception:
+                status = "unsent"
+        for batch in batches:
+            outcomes = []
+            for cells in batch.to_pylist() if send else ():
+                cells.pop("_notice")
+                try:
+                    send(Row(**cells))
+                    outcomes.append("sent")
+                except Exception:
+                    outcomes.append("open")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_notice"), pa.array([run] * len(batch), pa.string()), pa.array(outcomes if send else [status] * len(batch), pa.string())],
+                names=["notice", "run", "status"])
+
+    return send_all
+
+
+def ledger_state(spark: SparkSession, ledger: str) -> DataFrame:
+    """``notice``, ``status`` of every notice that a delivery took up: sent, unsent, or open.
+
+    Open are those whose sending failed or whose outcome was lost with a task or a driver: they may have
+    arrived. Unsent are those for which no connection could be made; the next delivery takes them up again.
+    """
+    rows = spark.read.schema(_LEDGER).parquet(ledger)
+    by = rows.groupBy("notice").agg(
+        F.max(F.col("status") == "sent").alias("sent"), F.max(F.col("status") == "open").alias("open"),
+        F.sum(F.expr("CASE status WHEN 'taken' THEN 1 WHEN 'unsent' THEN -1 ELSE 0 END")).alias("left"))
+    return by.select("notice", F.when(F.col("sent"), "sent").when(F.col("open") | (F.col("left") > 0), "open").otherwise("unsent").alias("status"))
+
+
+def deliver(notices_: DataFrame, connect: Callable[[], Callable[[Row], None]], ledger: str) -> DataFrame:
+    """Send every notice at most once, and keep account in ``ledger``, a table only this function writes.
+
+    ``connect`` is called once per partition and returns the function that sends one notice. Notices (told apart by
+    all their columns) that the ledger knows as sent or open are left out. The others are entered as taken before any
+    is sent, and their outcomes are committed by the task that sent them; a task that runs again sends nothing. What
+    has no outcome in the end is open, never sent twice. One delivery at a time may use a ledger. Returns the
+    outcomes of this run: ``notice``, ``run``, ``status``.
     """
-    notices_.foreachPartition(send)
+    spark, run = notices_.sparkSession, uuid.uuid4().hex
+    spark.createDataFrame([], _LEDGER).write.mode("append").parquet(ledger)
+    settled = ledger_state(spark, ledger).where("status <> 'unsent'").withColumnRenamed("notice", "_notice")
+    plain = [F.col(c) if not isinstance(f.dataType, (T.ArrayType, T.StructType)) else F.to_json(c) for c, f in zip(notices_.columns, notices_.schema)]
+    todo = notices_.withColumn("_notice", content_key(*plain)).dropDuplicates(["_notice"])
+    todo = materialize(todo.join(settled, "_notice", "left_anti"), "notices")
+    todo.select(F.col("_notice").alias("notice"), F.lit(run).alias("run"), F.lit("taken").alias("status")).write.mode("append").parquet(ledger)
+    todo.mapInArrow(_handed_over(connect, run), _LEDGER).write.mode("append").parquet(ledger)
+    return spark.read.schema(_LEDGER).parquet(ledger).where((F.col("run") == run) & (F.col("status") != "taken"))

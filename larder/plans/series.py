@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.functions.dates import calendar_features, parse_iso
 from larder.operators.calendar import add_lags, date_spine, fill_gaps
@@ -32,15 +32,63 @@ def daily_sales_filled(df: DataFrame, date: str, price: str, needed: Sequence[st
     return fill_gaps(daily, date_spine(df.sparkSession, first, last, date), date, ["total_sales"])
 
 
+# The columns behind the distinct counts of METRICS.
+COUNTED = {"unique_locations": "location_id", "unique_postal_codes": "postal_code", "unique_customers": "customer_id", "unique_stores": "store_id"}
+
+
+def daily_presence(df: DataFrame, date: str = "date", counted: Mapping[str, str] = COUNTED) -> DataFrame:
+    """Which numbers occur on which day, as bitmaps: ``date``, ``metric``, ``bucket``, ``bits``.
+
+    The counted columns hold whole numbers that lie close together, such as dense keys: a bitmap has room for
+    32,768 of them. Pairs of day and number are made distinct before they are set as bits, each column by
+    itself, so no sale is copied per metric. Null numbers are not counted.
+    """
+    found = None
+    for metric, column in counted.items():
+        pairs = df.where(F.col(column).isNotNull()).select(date, F.col(column).cast("long").alias("number")).distinct()
+        bits = pairs.groupBy(date, F.bitmap_bucket_number("number").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")).withColumn("metric", F.lit(metric))
+        found = bits if found is None else found.unionByName(bits)
+    return found
+
+
+def present(presence: DataFrame, period: Mapping[str, Column]) -> DataFrame:
+    """``metric``, ``n``: distinct numbers of each period, whose days' bitmaps are put together."""
+    merged = presence.groupBy(*[c.alias(name) for name, c in period.items()], "metric", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*period, "metric").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+
+
+def _metrics(presence: DataFrame, sales: DataFrame, period: Mapping[str, Column]) -> DataFrame:
+    """Counts and sales of each period in one row; periods known to either side, unknown dates among them."""
+    counts = present(presence, period).withColumn("total", F.lit(None).cast("double"))
+    sums = sales.groupBy(*[c.alias(name) for name, c in period.items()]).agg(F.sum("total").alias("total")).withColumns(
+        {"metric": F.lit("total_sales"), "n": F.lit(None).cast("long")})
+    one = {m: F.coalesce(F.max(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)) for m in COUNTED}
+    one["total_sales"] = F.round(F.max(F.when(F.col("metric") == "total_sales", F.col("total"))), 2)
+    return counts.unionByName(sums).groupBy(*period).agg(*[one[m].alias(m) for m in METRICS])
+
+
+def _sold(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bitmaps and sales of each day; the columns needed are stored, as each is read by itself."""
+    lines = materialize(df.select("date", "price", *COUNTED.values()), "lines")
+    return daily_presence(lines), lines.groupBy("date").agg(F.sum("price").alias("total"))
+
+
 def daily_metrics(df: DataFrame) -> DataFrame:
     """Four distinct counts and the sales of each day."""
-    return df.groupBy("date").agg(
-        F.countDistinct("location_id").alias("unique_locations"),
-        F.countDistinct("postal_code").alias("unique_postal_codes"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.round(F.sum("price"), 2).alias("total_sales"),
-        F.countDistinct("store_id").alias("unique_stores"),
-    )
+    return _metrics(*_sold(df), {"date": F.col("date")})
+
+
+def weekly_metrics(df: DataFrame) -> DataFrame:
+    """The same of each ISO week, exact, from the bitmaps and sums of its days."""
+    presence, sales = _sold(df)
+    return _metrics(materialize(presence, "presence"), sales, {"year": F.year("date"), "week": F.weekofyear("date")})
+
+
+def monthly_metrics(df: DataFrame) -> DataFrame:
+    """The same of each month."""
+    presence, sales = _sold(df)
+    return _metrics(materialize(presence, "presence"), sales, {"year": F.year("date"), "month": F.month("date")})
 
 
 def daily_sales_by(df: DataFrame, key: str) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark's readers pass over names that begin like these.
+_VERSION, _POINTERS = "_version-", "_versions"
 _RUN = re.compile(r"_(\d{14})(?:\.parquet)?$")
 
 
@@ -52,26 +55,77 @@ def read_snapshots(spark: SparkSession, base: str, mode: str = "latest") -> Data
     return spark.read.parquet(*(paths if mode == "all" else paths[-1:]))
 
 
-def staged_replace(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path`` by ``df``, which may read from that same path.
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of every finished version of a replaced table, oldest first.
 
-    The new table is complete before the old one moves aside, and the old one is
-    deleted only after the new one is in place.
+    Each has a small file that names its folder. A file without a name belongs to a writer that was
+    lost just then; its version does not count.
+    """
+    found = _fs(spark, path).globStatus(_path(spark, f"{path}/{_POINTERS}/[0-9]*")) or []
+    named = []
+    for status in found:
+        stream = _fs(spark, path).open(status.getPath())
+        try:
+            folder = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        named.append((int(status.getPath().getName()), folder))
+    return sorted(named)
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of a table are that ``staged_replace`` has replaced: its newest version, or the plain table."""
+    named = [folder for _, folder in _versions(spark, path) if folder]
+    return f"{path}/{named[-1]}" if named else path
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest finished version of a table."""
+    return spark.read.parquet(current_path(spark, path))
+
+
+def _write_version(df: DataFrame, folder: str) -> None:
+    df.write.parquet(folder)
+
+
+def _point(spark: SparkSession, pointer: str, folder: str) -> None:
+    """Make a version the current one: fails if another writer has taken its number."""
+    stream = _fs(spark, pointer).create(_path(spark, pointer), False)
+    try:
+        stream.write(bytearray(folder.encode()))
+    finally:
+        stream.close()
+
+
+def _clean(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete what no version names any more: older versions, leftovers of lost writers, and the plain table of before."""
+    fs, versions = _fs(spark, path), _versions(spark, path)
+    kept = [v for v in versions if v[1]][-1 - keep:]
+    names = {folder for _, folder in kept}
+    for status in fs.listStatus(_path(spark, path)):
+        name = status.getPath().getName()
+        number = int(name[len(_VERSION):].split("-")[0]) if name.startswith(_VERSION) else 0
+        # A higher number belongs to a writer at work.
+        if name != _POINTERS and name not in names and number <= kept[-1][0]:
+            fs.delete(status.getPath(), True)
+    for number, _ in versions:
+        if number < kept[0][0]:
+            fs.delete(_path(spark, f"{path}/{_POINTERS}/{number:08d}"), False)
+
+
+def staged_replace(df: DataFrame, path: str, keep: int = 1) -> None:
+    """Replace the table at ``path`` by ``df``, which may read from that same path; read it with ``read_current``.
+
+    The rows are written to a folder of their own inside ``path``, and a file that names the folder is created last.
+    Until then the old rows are read, from then on the new ones; a run lost in between leaves only a folder that the
+    next run deletes. Of two runs at a time one fails and changes nothing. ``keep`` earlier versions stay for
+    readers at work.
     """
     spark = df.sparkSession
-    staged, old = f"{path}__new", f"{path}__old"
-    df.write.mode("overwrite").parquet(staged)
-    fs = _fs(spark, path)
-    target = _path(spark, path)
-    if fs.exists(_path(spark, old)):
-        # Left by a run that failed half-way: whatever sits at ``path`` is newer.
-        if not fs.exists(target):
-            raise RuntimeError(f"{path} is missing; restore it from {old}")
-        fs.delete(_path(spark, old), True)
-    if fs.exists(target) and not fs.rename(target, _path(spark, old)):
-        raise RuntimeError(f"cannot move {path} aside")
-    if not fs.rename(_path(spark, staged), target):
-        fs.rename(_path(spark, old), target)
-        raise RuntimeError(f"cannot move the new table to {path}")
-    fs.delete(_path(spark, old), True)
+    versions = _versions(spark, path)
+    number = versions[-1][0] + 1 if versions else 1
+    folder = f"{_VERSION}{number:08d}-{uuid.uuid4().hex}"
+    _write_version(df, f"{path}/{folder}")
+    _point(spark, f"{path}/{_POINTERS}/{number:08d}", folder)
+    _clean(spark, path, keep)
     spark.catalog.refreshByPath(path)

@@ -1,7 +1,10 @@
 """Composed jobs on edge rows."""
 
 import datetime
+import uuid
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,15 +191,106 @@ def test_notices_split_long_lists_without_losing_lines(spark):
     assert sorted((r.part, r.n_items) for r in ann) == [(0, 20), (1, 20), (2, 20), (3, 20), (4, 15)]
 
 
-def test_deliver_reaches_every_notice(spark, tmp_path):
-    folder = str(tmp_path)
+def test_daily_weekly_and_monthly_counts_from_bitmaps(spark):
+    rows = [("2024-01-01", 1, 10, -5, 1.0, 7), ("2024-01-01", 1, 10, 40_000, 2.5, None), ("2024-01-03", 2, None, 40_000, 1.0, 7),
+            ("2024-01-08", 2, 10, 3_000_000_000, 1.0, 8), (None, None, None, None, 4.0, 9), ("2024-02-01", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "date string, location_id int, postal_code int, customer_id long, price double, store_id int").withColumn("date", F.col("date").cast("date"))
+    daily = series.daily_metrics(df)
+    assert "Expand" not in daily._jdf.queryExecution().executedPlan().toString()
+    assert daily.columns == ["date", *series.METRICS]
 
-    def send(rows):
-        for r in rows:
-            open(f"{folder}/{r.email_id}", "w").close()
+    def slow(key):
+        groups = {}
+        for r in df.collect():
+            groups.setdefault(key(r.date), []).append(r)
+        for k, rs in groups.items():
+            counts = [len({r[c] for r in rs} - {None}) for c in ("location_id", "postal_code", "customer_id", "store_id")]
+            prices = [r.price for r in rs if r.price is not None]
+            yield (k, *counts[:3], sum(prices) if prices else None, counts[3])
 
-    expiry.deliver(spark.createDataFrame([("a",), ("b",), ("c",)], "email_id string").repartition(2), send)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b", "c"]
+    same = lambda got, n: {tuple([tuple(r[:n]) if n > 1 else r[0], *r[n:]]) for r in got.collect()}
+    assert same(daily, 1) == set(slow(lambda d: d))
+    assert same(series.weekly_metrics(df), 2) == set(slow(lambda d: (d.isocalendar()[0], d.isocalendar()[1]) if d else (None, None)))
+    assert same(series.monthly_metrics(df), 2) == set(slow(lambda d: (d.year, d.month) if d else (None, None)))
+
+
+def mail(folder, refused=(), closed=False):
+    """Writes a file per notice sent; a second one of the same notice has another name."""
+    folder = str(folder)
+
+    def connect():
+        if closed:
+            raise ConnectionError
+
+        def send(row):
+            if row.email_id in refused:
+                raise ConnectionError
+            open(f"{folder}/{row.email_id}-{uuid.uuid4().hex}", "w").close()
+
+        return send
+
+    return connect
+
+
+def states(spark, ledger):
+    return Counter(r.status for r in expiry.ledger_state(spark, ledger).collect())
+
+
+def test_every_notice_is_sent_once_or_open(spark, tmp_path):
+    ledger, box = f"file:{tmp_path}/ledger", tmp_path / "box"
+    box.mkdir()
+    sent = lambda: sorted(p.name.split("-")[0] for p in box.iterdir())
+    first = spark.createDataFrame([(c, 0, [c]) for c in "abcdef"] + [("a", 0, ["a"]), ("a", 1, ["a"])], "email_id string, part int, items array<string>").repartition(3)
+    assert {r.status for r in expiry.deliver(first, mail(box, closed=True), ledger).collect()} == {"unsent"}
+    assert sent() == [] and states(spark, ledger) == {"unsent": 7}
+    got = expiry.deliver(first, mail(box, refused=("b", "d")), ledger)
+    assert Counter(r.status for r in got.collect()) == {"sent": 5, "open": 2}
+    assert sent() == ["a", "a", "c", "e", "f"]
+    # What is known is not sent again; what is new is.
+    more = first.unionByName(spark.createDataFrame([("g", 0, ["g"])], first.schema))
+    assert [r.status for r in expiry.deliver(more, mail(box), ledger).collect()] == ["sent"]
+    assert sent() == ["a", "a", "c", "e", "f", "g"] and states(spark, ledger) == {"sent": 6, "open": 2}
+
+
+def test_a_delivery_lost_half_way_is_open(spark, tmp_path, monkeypatch):
+    ledger, box = f"file:{tmp_path}/ledger", tmp_path / "box"
+    box.mkdir()
+    notices = spark.createDataFrame([(c, 0) for c in "abcd"], "email_id string, part int").repartition(2)
+
+    healthy = mail(box)
+
+    def dies():
+        send = healthy()
+
+        def one(row):
+            send(row)
+            if row.email_id in "bd":
+                raise SystemExit  # the worker ends without a word
+
+        return one
+
+    with pytest.raises(Exception):
+        expiry.deliver(notices, dies, ledger)
+    gone = {p.name.split("-")[0] for p in box.iterdir()}
+    assert gone and states(spark, ledger) == {"open": 4}
+    assert expiry.deliver(notices, mail(box), ledger).count() == 0
+    assert {p.name.split("-")[0] for p in box.iterdir()} == gone
+
+
+def test_a_second_attempt_sends_nothing(monkeypatch):
+    class Second:
+        @staticmethod
+        def get():
+            return type("Task", (), {"attemptNumber": staticmethod(lambda: 1)})
+
+    monkeypatch.setattr(expiry, "TaskContext", Second)
+    batch = pa.RecordBatch.from_pylist([{"_notice": "n1", "email_id": "a"}, {"_notice": "n2", "email_id": "b"}])
+
+    def never():
+        raise AssertionError("no connection is made")
+
+    got = pa.Table.from_batches(expiry._handed_over(never, "r")(iter([batch]))).to_pylist()
+    assert got == [{"notice": n, "run": "r", "status": "open"} for n in ("n1", "n2")]
 
 
 def test_dynamic_price(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larder import sources as io
 from larder.catalog import files
 from larder.session import materialize, scratch_path
+from larder.sources import snapshots
 from larder.sources.snapshots import snapshot_paths
 
 
@@ -113,17 +114,61 @@ def test_snapshots(spark, tmp_path):
 def test_staged_replace_reads_its_own_target(spark, tmp_path):
     path = f"file:{tmp_path}/prices"
     io.write_parquet(spark.range(4), path)
-    for _ in range(2):
-        io.staged_replace(spark.read.parquet(path).withColumn("id", F.col("id") + 10), path)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [20, 21, 22, 23]
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["prices"]
-
-
-def test_staged_replace_stops_when_the_table_is_gone(spark, tmp_path):
-    io.write_parquet(spark.range(1), f"file:{tmp_path}/t__old")
-    with pytest.raises(RuntimeError, match="restore"):
-        io.staged_replace(spark.range(2), f"file:{tmp_path}/t")
-    assert spark.read.parquet(f"file:{tmp_path}/t__old").count() == 1
+    for _ in range(3):
+        io.staged_replace(io.read_current(spark, path).withColumn("id", F.col("id") + 10), path)
+    assert sorted(r.id for r in io.read_current(spark, path).collect()) == [30, 31, 32, 33]
+    # The last version but one stays for readers; neither older ones nor the plain files do.
+    names = sorted(p.name for p in (tmp_path / "prices").iterdir() if not p.name.startswith("."))
+    assert [n.rsplit("-", 1)[0] for n in names] == ["_version-00000002", "_version-00000003", "_versions"]
+
+
+@pytest.mark.parametrize("step", ["_write_version", "_point", "_clean"])
+@pytest.mark.parametrize("done", [False, True])
+def test_staged_replace_that_stops_at_a_step_leaves_old_or_new_rows(spark, tmp_path, monkeypatch, step, done):
+    path = f"file:{tmp_path}/t"
+    io.write_parquet(spark.range(2), path)
+    io.staged_replace(spark.range(3), path)
+    real = getattr(snapshots, step)
+
+    def lost(*args):
+        if done:
+            real(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(snapshots, step, lost)
+    with pytest.raises(KeyboardInterrupt):
+        io.staged_replace(io.read_current(spark, path).withColumn("id", F.col("id") + 10), path)
+    new = step == "_clean" or (step == "_point" and done)
+    assert sorted(r.id for r in io.read_current(spark, path).collect()) == ([10, 11, 12] if new else [0, 1, 2])
+    monkeypatch.undo()
+    io.staged_replace(spark.range(5), path)
+    assert io.read_current(spark, path).count() == 5
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("_version-")]) == 2
+
+
+def test_staged_replace_lost_while_naming_a_version(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    io.staged_replace(spark.range(3), path)
+    (tmp_path / "t" / "_versions" / "00000002").write_text("")
+    assert io.read_current(spark, path).count() == 3
+    io.staged_replace(spark.range(4), path)
+    assert io.read_current(spark, path).count() == 4
+
+
+def test_one_of_two_replacing_runs_fails(spark, tmp_path, monkeypatch):
+    path = f"file:{tmp_path}/t"
+    io.staged_replace(spark.range(1), path)
+    real = snapshots._write_version
+
+    def overtaken(df, folder):
+        real(df, folder)
+        monkeypatch.undo()
+        io.staged_replace(spark.range(2), path)
+
+    monkeypatch.setattr(snapshots, "_write_version", overtaken)
+    with pytest.raises(Exception, match="(?i)exist"):
+        io.staged_replace(spark.range(9), path)
+    assert io.read_current(spark, path).count() == 2
 
 
 def test_materialize_keeps_schema(spark):
