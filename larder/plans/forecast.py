@@ -2,28 +2,32 @@
 
 A daily series is bounded by the calendar, so a fitted frame is small whatever
 the size of the sales behind it; the aggregation in front of it is the scalable
-part. Many series at once are fitted in parallel, one group per series.
+part. Many series at once are fitted from sums that Spark adds up per series.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.operators.calendar import after, date_spine, days_of, once_a_day, until
+from larder.plans import linear
 from larder.plans.series import CALENDAR_FEATURES, with_calendar
+from larder.session import materialize
 
 MEASURES = ("mae", "mse", "rmse", "r2")
 
@@ -132,7 +136,8 @@ def tune(
     """Cross-validated grid search per model: (model, part, mae, mse, rmse, r2).
 
     Folds are consecutive stretches of time, so neighbouring days never sit on
-    both sides of a split.
+    both sides of a split. Linear models are not refitted for every fold and grid
+    point: they are solved from sums of products that one pass over the days gives.
     """
     boundary = F.lit(test_from).cast("date")
     train = with_folds(df.where(F.col(date) < boundary), date, folds, "_fold").cache()
@@ -140,6 +145,13 @@ def tune(
     estimators = regressors(metric)
     rows = []
     for name in models:
+        if name == "linear":
+            points = linear.best_point(linear.cross_validate(train, features, metric, "_fold", grids[name]))
+            weights = linear.fit(train, features, metric, *points)
+            for part, data in (("train", train), ("test", test)):
+                scores = measure(linear.predict(data, features, weights), metric)
+                rows.append((name, part, *[float(scores[m]) for m in MEASURES]))
+            continue
         estimator = estimators[name]
         grid = ParamGridBuilder()
         for param, values in grids[name].items():
@@ -166,27 +178,21 @@ SEASONS = {"yearly": (365.25, 10), "weekly": (7.0, 5), "monthly": (30.0, 5)}
 INTERVAL_Z = 1.2815515655446004
 
 
-def _waves() -> list[tuple[str, float]]:
+def _waves(seasons: Mapping[str, tuple[float, int]] = SEASONS) -> list[tuple[str, float]]:
     """Name and turn per day of every wave; at half the sampling rate and beyond, waves repeat lower ones."""
-    return [(f"{name}_{{}}_{k}", 2 * math.pi * k / period) for name, (period, order) in SEASONS.items()
+    return [(f"{name}_{{}}_{k}", 2 * math.pi * k / period) for name, (period, order) in seasons.items()
             for k in range(1, min(order, math.ceil(period / 2) - 1) + 1)]
 
 
-def seasonal_columns(day_number: Column) -> dict[str, Column]:
+def seasonal_columns(day_number: Column, seasons: Mapping[str, tuple[float, int]] = SEASONS) -> dict[str, Column]:
     """Trend plus sine and cosine waves of every season."""
     columns = {"trend": day_number / 365.25}
-    for name, turn in _waves():
+    for name, turn in _waves(seasons):
         columns[name.format("sin")] = F.sin(day_number * turn)
         columns[name.format("cos")] = F.cos(day_number * turn)
     return columns
 
 
-def seasonal_matrix(days: np.ndarray) -> np.ndarray:
-    """A constant, the trend and the waves of each day."""
-    turns = np.outer(days, [turn for _, turn in _waves()])
-    return np.column_stack([np.ones(len(days)), days / 365.25, np.sin(turns), np.cos(turns)])
-
-
 def seasonal_forecast(daily: DataFrame, date: str, label: str, horizon: int, ridge: float = 1e-6) -> DataFrame:
     """Fitted and future values with an interval, none below zero: (date, yhat, lower, upper, kind)."""
     day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date"))
@@ -210,36 +216,54 @@ def seasonal_forecast(daily: DataFrame, date: str, label: str, horizon: int, rid
     )
 
 
-def seasonal_forecast_by(daily: DataFrame, series: str, date: str, label: str, horizon: int, ridge: float = 1e-3) -> DataFrame:
+def _solved(size: int, ridge: float) -> Callable:
+    """From the sums of products of (1, waves, y) of each series: the weights, and the deviation of what is left."""
+    # Products come feature by feature: the feature itself, then its products with the earlier ones and itself.
+    places = {}
+    for j in range(size):
+        places[(j,)] = len(places)
+        places.update({(i, j): len(places) + i for i in range(j + 1)})
+    cells = np.array([[places[tuple(sorted((i, j)))] for j in range(size)] for i in range(size)])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = np.array(batch.column("sums").to_pylist(), float).reshape(len(batch), -1)[:, cells]
+            xx, xy, yy, n = sums[:, :-1, :-1], sums[:, :-1, -1], sums[:, -1, -1], sums[:, 0, 0]
+            weights = np.linalg.solve(xx + ridge * np.eye(size - 1), xy[:, :, None])[:, :, 0]
+            left = yy - 2 * (weights * xy).sum(axis=1) + np.einsum("si,sij,sj->s", weights, xx, weights)
+            sigma = np.sqrt(np.maximum(left, 0) / n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights.tolist(), pa.list_(pa.float64())), pa.array(sigma)],
+                                             names=[batch.schema.names[0], "weights", "sigma"])
+
+    return solve
+
+
+def seasonal_forecast_by(
+    daily: DataFrame, series: str, date: str, label: str, horizon: int, ridge: float = 1e-3,
+    seasons: Mapping[str, tuple[float, int]] = SEASONS,
+) -> DataFrame:
     """The same model fitted separately for each series.
 
-    A group is one series with one row per day, so its size is bounded by the
-    calendar, not by the sales.
+    Spark adds up the products of every two columns of a series' days, from partial sums of all tasks, and one small
+    system of equations is solved per series. Values and days of a series never come together in a task. A series
+    without any value has no forecast.
     """
     kind = dict(daily.dtypes)[series]
-    day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date")).alias("_day")
-    per_day = daily.groupBy(series, date).agg(F.sum(F.col(label).cast("double")).alias("y"))
-    history = per_day.withColumn("kind", F.lit("history"))
-    ahead = (
-        per_day.groupBy(series).agg(F.max(date).alias("_last"))
-        .select(series, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))).alias(date),
-                F.lit(None).cast("double").alias("y"), F.lit("forecast").alias("kind"))
-    )
-    rows = history.unionByName(ahead).select(series, date, "y", "kind", day_number)
-
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        known = part["y"].notna().to_numpy()
-        x = seasonal_matrix(part["_day"].to_numpy(float))
-        y = part["y"].to_numpy(float)[known]
-        a = x[known]
-        weights = np.linalg.solve(a.T @ a + ridge * np.eye(x.shape[1]), a.T @ y)
-        yhat = x @ weights
-        sigma = float(np.sqrt(np.mean((a @ weights - y) ** 2)))
-        return pd.DataFrame({
-            series: part[series], date: part[date],
-            "yhat": np.maximum(yhat, 0.0), "lower": np.maximum(yhat - INTERVAL_Z * sigma, 0.0),
-            "upper": np.maximum(yhat + INTERVAL_Z * sigma, 0.0), "kind": part["kind"],
-        })
-
-    schema = f"`{series}` {kind}, `{date}` date, yhat double, lower double, upper double, kind string"
-    return rows.groupBy(series).applyInPandas(fit, schema)
+    day_number = F.datediff(F.col(date), F.lit("2000-01-01").cast("date"))
+    per_day = materialize(daily.groupBy(series, date).agg(F.sum(F.col(label).cast("double")).alias("y")), "per-day")
+    waves = {"constant": F.lit(1.0), **seasonal_columns(day_number, seasons)}
+    known = per_day.where(F.col("y").isNotNull()).select(series, array_to_vector(F.array(*waves.values(), F.col("y"))).alias("x"))
+    products = PolynomialExpansion(degree=2, inputCol="x", outputCol="products").transform(known)
+    sums = products.groupBy(series).agg(Summarizer.sum(F.col("products")).alias("sums")).select(series, vector_to_array("sums").alias("sums"))
+    models = sums.mapInArrow(_solved(len(waves) + 1, ridge), f"`{series}` {kind}, weights array<double>, sigma double")
+    ahead = per_day.groupBy(series).agg(F.max(date).alias("_last")).select(
+        series, F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))).alias(date), F.lit("forecast").alias("kind"))
+    days = per_day.select(series, date, F.lit("history").alias("kind")).unionByName(ahead)
+    models = models.withColumnRenamed(series, "_of")
+    parts = F.zip_with(F.array(*waves.values()), "weights", lambda x, w: x * w)
+    yhat = F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+    floor = lambda c: F.greatest(c, F.lit(0.0))
+    fitted = days.join(models, F.col(series).eqNullSafe(F.col("_of"))).withColumn("_yhat", yhat)
+    return fitted.select(
+        series, date, floor(F.col("_yhat")).alias("yhat"), floor(F.col("_yhat") - INTERVAL_Z * F.col("sigma")).alias("lower"),
+        floor(F.col("_yhat") + INTERVAL_Z * F.col("sigma")).alias("upper"), "kind")
