@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from larder.catalog.inputs import table
 from larder.functions.money import pair_spec_lines, rupee_block
 from larder.plans import extraction
-from larder.plans.recipes import find_recipes, prepare_recipes
+from larder.plans.recipes import find_indexed, find_recipes, index_recipes, prepare_recipes
 from larder.plans.reviews import apply_sentiment, fit_sentiment
+from larder.session import scratch_path
 
 
 def meals(s, d):
@@ -29,6 +30,12 @@ def document_recipes(s, d):
     )
 
 
+def indexed_search(s, d):
+    folder = scratch_path(s, "recipes")
+    index_recipes(document_recipes(s, d), folder)
+    return find_indexed(s, folder, ["UND ", "es.", "(a)"]).select("food_name", "description", F.md5("clean_ingredients").alias("digest"))
+
+
 def _goods():
     return F.regexp_replace("o_orderpriority", r"^\d-", "")
 
@@ -109,6 +116,7 @@ QUERIES = {
     "recipe_clean_compat": lambda s, d: prepare_recipes(meals(s, d), compat=True).select("p_partkey", "clean_ingredients"),
     "recipe_search": lambda s, d: find_recipes(document_recipes(s, d), ["UND ", "es.", "(a)"]).select(
         "food_name", "description", F.md5("clean_ingredients").alias("digest")),
+    "recipe_search_indexed": indexed_search,
     "receipt_header": lambda s, d: extraction.parse_receipts(receipts(s, d)).select("o_orderkey", "store_name", "store_address"),
     "receipt_items": lambda s, d: extraction.receipt_items(extraction.parse_receipts(receipts(s, d)), ["o_orderkey"]),
     "invoice_header": lambda s, d: extraction.parse_invoices(answers(s, d)).drop("products"),
@@ -150,6 +158,9 @@ ORACLES = {
     "recipe_search": """
         SELECT CAST(doc_id AS VARCHAR) AS food_name, lang AS description, md5(text) AS digest FROM documents
         WHERE contains(lower(text), 'und ') OR contains(lower(text), 'es.') OR contains(lower(text), '(a)')""",
+    "recipe_search_indexed": """
+        SELECT CAST(doc_id AS VARCHAR) AS food_name, lang AS description, md5(text) AS digest FROM documents
+        WHERE contains(lower(text), 'und ') OR contains(lower(text), 'es.') OR contains(lower(text), '(a)')""",
     "receipt_header": """
         SELECT o_orderkey, 'SUPER ' || o_orderstatus || 'A' AS store_name, 'Calle mayor ' || o_custkey AS store_address FROM orders""",
     "receipt_items": f"""

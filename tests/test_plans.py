@@ -323,6 +323,22 @@ def test_recipes(spark):
     assert recipes.find_recipes(ready, ["(zest"]).count() == 0
 
 
+def test_indexed_recipes(spark, tmp_path):
+    texts = ["Apple pie", "PINEAPPLE, salt", "ſalt and pepper", "İstanbul tea", "Straße", "STRASSE", "a.b (zest)", "", None, "été", "...", "plain flour"]
+    rows = [(f"r{i}", t, "d") for i, t in enumerate(texts)] + [(None, "apple", "d")] + [(f"s{i}", f"only word{i}", "d") for i in range(200)]
+    meals = spark.createDataFrame(rows, "food_name string, clean_ingredients string, description string")
+    recipes.index_recipes(meals, f"file:{tmp_path}/index", parts=16)
+    known = meals.where("food_name IS NOT NULL")
+    for terms in (["apple"], ["SALT"], ["istanbul"], ["straße", "x"], ["ss"], ["(Zest"], ["ÉT"], ["..."], ["e f", "word19"], ["\\E", "q"], [], ["nowhere"]):
+        want = sorted(map(tuple, recipes.find_recipes(known, terms).collect()))
+        assert sorted(map(tuple, recipes.find_indexed(spark, f"file:{tmp_path}/index", terms).collect())) == want, terms
+    # A rare word leads to one part; only its files are read.
+    one = recipes.find_indexed(spark, f"file:{tmp_path}/index", ["word123"])
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_receipt(spark):
     text = "mercat\nMERCADO SUR, .\nC/ Av. Diagonal 12, baixos\n2 PA DE MOTLLE 1,25 2,50\nLLET 0.95\n\\TOTAL+ 3,45\n"
     got = extraction.parse_receipts(spark.createDataFrame([(text,), ("nothing here",), (None,)], "text string")).collect()
