@@ -2,10 +2,12 @@
 
 A mask is a row of token offsets; the tokens between them are ignored, so a substituted token there
 does not matter. Every mask is laid on every token position of the benchmark items and of the
-documents, and the hashes of the tokens it selects are joined. The two masks used leave out different
-positions: any ``MIN_TOKENS`` tokens with up to two substitutions have a place for one of them. Each
-hit names a diagonal, a document position less an item position. On the diagonal, around the hit, the
-longest stretch that agrees in enough tokens decides whether the document overlaps the item.
+documents, and the hashes of the tokens it selects are joined. Masks leave out different positions, and
+there are as many as it takes: wherever substitutions fall, an overlap that counts has a place for one of
+them (a test goes through all ways). Items too short for the common masks have shorter ones of their own,
+which are laid on documents only if there are such items. Each hit names a diagonal, a document position
+less an item position. On the diagonal, around the hit, the longest stretch that agrees in enough tokens
+decides whether the document overlaps the item.
 
 Documents look their hashes up in a bit map of fixed size first, filled from the benchmark; what the
 map lets through by chance fails in the join. The map does not grow with the benchmark, and documents
@@ -26,8 +28,16 @@ from pyspark.sql import functions as F
 from larder.llm.rows import pieces, select_as
 from larder.session import materialize
 
-#: Offsets of the tokens each mask selects.
-MASKS = ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 6, 7))
+#: Offsets of the tokens each mask selects, by the fewest tokens of the items it is for.
+MASK_SETS = {
+    1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2),), 4: ((0, 1, 2, 3),),
+    5: ((0, 1, 4), (0, 2, 3)),
+    6: ((0, 2, 3, 4), (0, 1, 2, 5)),
+    13: ((0, 1, 2, 5, 7, 8), (0, 2, 3, 4, 6, 7), (0, 1, 2, 4, 8, 11), (0, 1, 5, 8, 10, 11)),
+}
+MASKS = tuple(mask for masks in MASK_SETS.values() for mask in masks)
+#: Items with fewer tokens are so short that clean documents hold them too.
+MIN_ITEM_TOKENS = 5
 #: The shortest overlap that counts; items with fewer tokens must be found whole.
 MIN_TOKENS = 13
 #: The share of tokens that must agree in an overlap.
@@ -38,7 +48,13 @@ MARGIN = 64
 MAP_BITS = 1 << 26
 
 _WORD = re.compile(r"\w+")
-_COEFFICIENTS = np.random.default_rng(20240607).integers(1, 2**63, (8, 16), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_COEFFICIENTS = np.random.default_rng(20240607).integers(1, 2**63, (16, 8), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def masks_for(n_tokens: int) -> list[int]:
+    """Numbers of the masks for an item of so many tokens."""
+    least = max(least for least in MASK_SETS if least <= n_tokens)
+    return [i for i, mask in enumerate(MASKS) if mask in MASK_SETS[least]]
 
 
 def token_hashes(text: str) -> np.ndarray:
@@ -75,7 +91,7 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for item, tokens in zip(batch.column("item_id").to_pylist(), batch.column("tokens")):
             row = tokens.values.to_numpy().view(np.uint64)
-            for no in range(len(MASKS)):
+            for no in masks_for(len(row)):
                 seeds = seed_hashes(row, no)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(seeds.view(np.int64)), pa.array([item] * len(seeds), pa.int64()), pa.array(np.arange(len(seeds), dtype=np.int32))],
@@ -104,7 +120,7 @@ def _bit_map(seeds: DataFrame) -> bytes:
 _REGIONS = "doc_id long, region long, tokens array<long>, seeds array<long>, doc_at array<int>"
 
 
-def _hit_regions(docs: DataFrame, bit_map: bytes) -> DataFrame:
+def _hit_regions(docs: DataFrame, bit_map: bytes, masks: list[int]) -> DataFrame:
     """Stretches of documents around hits: their tokens, and the seeds found with their places in the stretch."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_map)
 
@@ -114,7 +130,7 @@ def _hit_regions(docs: DataFrame, bit_map: bytes) -> DataFrame:
             for part, texts in pieces(batch, "text"):
                 rows = []
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
-                    rows.extend((doc_id, *r) for r in _regions_of(token_hashes(text), bits))
+                    rows.extend((doc_id, *r) for r in _regions_of(token_hashes(text), bits, masks))
                 if rows:
                     columns = list(zip(*rows))
                     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
@@ -124,9 +140,9 @@ def _hit_regions(docs: DataFrame, bit_map: bytes) -> DataFrame:
     return docs.mapInArrow(run, _REGIONS)
 
 
-def _regions_of(tokens: np.ndarray, bits: np.ndarray) -> list[tuple]:
-    places, seeds = [], []
-    for no in range(len(MASKS)):
+def _regions_of(tokens: np.ndarray, bits: np.ndarray, masks: list[int]) -> list[tuple]:
+    places, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for no in masks:
         found = seed_hashes(tokens, no)
         first, second = _probes(found)
         hit = np.flatnonzero(bits[first >> 3] >> (first & 7).astype(np.uint8) & 1)
@@ -184,21 +200,27 @@ def _verify(min_tokens: int, min_identity: float):
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-             item_text_col: str = "text", min_tokens: int = MIN_TOKENS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+             item_text_col: str = "text", min_tokens: int = MIN_TOKENS, min_identity: float = MIN_IDENTITY,
+             min_item_tokens: int = MIN_ITEM_TOKENS) -> DataFrame:
     """``doc_id``, ``item_id``, ``doc_start``, ``item_start``, ``n_tokens``, ``n_equal``: the longest overlap of each pair.
 
     Tokens are words, lower-cased; places are counted in tokens. An overlap has at least ``min_tokens``
-    tokens (an item with fewer: all of them) of which ``min_identity`` agree, with one hit of a mask on
-    the same diagonal within it or within ``MARGIN`` tokens. Items too short for any mask, null and empty
-    texts and rows without an id are never found. Items with the same tokens are one, under their
-    smallest id; documents that repeat an id are one document. Of equally long overlaps the one with
-    more equal tokens counts, then the first in the document, then in the item.
+    tokens (an item with fewer: all of them) of which ``min_identity`` agree. At the standard settings all
+    of them are found, as masks have a place in each; with a lower identity or fewer tokens, those with one hit of
+    a mask. Items of fewer than ``min_item_tokens`` tokens, null and empty texts and rows without an id are
+    never found. Items with the same tokens are one, under their smallest id; documents that repeat an id are
+    one document. Of equally long overlaps the one with more equal tokens counts, then the first in the
+    document, then in the item.
     """
-    items = materialize(benchmark_items(benchmark, item_col, item_text_col), "items")
+    items = benchmark_items(benchmark, item_col, item_text_col)
+    items = materialize(items.where(F.size("tokens") >= max(1, min_item_tokens)), "items")
+    # One row per set of masks.
+    least = F.array_max(F.array(*[F.when(F.size("tokens") >= n, n) for n in MASK_SETS]))
+    used = sorted({no for r in items.select(least.alias("n")).distinct().collect() for no in masks_for(r.n)})
     seeds = materialize(items.select("item_id", "tokens").mapInArrow(_seed_rows, "seed long, item_id long, item_at int"), "seeds")
     named = select_as(docs, doc_id=id_col, text=text_col).where("doc_id is not null and text is not null")
     # Rows that repeat an id may hold different texts, so a stretch is known by its tokens too.
-    regions = materialize(_hit_regions(named, _bit_map(seeds)).withColumn("content", F.xxhash64("tokens")), "regions")
+    regions = materialize(_hit_regions(named, _bit_map(seeds), used).withColumn("content", F.xxhash64("tokens")), "regions")
     hits = regions.select("doc_id", "region", "content", F.explode(F.arrays_zip("seeds", "doc_at")).alias("hit")).select(
         "doc_id", "region", "content", F.col("hit.seeds").alias("seed"), F.col("hit.doc_at").alias("doc_at"))
     found = hits.join(seeds, "seed").select("doc_id", "region", "content", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.llm import perfect_hash
-from larder.llm.rows import append_columns, pieces, select_as
+from larder.llm.rows import append_columns, fresh, pieces, select_as
 from larder.session import materialize
 
 MIN_CHARS = 10
@@ -183,13 +183,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are one document. A row without an id keeps all its lines and does not count for others.
     Columns of these three names are replaced. An empty table gives no rows.
     """
-    lost = repeated_lines(docs, id_col, text_col, min_chars).groupBy(F.col("doc_id").alias("_lost_by")).agg(
-        F.collect_set(F.struct("h1", "h2")).alias("_lost"))
-    joined = docs.join(lost, docs[id_col] == lost["_lost_by"], "left").drop("_lost_by")
+    lost_by, lost_lines_of = fresh(docs, "_lost_by"), fresh(docs, "_lost")
+    lost = repeated_lines(docs, id_col, text_col, min_chars).groupBy(F.col("doc_id").alias(lost_by)).agg(
+        F.collect_set(F.struct("h1", "h2")).alias(lost_lines_of))
+    joined = docs.join(lost, docs[id_col] == lost[lost_by], "left").drop(lost_by)
 
     def rebuild(texts: list[str], part: pa.RecordBatch) -> list[pa.Array]:
         kept, n_lines, n_dropped = [], [], []
-        for text, lost_lines in zip(texts, part.column("_lost")):
+        for text, lost_lines in zip(texts, part.column(lost_lines_of)):
             lines, hashes = line_hashes(text, min_chars)
             stay = lines
             if lost_lines.is_valid and len(lost_lines):
@@ -202,4 +203,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             n_dropped.append(len(lines) - len(stay))
         return [pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
 
-    return append_columns(joined, text_col, _ADDED, rebuild).drop("_lost")
+    return append_columns(joined, text_col, _ADDED, rebuild).drop(lost_lines_of)

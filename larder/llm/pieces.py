@@ -10,6 +10,7 @@ piece's span runs from the source of its first byte to that of the next piece's
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import re
 import struct
@@ -322,11 +323,10 @@ class PieceModel:
 
 def _utf8(raw: bytes) -> bytes:
     """Bytes with every one that belongs to no character replaced by U+FFFD."""
-    try:
-        raw.decode()
-        return raw
-    except UnicodeDecodeError as wrong:
-        return raw[:wrong.start] + "�".encode() + _utf8(raw[wrong.start + 1:])
+    return raw.decode("utf-8", "one-by-one").encode()
+
+
+codecs.register_error("one-by-one", lambda wrong: ("\ufffd", wrong.start + 1))
 
 
 @lru_cache(maxsize=2)

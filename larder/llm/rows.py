@@ -38,6 +38,14 @@ def select_as(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(df[source].cast("long" if name.endswith("_id") else "string").alias(name) for name, source in columns.items()))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def append_columns(df: DataFrame, text: str, added: T.StructType,
                    compute: Callable[[list[str], pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with columns computed from its texts, piece by piece; an existing column of the same name is replaced."""

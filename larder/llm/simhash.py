@@ -114,23 +114,43 @@ def links(classes: DataFrame, max_distance: int = 2) -> DataFrame:
     return left.join(right, same & near).select("a", "b")
 
 
+def _components(fps: DataFrame, max_distance: int) -> DataFrame:
+    """``fp``, ``component`` for each different fingerprint, which itself is the node: rows may repeat an id."""
+    classes = materialize(fps.select("fp").distinct(), "simhash-classes")
+    found = links(classes.select(F.col("fp").alias("node"), "fp"), max_distance).distinct()
+    reached = components(found)
+    named = classes.join(reached.select(F.col("node").alias("member"), "component"), F.col("fp") == F.col("member"), "left")
+    return materialize(named.select("fp", F.coalesce("component", "fp").alias("component")), "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     max_distance: int = 2) -> DataFrame:
     """``doc_id``, ``fp`` long, ``component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at most ``max_distance`` differing bits.
     Null and empty texts have fingerprint 0 and link like any other. Rows repeating an id are each
-    returned. A row with a null id belongs to the component of its fingerprint but never names it
-    (``component_id`` is null where all rows of the component lack an id). An empty table gives no rows.
+    returned, with the component of their own text. A row with a null id belongs to the component of its
+    fingerprint but never names it (``component_id`` is null where all rows of the component lack an id).
+    An empty table gives no rows.
     """
     fps = materialize(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    classes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    found = links(classes.where("node is not null"), max_distance).distinct()
-    reached = components(found)
-    named = classes.join(reached.select(F.col("node").alias("member"), "component"),
-                         F.col("node") == F.col("member"), "left")
-    named = materialize(named.select("fp", F.coalesce("component", "node").alias("component_id")), "simhash-named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = _components(fps, max_distance)
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    ids = named.join(least, "fp").groupBy("component").agg(F.min("least").alias("component_id"))
+    told = materialize(named.join(ids, "component").select("fp", "component_id"), "simhash-ids")
+    return fps.join(told, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(rows: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
+                max_distance: int = 2) -> DataFrame:
+    """The numbers (``row_col``) of the rows that stay if each component keeps one: that with the smallest id, a row
+    with an id before one without, and of those with the same id the one with the smallest number."""
+    kept = select_as(rows, doc_id=row_col, text=text_col)
+    fps = materialize(fingerprints(kept, "doc_id", "text", shingle_words), "simhash").withColumnRenamed("doc_id", "row")
+    own = rows.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("id"))
+    ranked = fps.join(_components(fps, max_distance), "fp").join(own, "row")
+    first = ranked.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first"))
+    return first.select(F.col("first.row").alias(row_col))
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -76,3 +76,9 @@ def test_nulls_repeats_clashes_and_no_rows(spark):
     line = "a line long enough"
     assert got == sorted([("None", line, 0, "x"), ("2", line, 0, "y"), ("2", line, 0, "z"), ("3", "", 1, None)], key=str)
     assert line_dedup.dedup_lines(docs.where("false")).count() == 0
+
+
+def test_columns_with_the_names_used_inside_survive(spark):
+    docs = spark.createDataFrame([(1, "the same long line", "a", "b"), (2, "the same long line", "c", "d")], "doc_id long, text string, _lost string, _lost_by string")
+    got = line_dedup.dedup_lines(docs).orderBy("doc_id").collect()
+    assert [(r["_lost"], r["_lost_by"], r.n_dropped) for r in got] == [("a", "b", 0), ("c", "d", 1)]

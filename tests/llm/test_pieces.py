@@ -108,3 +108,12 @@ def test_clashing_columns_nulls_and_no_rows(spark):
     assert coded.where("doc_id = 1 and size(ids) = 0 and n_bytes = 0 and decoded = ''").count() == 2
     assert coded.where("doc_id is null").first().decoded == "a b"
     assert pieces.encode(docs.where("false"), RAW).count() == 0
+
+
+def test_decoding_many_bytes_that_are_no_text(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    byte = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+    rng = random.Random(9)
+    for ids in ([byte[0xFF]] * 5000, [byte[b] for b in rng.choices([0xE6, 0xBC, 0xA2, 0xF0, 0x9F, 0x41, 0xC3], k=4000)]):
+        with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+            assert pieces.PieceModel(file.read()).decode(ids) == library.decode(ids)

@@ -75,3 +75,36 @@ def test_stages_keep_the_columns_and_take_odd_tables(spark, tmp_path):
             assert found.columns == frame.columns
             assert (found.count() > 0) == (frame.count() > 0)
         assert corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).count() == frame.count()
+
+
+def test_rows_go_and_ids_stay(spark, tmp_path):
+    """Repeated ids of different text, exact repeats, rows without an id, and columns with the operators' own names."""
+    docs, labels = _rows(random.Random(3), 120)
+    item = " ".join(f"b{i}" for i in range(20))
+    copy, other = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = [(503, copy), (503, copy), (505, copy), (505, other), (None, copy), (None, "only once, without an id, and long enough"),
+             (507, f"seen {item} here"), (507, "clean text of the same id"), (None, f"hidden {item} too")]
+    names = ["n_lines", "kept_text", "p_toxic", "is_toxic", "_lost", "fp", "component", "_row", "seed", "item_id"]
+    rows = [(i, t, *[f"{c} {n}" for c in names]) for n, (i, t) in enumerate(docs + extra)]
+    spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in names)).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    known = {(r[0], r[1], r[2]): tuple(r) for r in rows}
+
+    def pairs(found):
+        collected = found.collect()
+        assert found.columns == frame.columns and [f.dataType for f in found.schema] == [f.dataType for f in frame.schema]
+        return collected, sorted(((r.doc_id, r.text) for r in collected if r.doc_id is None or r.doc_id >= 500), key=str)
+
+    kept, some = pairs(corpus_pipeline.drop_near_duplicates(spark, frame, str(tmp_path)))
+    assert some == sorted([(503, copy), (505, other)] + [p for p in extra if p[1] not in (copy, other)], key=str)
+    assert all(known[r.doc_id, r.text, r.n_lines] == tuple(r) for r in kept)
+    kept, some = pairs(corpus_pipeline.drop_contaminated(spark, frame, str(tmp_path)))
+    assert some == sorted([p for p in extra if item not in p[1]], key=str) and len(kept) == len(rows) - 2
+    assert all(known[r.doc_id, r.text, r.n_lines] == tuple(r) for r in kept)
+    kept, some = pairs(corpus_pipeline.drop_toxic(spark, frame, str(tmp_path)))
+    assert some == sorted(extra, key=str) and all(known[r.doc_id, r.text, r.n_lines] == tuple(r) for r in kept)
+    kept, _ = pairs(corpus_pipeline.drop_repeated_lines(spark, frame, str(tmp_path)))
+    assert len(kept) == len(rows) and sorted(r.n_lines for r in kept) == sorted(r[2] for r in rows)
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id == 505} == {(505, ""), (505, other)}
