@@ -11,10 +11,10 @@ and their number grows with the text. Besides, it is the prefix array at the mul
 two, at most ``CELLS`` of them, and the hashes of the suffixes of the same lengths, for texts that are
 too short for spans: the coarser grid of two is part of the finer.
 
-Likeness is the part of the longer text that both have in common. Spans and grid cells that agree are
-anchors. With the texts at hand, each anchor is extended to the longest run that agrees on either side
-of it, as are both ends of the texts. Written fingerprints alone show the anchors and, by binary search
-on the grid, the common prefix and suffix.
+Likeness is the part of the longer text that two fingerprints show in common: spans and grid cells that
+agree and, by binary search on the grid, the common prefix and suffix. With the texts at hand, these are
+anchors, and a second figure extends each to the longest run that agrees on either side of it, as it does
+both ends of the texts.
 """
 
 from __future__ import annotations
@@ -172,15 +172,21 @@ class Fingerprint:
                            *(np.concatenate((first, g), axis=1) for g in read), spans)
 
     def likeness(self, other: Fingerprint) -> float:
-        """Share of the longer text that both are shown to have in common; 1 for equal texts, two empty ones too."""
-        longest = max(self.size, other.size)
+        """Share of the longer text that both fingerprints show in common, as they are written; 1 for equal texts, two empty ones too."""
+        return self.compare(other)[0]
+
+    def compare(self, other: Fingerprint) -> tuple[float, float]:
+        """Likeness, and the same with every part shown extended to the longest run that agrees, if both texts' arrays are at hand."""
         if self.size == other.size and self.whole == other.whole:
-            return 1.0
+            return 1.0, 1.0
         common = self._same_cells(other) + self._same_spans(other)
-        if self.hashes and other.hashes:
-            common = _extended(self.hashes, other.hashes, common)
-        shared = min(_covered([(c[side], c[side] + c[2]) for c in common]) for side in (0, 1))
-        return shared / longest
+        shown = self._share(other, common)
+        if not (self.hashes and other.hashes):
+            return shown, shown
+        return shown, self._share(other, _extended(self.hashes, other.hashes, common))
+
+    def _share(self, other: Fingerprint, common: list[tuple[int, int, int]]) -> float:
+        return min(_covered([(c[side], c[side] + c[2]) for c in common]) for side in (0, 1)) / max(self.size, other.size)
 
     def _same_cells(self, other: Fingerprint) -> list[tuple[int, int, int]]:
         """Where a grid cell agrees with the one at the same offset from the front or the back: both places, and its size."""
@@ -280,8 +286,8 @@ def edited(points: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, int]:
     return np.concatenate((points[:own], following[:len(points) // 4])), own
 
 
-_COMPARED = ("doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, "
-             "near_edited double, near_next double")
+_COMPARED = ("doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, "
+             "near_next double, near_edited_extended double, near_next_extended double")
 
 
 def _text(points: np.ndarray) -> str:
@@ -298,16 +304,16 @@ class _Side:
 def _row(this: _Side, following: _Side | None) -> tuple:
     points, own = edited(this.points, following.points if following else this.points[:0])
     changed = PrefixHashes(points, this.hashes, own).fingerprint()
-    near_next = this.fingerprint.likeness(following.fingerprint) if following else None
-    return (this.doc_id, len(this.points), _text(points), str(this.fingerprint), str(changed),
-            this.fingerprint.likeness(changed), near_next)
+    to_edited = this.fingerprint.compare(changed)
+    to_next = this.fingerprint.compare(following.fingerprint) if following else (None, None)
+    return (this.doc_id, len(this.points), _text(points), str(this.fingerprint), str(changed), to_edited[0], to_next[0], to_edited[1], to_next[1])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by part, own ones by id and then those borrowed from the next part; each own row meets the one after it."""
     held, part_of_held = None, None
     names = [c.split()[0] for c in _COMPARED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()] + [pa.float64()] * 4
     schema = pa.schema(list(zip(names, kinds)))
     for batch in batches:
         for piece, texts in pieces(batch, "text", 500_000):
@@ -342,6 +348,9 @@ def _part(bounds: list[int]) -> Column:
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its fingerprint, that of its edited text, and both likenesses.
 
+    ``near_edited`` and ``near_next`` are what the two fingerprints show; the columns ending in ``_extended`` count the
+    longest runs of the texts that agree around what they show.
+
     The edited text replaces the last ``n_chars // 4`` code points by as many (or all) from the start
     of the next document in the order of ids, after the last one the first. Rows of one id follow
     one another in the order of their texts. Null texts are empty. A row without an id has no next

@@ -12,6 +12,7 @@ article stay or go together. The text between the points of the others is kept w
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html import unescape
 
 import numpy as np
@@ -56,6 +57,7 @@ OWN_HEADERS = frozenset("article post entry story page content main".split())
 LEAST_LEFT, MOST_MARKED = 0.1, 500
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(?=[\s/>])")
 _MARKS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -117,13 +119,30 @@ class _Lines:
         self.inside += [inside] * blank
 
 
-def _closed(html: str, at: int, name: str, depth: int) -> bool:
-    """Whether as many elements of a name as are open at a place are closed after it."""
-    for match in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(html, at):
-        depth += -1 if match.group(1) else 1
-        if not depth:
-            return True
-    return False
+class _Closings:
+    """Tells whether as many elements of a name as are open at a place are closed after it. Reads the page once."""
+
+    def __init__(self, html: str):
+        self.html, self.known = html, None
+
+    def __call__(self, at: int, name: str, depth: int) -> bool:
+        if self.known is None:
+            steps: dict[str, tuple[list[int], list[int]]] = {}
+            for match in _NAME.finditer(self.html):
+                places, changes = steps.setdefault(match.group(2).lower(), ([], []))
+                places.append(match.start())
+                changes.append(-1 if match.group(1) else 1)
+            self.known = {}
+            for found, (places, changes) in steps.items():
+                open_after = np.cumsum(changes)
+                # The fewest open at this place or a later one, as counted from the start of the page.
+                fewest = np.minimum.accumulate(open_after[::-1])[::-1]
+                self.known[found] = places, open_after, fewest
+        if name not in self.known:
+            return False
+        places, open_after, fewest = self.known[name]
+        first = bisect_left(places, at)
+        return first < len(places) and fewest[first] - (open_after[first - 1] if first else 0) + depth <= 0
 
 
 def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
@@ -133,19 +152,24 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
     """
     lines, at, articles, number, links = _Lines(), 0, 0, 0, 0
     skipped, depth, closed = "", 0, None  # the element being left out, how many of its name are open, whether it is closed
+    closings, last = _Closings(html), html.rfind(">") + 1
     while True:
-        match = _TAG.search(html, at)
+        # Nothing after the last ">" is a tag: without this bound every "<" there would be followed to the end.
+        match = _TAG.search(html, at, last)
         if not skipped:
-            lines.text(html[at:match.start() if match else len(html)], links > 0)
+            tail = match.start() if match else html.find("<!--", at)
+            lines.text(html[at:tail if tail >= 0 else len(html)], links > 0)
         if not match:
             break
         at = match.end()
+        if match.group().startswith("<!--") and not match.group().endswith("-->"):
+            at = len(html)
         closing, name, attributes = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
         if not name:
             continue
         name = name.lower()
         if not closing and name in RAW:
-            found = _RAW_ENDS[name].search(html, at)
+            found = _RAW_ENDS[name].search(html, at, last)
             at = found.end() if found else len(html)
             continue
         if skipped:
@@ -155,7 +179,7 @@ def to_lines(html: str, by_marks: bool = True) -> tuple[list[str], list[int]]:
             implied = skipped in ENDED_BY_BLOCKS and name in BLOCKS and (closing and name != skipped or not closing)
             opened = not closing and name in ARTICLES and not (by_marks and _marked(attributes, True))
             if opened and skipped != "form":
-                closed = _closed(html, at, skipped, depth) if closed is None else closed
+                closed = closings(at, skipped, depth) if closed is None else closed
                 opened = not closed
             if not (ends and depth <= 0 or implied or opened):
                 continue

@@ -53,7 +53,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
-                        "edited_fingerprint", "near_edited", "near_next")
+                        "edited_fingerprint", "near_edited", "near_next", "near_edited_extended", "near_next_extended")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

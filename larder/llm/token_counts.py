@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm.rows import append_columns, int_lists
+from larder.llm.rows import append_columns, fresh, int_lists
 
 #: Words a task remembers at least; beyond it those in use are carried over to a new memory.
 REMEMBERED = 120_000
@@ -236,19 +237,37 @@ class PrefixCounter:
                 cut.append("")  # a special string is never cut
         return np.concatenate(ends), np.cumsum(np.array(sizes, np.int64)), cut
 
-    def fit(self, text: str, budget: int) -> tuple[int, int]:
+    def normal_form(self, text: str) -> tuple[str, list[tuple[int, int]]]:
+        """The normalised text, in which special strings stay as they are, and where these stand."""
+        parts, spans, at, size = [], [], 0, 0
+        specials = list(self.special.finditer(text)) if self.special and "<|" in text else []
+        for match in [*specials, None]:
+            parts.append(normalise(text[at:match.start() if match else len(text)]))
+            size += len(parts[-1])
+            if match:
+                at = match.end()
+                parts.append(match.group())
+                spans.append((size, size + len(match.group())))
+                size += len(match.group())
+        return "".join(parts), spans
+
+    def fit(self, text: str, budget: int, ends: np.ndarray, totals: np.ndarray) -> tuple[int, int]:
         """Code points and tokens of the longest prefix of the normalised text with at most ``budget`` tokens.
 
-        White space after the last word that fits is left out; a special string is never cut.
+        ``ends`` and ``totals`` are those of ``prefixes``; only the word at the edge is encoded. White space after
+        the last word that fits is left out; a special string is never cut.
         """
-        ends, totals, found = self.prefixes(text)
         fits = int(np.searchsorted(totals, budget, side="right"))
         at, used = (int(ends[fits - 1]), int(totals[fits - 1])) if fits else (0, 0)
-        if fits < len(found) and found[fits]:
-            row = self.word(found[fits])
-            cut = max((i + 1 for i, n in enumerate(row) if used + n <= budget), default=0)
-            if cut:
-                return int(ends[fits]) - len(row) + cut, used + row[cut - 1]
+        if fits < len(ends) and used < budget:
+            normal, specials = self.normal_form(text)
+            stop = int(ends[fits])
+            left = words(normal[at:stop])
+            if left and all(stop != end for _, end in specials):
+                row = self.word(left[-1])
+                cut = max((i + 1 for i, n in enumerate(row) if used + n <= budget), default=0)
+                if cut:
+                    return stop - len(row) + cut, used + row[cut - 1]
         return at, used
 
 
@@ -293,15 +312,23 @@ def prefix_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Da
     return append_columns(docs, text_col, _COUNTED, run)
 
 
-def fit_budget(docs: DataFrame, tokenizer: str, budget: int, text_col: str = "text") -> DataFrame:
+def fit_budget(docs: DataFrame, tokenizer: str, budget: int, text_col: str = "text", counted: bool = False) -> DataFrame:
     """``docs`` with ``fit_chars`` and ``fit_tokens`` of the longest prefix of at most ``budget`` tokens.
 
-    Code points are those of the normalised text. Nothing is encoded again: the words that fit are
-    known from their running sums, and the word at the edge from its own prefix counts.
+    Code points are those of the normalised text. The answer comes from the stored counts of ``prefix_counts``: with
+    ``counted``, ``docs`` is what that returned and is not counted again for any further budget; otherwise it is
+    counted here once. The words that fit are found by binary search, and of the text only the word at the edge is encoded.
     """
+    ends, counts = ("ends", "counts") if counted else (fresh(docs, "_ends"), fresh(docs, "_counts"))
+    if not counted:
+        plain = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+        found = prefix_counts(plain, tokenizer)
+        docs = found.select("row.*", F.col("ends").alias(ends), F.col("counts").alias(counts))
 
     def run(texts: list[str], part: pa.RecordBatch) -> list[pa.Array]:
-        found = [_counter(tokenizer).fit(t, budget) for t in texts]
+        counter, rows = _counter(tokenizer), zip(texts, part.column(ends), part.column(counts))
+        found = [counter.fit(t, budget, e.values.to_numpy(), n.values.to_numpy()) for t, e, n in rows]
         return [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
 
-    return append_columns(docs, text_col, _FITTED, run)
+    answered = append_columns(docs, text_col, _FITTED, run)
+    return answered if counted else answered.drop(ends, counts)

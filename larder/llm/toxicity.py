@@ -159,11 +159,15 @@ class ToxicityModel:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample_rows: int) -> DataFrame:
-    """The sampled documents with their label; at most ``sample_rows`` ids, so the ids can be sent to every task."""
+    """The sampled documents with their label: at most ``sample_rows`` rows, one for each id, so the ids can be sent to every task.
+
+    Of rows that repeat an id, the one whose text has the smallest hash is taken.
+    """
     one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     named = select_as(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    return named.join(F.broadcast(chosen), "doc_id")
+    sampled = named.join(F.broadcast(chosen), "doc_id")
+    return sampled.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
@@ -171,8 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A chain fitted on at most ``sample_rows`` rows of ``labels`` (``doc_id``, ``toxic``) with a document.
 
     Feature frequencies are counted in Spark; the driver sees the chosen features and the fitted
-    weights. Several labels of one id count as toxic if one of them does. Without labelled
-    rows nothing is toxic.
+    weights. Several labels of one id count as toxic if one of them does; of several documents with
+    one id, one is learnt from. Without labelled rows nothing is toxic.
     """
     sample = _labelled(docs, labels, id_col, text_col, sample_rows)
 

@@ -46,8 +46,8 @@ def test_likeness_finds_what_is_shared():
 
     def near(a, b):
         one, two = hashes(a).fingerprint(), hashes(b).fingerprint()
-        assert one.likeness(two) == two.likeness(one)
-        return one.likeness(two)
+        assert one.compare(two) == two.compare(one)
+        return one.compare(two)[1]
 
     assert near(text, text) == 1 and near("", "") == 1 and near("", "a") == 0
     assert near(text, other) < 0.01
@@ -67,8 +67,9 @@ def test_likeness_of_copies_with_many_edits_and_of_moved_text():
 
     def near(a, b):
         one, two = hashes(a).fingerprint(), hashes(b).fingerprint()
-        exact, written = one.likeness(two), fp.Fingerprint.parse(str(one)).likeness(fp.Fingerprint.parse(str(two)))
-        assert written <= exact == two.likeness(one)
+        written, exact = one.compare(two)
+        assert written <= exact and (written, exact) == two.compare(one)
+        assert written == one.likeness(two) == fp.Fingerprint.parse(str(one)).likeness(fp.Fingerprint.parse(str(two)))
         return exact, written
 
     text = " ".join(words)
@@ -93,7 +94,8 @@ def slow(rows):
         quarter = len(text) // 4
         new = text[:len(text) - quarter] + after[:quarter]
         one, two, three = (hashes(t).fingerprint() for t in (text, new, after))
-        out.append((doc, len(text), hashlib.sha256(new.encode()).hexdigest(), str(one), str(two), one.likeness(two), one.likeness(three)))
+        out.append((doc, len(text), hashlib.sha256(new.encode()).hexdigest(), str(one), str(two),
+                    *(fp.Fingerprint.parse(str(one)).likeness(fp.Fingerprint.parse(str(x))) for x in (two, three)), one.compare(two)[1], one.compare(three)[1]))
     return sorted(out)
 
 
@@ -104,7 +106,7 @@ def test_query_matches_brute_force(spark, tmp_path):
     rng.shuffle(rows)
     spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
     got = queries.op4_document_fingerprints(spark, str(tmp_path)).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_edited_extended", "near_next_extended").collect()
     assert sorted(map(tuple, got)) == slow(rows)
 
 

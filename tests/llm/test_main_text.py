@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -88,3 +89,21 @@ def test_query_nulls_repeats_and_clashes(spark, tmp_path):
     got = queries.op7_html_extraction(spark, str(tmp_path)).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, "u", "One\nTwo <", 9), (2, None, "", 0), (2, None, "", 0), (None, "x", "", 0)]))
     assert mt.extract(spark.read.parquet(f"{tmp_path}/pages.parquet").where("false")).count() == 0
+
+
+def test_a_megabyte_of_odd_markup_is_read_in_time():
+    pages = ["<p " * 330_000, "<p a='" * 170_000, "<aside><article>" * 65_000, "<" * 1_000_000, "<!" * 500_000, "<script " * 120_000,
+             "<p ''" * 200_000 + ">", "<script></script " * 60_000, "<div class=ad><main>" * 50_000, "<!--" * 250_000, "<p " * 330_000 + ">",
+             "".join(f"<x{i} class=ad><article>" for i in range(40_000))]
+    for page in pages:
+        began = time.process_time()
+        mt.main_text(page)
+        assert time.process_time() - began < 5, page[:20]
+
+
+def test_comments_and_tags_that_never_end():
+    body = "<article><p>" + "words of the article itself " * 8 + "</p></article>"
+    want = ("words of the article itself " * 8).strip()
+    for tail in ("<!-- never closed", "<!-- with > inside", "<!-- with <p>tags</p> inside"):
+        assert mt.main_text(body + tail) == want
+    assert mt.main_text(body + "<aside class=related>" + "more " * 60) == want

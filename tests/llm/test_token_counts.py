@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -44,13 +46,31 @@ def test_budget_takes_the_longest_prefix():
         normal = token_counts.normalise(text)
         counts = [len(library.encode(normal[:i], add_special_tokens=False).ids) for i in range(len(normal) + 1)]
         for budget in (0, 1, 3, 10, 1000):
-            at, used = own.fit(text, budget)
+            at, used = own.fit(text, budget, *own.prefixes(text)[:2])
             assert used == counts[at] <= budget
             after = [i for i in range(at + 1, len(normal) + 1) if counts[i] <= budget and normal[i - 1].strip()]
             # Only a prefix that a later letter makes cheaper again, or blanks, may lie beyond.
             assert all(max(counts[at:i]) > budget for i in after)
 
 
+def test_budgets_encode_no_more_than_the_word_at_the_edge(monkeypatch):
+    own = token_counts.PrefixCounter(RAW)
+    texts = [t for t in ODD + _texts(random.Random(6), 40)] + ["a <|endoftext|> b"]
+    stored = [own.prefixes(t)[:2] for t in texts]
+    encoded, real = [], token_counts.PrefixCounter.word
+    for name in ("prefixes", "counts", "whole"):
+        monkeypatch.setattr(token_counts.PrefixCounter, name, lambda *a: pytest.fail("counted again"))
+    monkeypatch.setattr(token_counts.PrefixCounter, "word", lambda self, w: encoded.append(w) or real(self, w))
+    fresh = token_counts.PrefixCounter(RAW)
+    for text, (ends, totals) in zip(texts, stored):
+        for budget in (0, 1, 2, 7, 100_000):
+            before = len(encoded)
+            at, used = fresh.fit(text, budget, ends, totals)
+            assert used <= budget and len(encoded) - before <= 1
+    assert fresh.fit("a <|endoftext|> b", 2, *stored[-1]) == (len("a <|endoftext|>"), 2)
+    assert fresh.fit("a <|endoftext|> b", 1, *stored[-1]) == (1, 1)
+
+
 def test_forgetting_keeps_results(monkeypatch):
     texts = _texts(random.Random(4))
     want = [own_total(token_counts.PrefixCounter(RAW), t) for t in texts[:20]]
@@ -82,4 +102,10 @@ def test_frames_with_nulls_clashes_and_no_rows(spark):
     assert [(r.ends, r.counts, r.n_tokens) for r in counted] == [([], [], 0), ([], [], 0), ([3, 9], [1, 2], 2)]
     fitted = token_counts.fit_budget(docs, RAW, 1).orderBy("fit_tokens").collect()
     assert [(r.fit_chars, r.fit_tokens, r.ends) for r in fitted] == [(0, 0, "y"), (0, 0, "y"), (3, 1, "x")] or fitted[-1].fit_chars >= 3
+    stored = token_counts.prefix_counts(docs, RAW)
+    for budget in (0, 1, 2, 3):
+        one = token_counts.fit_budget(docs, RAW, budget).select("doc_id", "fit_chars", "fit_tokens").collect()
+        two = token_counts.fit_budget(stored, RAW, budget, counted=True).select("doc_id", "fit_chars", "fit_tokens").collect()
+        assert sorted(map(str, one)) == sorted(map(str, two)) and max(r.fit_tokens for r in one) == min(budget, 2)
+    assert token_counts.fit_budget(docs.where("false"), RAW, 1).count() == 0
     assert token_counts.prefix_counts(docs.where("false"), RAW).count() == 0
