@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +47,8 @@ BATCH = 4_096
 RATE = 0.08
 #: Tokens of a shard, on average.
 SHARD_TOKENS = 4_000_000
-#: Words counted in a task before its counts are handed on.
-COUNTED_WORDS = 400_000
+#: Different words, and words in all, of a row in which texts are stored as numbers.
+COUNTED_WORDS, COUNTED_TOKENS = 400_000, 2_000_000
 #: Words beyond the vocabulary with a frequency of their own, at most; the least frequent of them sets the floor.
 LISTED = 50_000
 #: Kinds of letters in the spelling of other words: none, the most frequent, and all others.
@@ -96,66 +97,68 @@ class Network:
     def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Embedded neighbours, hidden layer, class logits."""
         p = self.parts
-        x = p["embedding"][context].reshape(len(context), -1)
+        x = np.take(p["embedding"], context.ravel(), axis=0).reshape(len(context), -1)
         hidden = np.tanh(x @ p["w1"] + p["b1"])
         return x, hidden, hidden @ p["w2"] + p["b2"]
 
+    def _small(self) -> bool:
+        """Whether no logit can be beyond 30 either way: the hidden layer lies between -1 and 1."""
+        return all((np.abs(self.parts[w]).sum(axis=-2) + np.abs(self.parts[b])).max() < 30 for w, b in (("w2", "b2"), ("w3", "b3")))
+
     def log_probabilities(self, context: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Of each target, given the tokens around it."""
         order, classes = _by_class(targets)
-        targets, out = targets[order], np.empty(len(targets), np.float32)
+        targets, out, small = targets[order], np.empty(len(targets), np.float32), self._small()
         _, hidden, logits = self._forward(context[order])
-        found = _log_probability(logits, targets // PER_CLASS)
+        found = _log_probability(logits, targets // PER_CLASS, small)
         for k, rows in classes:
-            found[rows] += _log_probability(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k], targets[rows] % PER_CLASS)
+            found[rows] += _log_probability(hidden[rows] @ self.parts["w3"][k] + self.parts["b3"][k], targets[rows] % PER_CLASS, small)
         out[order] = found
         return out
 
     def gradients(self, context: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
-        p, n = self.parts, np.float32(1 / len(targets))
+        p, n, small = self.parts, np.float32(1 / len(targets)), self._small()
         order, classes = _by_class(targets)
         context, targets = context[order], targets[order]
         x, hidden, logits = self._forward(context)
-        wrong = _softmax(logits)
+        wrong = _softmax(logits, small)
         wrong[np.arange(len(targets)), targets // PER_CLASS] -= 1
         wrong *= n
         found = {"w2": hidden.T @ wrong, "b2": wrong.sum(0), "w3": np.zeros_like(p["w3"]), "b3": np.zeros_like(p["b3"])}
         back = wrong @ p["w2"].T
         for k, rows in classes:
             own = hidden[rows]
-            inside = _softmax(own @ p["w3"][k] + p["b3"][k])
+            inside = _softmax(own @ p["w3"][k] + p["b3"][k], small)
             inside[np.arange(len(inside)), targets[rows] % PER_CLASS] -= 1
             inside *= n
             found["w3"][k], found["b3"][k] = own.T @ inside, inside.sum(0)
             back[rows] += inside @ p["w3"][k].T
         back *= 1 - hidden * hidden
         found["w1"], found["b1"] = x.T @ back, back.sum(0)
-        pulled = (back @ p["w1"].T).reshape(-1, EMBEDDING)
+        pulled = np.ascontiguousarray((back @ p["w1"].T).reshape(-1, EMBEDDING).T, np.float64)
         flat = context.ravel()
-        found["embedding"] = np.stack([np.bincount(flat, pulled[:, j], VOCABULARY + 1) for j in range(EMBEDDING)], axis=1).astype(np.float32)
+        found["embedding"] = np.stack([np.bincount(flat, row, VOCABULARY + 1) for row in pulled], axis=1).astype(np.float32)
         return found
 
 
-def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | np.floating]:
-    """Powers of e of the logits less a shift, their sums by row, and the shift."""
-    shift = logits.max()
-    if shift - logits.min() > 60:  # one shift for all rows would lose the smallest
-        shift = logits.max(axis=1, keepdims=True)
-    powers = np.exp(logits - shift)
+def _exponentials(logits: np.ndarray, small: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """Powers of e of the logits less a shift, their sums by row, and the shift; small logits need none."""
+    shift: np.ndarray | float = 0.0 if small else logits.max(axis=1, keepdims=True)
+    powers = np.exp(logits if small else logits - shift)
     return powers, powers @ np.ones(logits.shape[1], logits.dtype), shift
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    powers, sums, _ = _exponentials(logits)
+def _softmax(logits: np.ndarray, small: bool = False) -> np.ndarray:
+    powers, sums, _ = _exponentials(logits, small)
     powers /= sums[:, None]
     return powers
 
 
-def _log_probability(logits: np.ndarray, choice: np.ndarray) -> np.ndarray:
+def _log_probability(logits: np.ndarray, choice: np.ndarray, small: bool = False) -> np.ndarray:
     """Logarithm of the softmax of each row at one column."""
-    _, sums, shift = _exponentials(logits)
-    return logits[np.arange(len(choice)), choice] - np.ravel(shift) - np.log(sums)
+    _, sums, shift = _exponentials(logits, small)
+    return logits[np.arange(len(choice)), choice] - np.ravel(shift).astype(logits.dtype) - np.log(sums)
 
 
 def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -220,25 +223,50 @@ def _groups(rows: Iterator[np.ndarray], most: int) -> Iterator[list[np.ndarray]]
         yield group
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word``, ``n``: how often each word occurs in all texts."""
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+_TOKENS = "doc_ids array<long>, sizes array<long>, words array<string>, n array<long>, numbers binary"
+
+
+def tokenized(docs: DataFrame) -> DataFrame:
+    """Texts split into words once: a row holds some documents, their different ``words`` with their counts ``n``, and the
+    ``numbers`` of all their words in that list (32 bits each, compressed), ``sizes`` of them a document."""
+
+    def stored(ids: list, sizes: list[int], numbers: list[np.ndarray], known: _Numbers) -> pa.RecordBatch:
+        flat = np.concatenate([np.zeros(0, np.int32), *numbers])
+        # All lowest bytes first: most numbers are small.
+        planes = np.ascontiguousarray(flat.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+        cells = [ids, sizes, list(known), np.bincount(flat, minlength=len(known)), zstandard.compress(planes, 1)]
+        kinds = [pa.list_(pa.int64())] * 2 + [pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=["doc_ids", "sizes", "words", "n", "numbers"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        ids, sizes, numbers, known = [], [], [], _Numbers()
         for batch in batches:
-            for _, texts in pieces(batch, "text"):
-                for text in texts:
-                    counts.update(words(text))
-                if len(counts) >= COUNTED_WORDS:
-                    yield _counts_batch(counts)
-                    counts.clear()
-        yield _counts_batch(counts)
+            for part, texts in pieces(batch, "text"):
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
+                    found = words(text)
+                    ids.append(doc_id)
+                    sizes.append(len(found))
+                    numbers.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
+                if len(known) >= COUNTED_WORDS or sum(sizes) >= COUNTED_TOKENS:
+                    yield stored(ids, sizes, numbers, known)
+                    ids, sizes, numbers, known = [], [], [], _Numbers()
+        if ids:
+            yield stored(ids, sizes, numbers, known)
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, _TOKENS)
 
 
-def _counts_batch(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+def count_words(tokens: DataFrame) -> DataFrame:
+    """``word``, ``n``: how often each word occurs in all texts."""
+    return tokens.select(F.explode(F.arrays_zip("words", "n")).alias("w")).groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("n"))
 
 
 def encoder(vocabulary: list[str]):
@@ -358,35 +386,32 @@ class LanguageModel:
     spelling: Spelling
 
 
-def encode(docs: DataFrame, vocabulary: list[str], spelt: Spelling) -> DataFrame:
-    """``doc_id``, ``codes`` (16-bit token numbers as bytes), ``n_tokens``, ``log_words``.
+def encode(tokens: DataFrame, vocabulary: list[str], spelt: Spelling) -> DataFrame:
+    """``doc_id``, ``codes`` (16-bit token numbers as bytes), ``n_tokens``, ``log_words`` for the documents of ``tokenized``.
 
-    The last is the sum of the logarithms of words outside the vocabulary, given their lengths.
+    The last is the sum of the logarithms of words outside the vocabulary, given their lengths. Both are worked out
+    once for each word of a stored row, and looked up by its number.
     """
     rank = {w: i for i, w in enumerate(vocabulary)}
-    shared = docs.sparkSession.sparkContext.broadcast(spelt)
+    shared = tokens.sparkSession.sparkContext.broadcast(spelt)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, coder, logs = shared.value, encoder(vocabulary), {}
+        own, coder = shared.value, encoder(vocabulary)
         for batch in batches:
-            for part, texts in pieces(batch, "text"):
-                codes, sums = [], []
-                for text in texts:
-                    found = words(text)
-                    codes.append(coder(found))
-                    rare = [w for w in found if w not in rank]
-                    for word in rare:
-                        if word not in logs:
-                            logs[word] = own.log_probability(word)
-                    sums.append(math.fsum(map(logs.__getitem__, rare)))
-                    if len(logs) > COUNTED_WORDS:
-                        logs.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([c.astype("<i2").tobytes() for c in codes], pa.binary()),
-                     pa.array([len(c) for c in codes], pa.int64()), pa.array(sums, pa.float64())],
-                    names=["doc_id", "codes", "n_tokens", "log_words"])
-
-    return docs.mapInArrow(run, "doc_id long, codes binary, n_tokens long, log_words double")
+            for row in batch.to_pylist():
+                code_of = coder(row["words"]).astype("<i2")
+                log_of = np.array([0.0 if w in rank else own.log_probability(w) for w in row["words"]], np.float64)
+                planes = np.frombuffer(zstandard.decompress(row["numbers"]), np.uint8).reshape(4, -1)
+                numbers = np.ascontiguousarray(planes.T).view("<u4").ravel()
+                codes, logs, edges = code_of[numbers], log_of[numbers], np.concatenate(([0], np.cumsum(row["sizes"], dtype=np.int64)))
+                spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+                for some in (slice(i, i + 2_000) for i in range(0, len(spans), 2_000)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(row["doc_ids"][some], pa.int64()), pa.array([codes[a:b].tobytes() for a, b in spans[some]], pa.binary()),
+                         pa.array(row["sizes"][some], pa.int64()), pa.array([float(logs[a:b].sum()) for a, b in spans[some]], pa.float64())],
+                        names=["doc_id", "codes", "n_tokens", "log_words"])
+
+    return tokens.select("doc_ids", "sizes", "words", "numbers").mapInArrow(run, "doc_id long, codes binary, n_tokens long, log_words double")
 
 
 def _rows_of(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -432,13 +457,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     letters. Documents without tokens teach nothing; without any tokens the network stays as it began.
     """
     named = select_as(docs, doc_id=id_col, text=text_col)
-    counts = materialize(count_words(named), "counts")
+    tokens = materialize(tokenized(named), "tokens")
+    counts = materialize(count_words(tokens), "counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - PER_CLASS).collect()
     vocabulary = [r.word for r in top]
     spelt = spelling(counts, vocabulary)
-    codes = materialize(encode(named, vocabulary, spelt), "codes")
-    tokens = codes.agg(F.sum("n_tokens")).first()[0] or 0
-    shards, network = max(1, -(-tokens // SHARD_TOKENS)), Network.fresh()
+    codes = materialize(encode(tokens, vocabulary, spelt), "codes")
+    n_tokens = codes.agg(F.sum("n_tokens")).first()[0] or 0
+    shards, network = max(1, -(-n_tokens // SHARD_TOKENS)), Network.fresh()
     for number in range(rounds):
         network = _round(codes, network, shards, number, rounds)
     return LanguageModel(vocabulary, network, spelt), codes

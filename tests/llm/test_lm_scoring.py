@@ -79,7 +79,7 @@ def test_query_matches_brute_force_and_prefers_sense(spark, tmp_path):
 def test_vocabulary_counts_all_words(spark, monkeypatch):
     monkeypatch.setattr(lm, "COUNTED_WORDS", 3)
     docs = spark.createDataFrame([(1, "B a, a b"), (2, "a c d e f g h"), (3, None)], "doc_id long, text string")
-    assert dict(lm.count_words(docs).collect()) == {"a": 3, "b": 2, ",": 1, "c": 1, "d": 1, "e": 1, "f": 1, "g": 1, "h": 1}
+    assert dict(lm.count_words(lm.tokenized(docs)).collect()) == {"a": 3, "b": 2, ",": 1, "c": 1, "d": 1, "e": 1, "f": 1, "g": 1, "h": 1}
 
 
 def test_each_token_is_masked_in_one_round():
