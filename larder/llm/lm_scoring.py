@@ -48,7 +48,7 @@ RATE = 0.08
 #: Tokens of a shard, on average.
 SHARD_TOKENS = 4_000_000
 #: Different words, and words in all, of a row in which texts are stored as numbers.
-COUNTED_WORDS, COUNTED_TOKENS = 400_000, 2_000_000
+COUNTED_WORDS, COUNTED_TOKENS = 400_000, 6_000_000
 #: Words beyond the vocabulary with a frequency of their own, at most; the least frequent of them sets the floor.
 LISTED = 50_000
 #: Kinds of letters in the spelling of other words: none, the most frequent, and all others.
