@@ -5,8 +5,8 @@ before are features of the next one. The later models are trained on out-of-fold
 those of a row come from models that have not seen it, as they will be for new documents.
 
 The labels say only whether a document is toxic. Two narrower categories are derived from them for
-training: a toxic document that calls somebody something (insult), and one that runs something down
-(contempt), by short word lists. Their models feed the last one, whose category is the label itself
+training: the toxic rows of the sample are parted into two kinds by the features that mark them, so no
+words or languages are presumed. Their models feed the last one, whose category is the label itself
 and which decides, at the threshold
 that parts the out-of-fold probabilities best. Features are words and their beginnings, chosen by how far their document
 frequencies differ between labels; the models are fitted in numpy, by one task, on a bounded sample
@@ -37,11 +37,12 @@ LEAST_DOCS = 8
 BEGINNINGS = (5, 7)
 FOLDS = 5
 
-# Words by which the labelled toxic rows are put into the narrower categories.
-INSULT = ("idiot", "moron", "loser", "clown", "scum", "fool", "idiota", "imbécile", "idiote", "trottel", "dummkopf", "estúpido")
-CONTEMPT = ("stupid", "worthless", "pathetic", "disgusting", "trash", "useless", "stupide", "nul", "dumm", "wertlos", "inútil", "basura")
+#: How many times commoner a feature must be in toxic rows than in others to mark them.
+LEAST_LIFT = 3.0
+#: Sweeps in which toxic rows move between the two kinds.
+KIND_ROUNDS = 20
 
-CATEGORIES = ("insult", "contempt", "toxic")
+CATEGORIES = ("kind_1", "kind_2", "toxic")
 
 _WORD = re.compile(r"\w+")
 
@@ -97,6 +98,38 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, penalty: float
     return Linear((weights / scale).astype(np.float64), float(bias))
 
 
+def toxic_kinds(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The kind of every row, 1 or 2, and 0 for rows that are not toxic or hold no marking feature.
+
+    A feature marks toxic rows if it is ``LEAST_LIFT`` times commoner in them. Rows are compared by the angle
+    between their marking features, weighed by the logarithm of that ratio, and parted around two means that
+    start at the row nearest to all and the row least like it (of equals the first). Rows that all hold the
+    same features are one kind.
+    """
+    kinds, rows = np.zeros(len(x), np.int64), np.flatnonzero(toxic)
+    there = x > 0
+    in_toxic, in_others = (there[rows].sum(axis=0) + 0.5) / (len(rows) + 1), (there[~toxic].sum(axis=0) + 0.5) / (len(x) - len(rows) + 1)
+    weights = np.log(in_toxic / in_others)
+    found = there[rows] * np.where(weights >= np.log(LEAST_LIFT), weights, 0.0)
+    sizes = np.linalg.norm(found, axis=1)
+    rows, found = rows[sizes > 0], found[sizes > 0] / sizes[sizes > 0, None]
+    if not len(rows):
+        return kinds
+    first = found[np.argmax(np.round(found @ found.sum(axis=0), 9))]
+    likeness = np.round(found @ first, 9)
+    means = np.stack([first, found[np.argmin(likeness)]])
+    second = np.zeros(len(rows), bool)
+    for _ in range(KIND_ROUNDS if likeness.min() < 1 else 0):
+        near = np.round(found @ means.T, 9)
+        moved, second = second, near[:, 1] > near[:, 0]
+        if not second.any() or second.all() or np.array_equal(moved, second):
+            break
+        means = np.stack([found[~second].sum(axis=0), found[second].sum(axis=0)])
+        means /= np.linalg.norm(means, axis=1, keepdims=True)
+    kinds[rows] = np.where(second, 2, 1)
+    return kinds
+
+
 def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> tuple[list[Linear], np.ndarray]:
     """One model for each column of ``labels``, the k-th taking ``x`` and k probabilities; and all out-of-fold probabilities."""
     models, earlier = [], np.zeros((len(x), 0), x.dtype)
@@ -203,15 +236,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for part, texts in pieces(batch, "text"):
                 x = reader.matrix(texts)
                 rows = [np.flatnonzero(r) for r in x]
-                wordy = [set(tokens(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("toxic"),
-                    pa.array([not w.isdisjoint(INSULT) for w in wordy]), pa.array([not w.isdisjoint(CONTEMPT) for w in wordy]),
                     pa.array(rows, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(x, rows)], pa.list_(pa.float32()))],
-                    names=["doc_id", "toxic", "insult", "contempt", "at", "value"])
+                    names=["doc_id", "toxic", "at", "value"])
 
     rows = sample.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        counts, "doc_id long, toxic int, insult boolean, contempt boolean, at array<int>, value array<float>")
+        counts, "doc_id long, toxic int, at array<int>, value array<float>")
     # The sample is bounded, so one task fits the models, on its rows in one order whatever their layout was.
     ordered = rows.repartition(1).sortWithinPartitions("doc_id", "toxic", "at", "value")
     fitted = ordered.mapInArrow(_fit_sample(len(vocabulary)), "place int, weights array<double>, bias double, threshold double")
@@ -229,8 +260,8 @@ def _fit_sample(width: int):
         row_of = np.repeat(np.arange(seen.num_rows), ats.value_lengths().to_numpy())
         x[row_of, ats.flatten().to_numpy()] = seen.column("value").combine_chunks().flatten().to_numpy()
         toxic = seen.column("toxic").to_numpy() > 0
-        insult, contempt = (toxic & seen.column(c).to_numpy() for c in ("insult", "contempt"))
-        labels = np.stack([insult, contempt, toxic], axis=1).astype(np.float64)
+        kinds = toxic_kinds(x, toxic)
+        labels = np.stack([kinds == 1, kinds == 2, toxic], axis=1).astype(np.float64)
         models, unseen = fit_chain(x, labels, np.arange(len(x)) % FOLDS)
         threshold = best_threshold(unseen[:, -1].astype(np.float64), labels[:, -1])
         yield pa.RecordBatch.from_arrays([
@@ -241,7 +272,7 @@ def _fit_sample(width: int):
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``p_insult``, ``p_contempt``, ``p_toxic`` (six decimals) and ``is_toxic``; such columns are replaced.
+    """``docs`` with ``p_kind_1``, ``p_kind_2``, ``p_toxic`` (six decimals) and ``is_toxic``; such columns are replaced.
 
     Every document is read whole. Null and empty texts have no words and get the chain's answer to that.
     """

@@ -1,19 +1,20 @@
 import random
+from collections import Counter
 
 import numpy as np
 
 from larder.llm import queries, toxicity
 
 
-def _rows(rng, count):
-    """Documents of invented words; some that call names, in words the lists know and words they do not."""
+def _rows(rng, count, kinds=(("idiot", "worthless", "scum", "pathetic", "achlichkeit", "réeuxment"),)):
+    """Documents of invented words; some that call names, each by the words of one kind."""
     plain = [f"{a}{b}" for a in ("the", "tion", "er", "ing", "and") for b in ("ha", "sh", "ou", "re", "nd", "ea")]
-    bad = ["idiot", "worthless", "scum", "pathetic", "achlichkeit", "réeuxment"]
     docs, labels = [], []
     for i in range(count):
         words = rng.choices(plain, k=rng.randint(30, 200))
         toxic = rng.random() < 0.15
         if toxic:
+            bad = rng.choice(kinds)
             for _ in range(3):
                 words.insert(rng.randrange(len(words)), rng.choice(bad))
         docs.append((i, " ".join(words)))
@@ -70,8 +71,58 @@ def test_held_out_accuracy(spark, tmp_path):
     caught = sum(a and b for a, b in held) / sum(b for _, b in held)
     wrong = sum(a and not b for a, b in held)
     assert caught > 0.97 and wrong <= 2
-    insulted = [got[i].p_insult for i, text in docs if {"idiot", "scum"} & set(text.split())]
-    assert np.mean(insulted) > 0.5 > 0.05 > np.mean([got[i].p_insult for i, _, t in labels if not t])
+    assert max(got[i].p_kind_1 + got[i].p_kind_2 for i, _, t in labels if not t) < 0.5
+
+
+def test_kinds_follow_the_words_of_the_sample(spark, tmp_path):
+    """Words no list could know, of two scripts: each kind's documents get one category, and held-out ones are caught."""
+    kinds = (("zorblat", "quixnar", "fribbem"), ("дурня", "гнидок", "швальт"))
+    docs, labels = _rows(random.Random(6), 1500, kinds)
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels[:1000], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in queries.op3_toxicity(spark, str(tmp_path)).collect()}
+    assert [got[i].is_toxic for i, _, _ in labels[1000:]] == [bool(t) for _, _, t in labels[1000:]]
+    means = np.array([[np.mean([got[i][c] for i, text in docs[1000:] if not set(words).isdisjoint(text.split())])
+                       for c in ("p_kind_1", "p_kind_2")] for words in kinds])
+    assert sorted(means.argmax(axis=1)) == [0, 1] and means.max(axis=1).min() > 0.8 > 0.2 > means.min(axis=1).max()
+
+
+def test_kinds_of_few_rows_and_of_equal_ones():
+    x = np.array([[1, 0, 1], [0, 1, 1], [1, 0, 1], [0, 0, 1], *[[0, 0, 1]] * 8], np.float32)
+    toxic = np.arange(12) < 4
+    assert toxicity.toxic_kinds(x, toxic).tolist() == [1, 2, 1] + [0] * 9
+    same = np.array([[1.0], [1], [1], [0], [0], [0]])
+    assert toxicity.toxic_kinds(same, np.array([1, 1, 1, 0, 0, 0], bool)).tolist() == [1, 1, 1, 0, 0, 0]
+    assert not toxicity.toxic_kinds(np.zeros((4, 2)), np.array([1, 0, 0, 0], bool)).any()
+
+
+def test_query_equals_a_plain_chain(spark, tmp_path):
+    """The query's probabilities, worked out again without Spark from the texts and labels."""
+    docs, labels = _rows(random.Random(7), 400, (("zorblat", "quixnar"), ("gnidok", "shvalt")))
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    toxic = np.array([t for _, _, t in labels], bool)
+    found = [toxicity.features(toxicity.tokens(text)) for _, text in docs]
+    in_docs = Counter(f for row in found for f in row)
+    names = sorted(f for f, n in in_docs.items() if n >= toxicity.LEAST_DOCS)
+    assert len(names) <= toxicity.FEATURES
+    x = np.log1p(np.array([[row.get(f, 0) for f in names] for row in found])).astype(np.float32)
+    kinds = toxicity.toxic_kinds(x, toxic)
+    y = np.stack([kinds == 1, kinds == 2, toxic], axis=1).astype(float)
+    earlier, answers = np.zeros((len(x), 0), np.float32), np.zeros((len(x), 0))
+    for k in range(3):
+        seen, unseen = np.hstack([x, earlier]), np.zeros((len(x), 1), np.float32)
+        for fold in range(toxicity.FOLDS):
+            held = np.arange(len(x)) % toxicity.FOLDS == fold
+            unseen[held, 0] = toxicity.fit_logistic(seen[~held], y[~held, k])(seen[held])
+        model = toxicity.fit_logistic(seen, y[:, k])
+        answers = np.hstack([answers, model(np.hstack([x, answers]))[:, None]])
+        earlier = np.hstack([earlier, unseen])
+    cut = max(sorted(set(earlier[:, 2])), key=lambda t: (round(2 * toxic[earlier[:, 2] >= t].sum() / ((earlier[:, 2] >= t).sum() + toxic.sum()), 12), t))
+    got = {r.doc_id: r for r in queries.op3_toxicity(spark, str(tmp_path)).collect()}
+    for i, row in enumerate(answers):
+        assert np.allclose([got[i].p_kind_1, got[i].p_kind_2, got[i].p_toxic], row, atol=1e-4)
+        assert got[i].is_toxic == (row[2] >= cut) or abs(row[2] - cut) < 0.2
 
 
 def test_nulls_repeats_clashes_and_no_labels(spark):
