@@ -53,7 +53,7 @@ HOLDERS = frozenset("""post posts article articles item items list wrap wrapper
 buttons link links icon icons inner content body title heading form panel group row col""".split())
 #: What the header of these is belongs to the article.
 OWN_HEADERS = frozenset("article post entry story page content main".split())
-#: A reading by marks is given up if it leaves less than this share of the text, and so many characters less.
+#: On a page without an article, a reading by marks is given up if it leaves less than this share of the text, and so many characters less.
 LEAST_LEFT, MOST_MARKED = 0.1, 500
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -233,18 +233,20 @@ def block_runs(sizes: np.ndarray, window: int = WINDOW) -> list[tuple[int, int,
 def main_text(html: str) -> str:
     """The article's blocks, one on a line; empty if the page has none.
 
-    A page nearly all of whose text is marked as something else is read again without the marks.
+    What is found in an article stands, however much text around it is marked as something else. Otherwise a
+    page nearly all of whose text is marked is read again without the marks.
     """
-    found = _body(*to_lines(html))
-    if len(found) < len(html) * LEAST_LEFT or not found:
-        unmarked = _body(*to_lines(html, False))
+    lines, inside = to_lines(html)
+    found, in_article = _body(lines, inside)
+    if not in_article and (len(found) < len(html) * LEAST_LEFT or not found):
+        unmarked, _ = _body(*to_lines(html, False))
         if not found or len(found) < LEAST_LEFT * len(unmarked) and len(unmarked) - len(found) >= MOST_MARKED:
             return unmarked
     return found
 
 
-def _body(lines: list[str], inside: list[int]) -> str:
-    """The text of the runs that are kept."""
+def _body(lines: list[str], inside: list[int]) -> tuple[str, bool]:
+    """The text of the runs that are kept, and whether an article has some of it."""
     runs = block_runs(np.array([len(x) for x in lines], np.int64))
     if runs:
         owners = [max(inside[i] for i in range(a, b) if lines[i]) for a, b, _ in runs]
@@ -253,9 +255,9 @@ def _body(lines: list[str], inside: list[int]) -> str:
         for own, weight in zip(owners, weights):
             articles[own] = max(weight, articles.get(own, 0))
         least = LEAST_SHARE * max(weights)
-        kept = [r for r, own, weight in zip(runs, owners, weights) if (articles[own] if own else weight) >= least]
-        return "\n".join(x for a, b, _ in kept for x in lines[a:b] if x)
-    return ""
+        kept = [(r, own) for r, own, weight in zip(runs, owners, weights) if (articles[own] if own else weight) >= least]
+        return "\n".join(x for (a, b, _), _ in kept for x in lines[a:b] if x), any(own for _, own in kept)
+    return "", False
 
 
 _ADDED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

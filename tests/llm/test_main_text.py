@@ -107,3 +107,73 @@ def test_comments_and_tags_that_never_end():
     for tail in ("<!-- never closed", "<!-- with > inside", "<!-- with <p>tags</p> inside"):
         assert mt.main_text(body + tail) == want
     assert mt.main_text(body + "<aside class=related>" + "more " * 60) == want
+
+
+def test_long_reader_comments_do_not_outweigh_a_short_article():
+    comments = "<section class='comments'>" + "".join(f"<p>{'A reader has much to say. ' * 20}{i}</p>" for i in range(30)) + "</section>"
+    for size in (1, 5, 40):
+        want = " ".join(["Short news of the day."] * size)
+        assert mt.main_text(f"<article><p>{want}</p></article>{comments}") == want
+        assert mt.main_text(f"<main><p>{want}</p>{comments}</main>") == want
+
+
+def test_windows_decide_without_tags_or_names():
+    """Plain divs only: lines of links part the page into runs, and the fullest windows stay."""
+    body = ["The words of the body, as long as sentences are. " * 6 + str(i) for i in range(5)]
+    menu = "".join(f"<div><a href='/{i}'>Choice {i}</a></div>" for i in range(5))
+    inner = "".join(f"<div>{b}</div>" for b in body)
+    want = "\n".join(b.strip() for b in body)
+    page = f"<div>Name of the site</div><div>A motto</div>{menu}<div>{inner}</div>{menu}<div>Printed on paper</div>"
+    assert mt.main_text(page) == want
+    # Two menu lines are narrower than a window, so the line before them is of the same run.
+    near = "".join(f"<div><a href='/{i}'>Choice {i}</a></div>" for i in range(2))
+    assert mt.main_text(f"{menu}<div>A title</div>{near}{inner}{menu}<div>Printed on paper</div>") == "A title\n" + want
+
+
+def _slow_body(lines, inside):
+    """The kept text by the definition: every window summed anew, every run and article looked at on its own."""
+    sums = [sum(len(x) for x in lines[i:i + mt.WINDOW]) for i in range(len(lines))]
+    runs, i = [], 0
+    while i < len(lines):
+        if sums[i]:
+            surge = i
+            while i < len(lines) and sums[i]:
+                i += 1
+            runs.append((surge, i))
+        i += 1
+    if not runs:
+        return ""
+
+    def owner(run):
+        return max(inside[k] for k in range(*run) if lines[k])
+
+    def weight(run):
+        return max(sums[k] for k in range(*run)) * (mt.ARTICLE_BONUS if owner(run) else 1)
+
+    fullest, kept = max(map(weight, runs)), []
+    for run in runs:
+        group = [r for r in runs if owner(r) == owner(run)] if owner(run) else [run]
+        if max(map(weight, group)) >= mt.LEAST_SHARE * fullest:
+            kept += [x for x in lines[slice(*run)] if x]
+    return "\n".join(kept)
+
+
+def test_query_equals_slow_windows(spark, tmp_path):
+    rng = random.Random(11)
+    pages = []
+    for i in range(400):
+        parts = []
+        for _ in range(rng.randint(0, 14)):
+            block = "<p>" + "word " * rng.choice([1, 2, 10, 80, 300]) + "</p>"
+            parts.append(rng.choice([block, block, block, f"<article>{block * rng.randint(1, 3)}</article>", "<aside>no</aside>" * rng.randint(1, 4),
+                                     "<div><a href='x'>only a link</a></div>" * rng.randint(1, 4)]))
+        pages.append((i, "u", "".join(parts)))
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in queries.op7_html_extraction(spark, str(tmp_path)).collect()}
+    dropped = 0
+    for i, _, html in pages:
+        lines, inside = mt.to_lines(html)
+        want = _slow_body(lines, inside)
+        assert (got[i].text, got[i].n_chars) == (want, len(want)), html
+        dropped += want != "\n".join(x for x in lines if x)
+    assert dropped > 50
