@@ -65,31 +65,41 @@ def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.withColumn("_stand_in", stand_in).join(known, same, "left").drop("_key", "_zero", "_stand_in")
 
 
+# Fixed value: the work of a join is dealt into no more than about so many pairs of slots, however much it is.
+MOST_SLOTS = 4096
+
+
+def hot_slots(counts: DataFrame, key: str, hot_rows: int, most: int = MOST_SLOTS) -> DataFrame:
+    """The keys to split, with their left and right slots (``_ls``, ``_rs``), from the keys' left and right rows (``_l``, ``_r``).
+
+    A pair of slots makes no more than about ``hot_rows`` ** 2 / 100 rows and reads no more than ``hot_rows`` of a side,
+    or one of ``most`` parts of all that is made and read where that is more: rows are repeated once for every slot of
+    the other side, and more pairs of slots than tasks could share would only add copies.
+    """
+    l_rows, r_rows = F.col("_l").cast("double"), F.col("_r").cast("double")
+    all_made, all_read = counts.agg(F.sum(l_rows * r_rows), F.sum(l_rows + r_rows)).first()  # one row
+    # Rows made by a pair of slots, and rows read by one.
+    made = F.lit(max(float(hot_rows) ** 2 / 100, (all_made or 0.0) / most))
+    read = F.lit(max(float(hot_rows), (all_read or 0.0) / most))
+    by_read = [F.ceil(l_rows / read), F.ceil(r_rows / read)]
+    more = F.greatest(F.lit(1.0), F.ceil(l_rows * r_rows / made / (by_read[0] * by_read[1])))
+    larger = l_rows >= r_rows
+    slots = [by_read[0] * F.when(larger, more).otherwise(1), by_read[1] * F.when(larger, 1).otherwise(more)]
+    return counts.select(key, *[s.cast("int").alias(n) for s, n in zip(slots, ("_ls", "_rs"))]).where((F.col("_ls") > 1) | (F.col("_rs") > 1))
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_000_000) -> DataFrame:
     """Inner many-to-many equi-join on one key, with the keys that make many rows split over tasks.
 
-    A key's left and right rows are dealt over so many left and right slots that no
-    pair of slots makes more than about ``hot_rows`` ** 2 / 100 rows or reads more than
-    ``hot_rows`` of either side; each side is repeated once for every slot of the
-    other. The result equals the plain join. Null keys match nothing.
+    A key's left and right rows are dealt over left and right slots (``hot_slots``); each side is repeated once for
+    every slot of the other. The result equals the plain join. Null keys match nothing.
 
     Both sides are stored first: they are read twice, and rows are dealt by their
     position in the stored files, so that equal rows part as well.
     """
     left, right = materialize(left, "left"), materialize(right, "right")
     counts = [d.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(c)) for d, c in ((left, "_l"), (right, "_r"))]
-    # Rows made by a pair of slots, and rows read by one.
-    made, read = F.lit(float(hot_rows) ** 2 / 100), F.lit(float(hot_rows))
-    l_rows, r_rows = F.col("_l").cast("double"), F.col("_r").cast("double")
-    by_read = [F.ceil(l_rows / read), F.ceil(r_rows / read)]
-    more = F.greatest(F.lit(1.0), F.ceil(l_rows * r_rows / made / (by_read[0] * by_read[1])))
-    larger = l_rows >= r_rows
-    slots = [by_read[0] * F.when(larger, more).otherwise(1), by_read[1] * F.when(larger, 1).otherwise(more)]
-    hot = materialize(
-        counts[0].join(counts[1], key).select(key, *[s.cast("int").alias(n) for s, n in zip(slots, ("_ls", "_rs"))])
-        .where((F.col("_ls") > 1) | (F.col("_rs") > 1)),
-        "hot",
-    )
+    hot = materialize(hot_slots(materialize(counts[0].join(counts[1], key), "counts"), key, hot_rows), "hot")
 
     def dealt(side: DataFrame, own: str, other: str, own_slot: str, other_slot: str) -> DataFrame:
         known = side.where(F.col(key).isNotNull()).withColumn("_at", F.monotonically_increasing_id()).join(hot, key, "left")

@@ -147,6 +147,16 @@ def test_salted_join_splits_keys_hot_on_either_side(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salted_join_copies_no_more_than_its_slots_need(spark):
+    counts = spark.createDataFrame([(k, 360_000, 2_400) for k in range(25)] + [(99, 1, 1)], "k int, _l long, _r long")
+    copies = F.col("_l") * F.col("_rs") + F.col("_r") * F.col("_ls")
+    found = counts.join(shape.hot_slots(counts, "k", 100), "k").agg(F.count("*"), F.sum(F.col("_ls") * F.col("_rs")), F.sum(copies)).first()
+    assert found[0] == 25 and 1_000 < found[1] <= 4 * shape.MOST_SLOTS and found[2] <= 5 * 25 * 362_400
+    # Ten billion slot pairs by the size of a slot alone: some 10 ** 10 copies of either side's rows.
+    left, right = spark.range(10_000).select(F.lit(1).alias("k"), "id"), spark.range(1_000).select(F.lit(1).alias("k"), F.col("id").alias("y"))
+    assert shape.salted_join(left, right, "k", hot_rows=1).count() == 10_000_000
+
+
 def test_left_join_known_keeps_rows_without_a_key(spark):
     left = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 100), (2, 200)], "k int, x int")
     right = spark.createDataFrame([(1, "a"), (1, "b"), (None, "never")], "k int, y string")
