@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from larder.functions.text import once
+
 # Days per unit; any other unit counts as 1.
 DAYS_PER_UNIT = {
     "day": 1, "days": 1,
@@ -24,9 +26,14 @@ def duration_days(c: Column, compat: bool = False) -> Column:
     found = F.regexp_extract(c, DURATION, 1)
     found = F.regexp_replace(found, r" - ", "-")
     words = F.split(F.trim(F.regexp_replace(found, r"[*+]", "")), " ")
-    number = F.get(F.split(F.get(words, F.lit(0)), "-"), F.lit(0)).try_cast("int")
-    unit = F.lower(F.get(words, F.lit(1)))
-    days = F.when(unit.isin("hour", "hours") & F.lit(not compat), F.ceil(number / 24))
-    for word, factor in DAYS_PER_UNIT.items():
-        days = days.when(unit == word, number * factor)
-    return days.otherwise(number).cast("int")
+    number_and_unit = once(words, lambda w: F.struct(
+        F.get(F.split(F.get(w, F.lit(0)), "-"), F.lit(0)).try_cast("int").alias("number"), F.lower(F.get(w, F.lit(1))).alias("unit")))
+
+    def in_days(read: Column) -> Column:
+        number, unit = read["number"], read["unit"]
+        days = F.when(unit.isin("hour", "hours") & F.lit(not compat), F.ceil(number / 24))
+        for word, factor in DAYS_PER_UNIT.items():
+            days = days.when(unit == word, number * factor)
+        return days.otherwise(number).cast("int")
+
+    return once(number_and_unit, in_days)

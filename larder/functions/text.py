@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -66,6 +66,11 @@ def any_of_ci(c: Column, terms: Sequence[str]) -> Column:
     return F.coalesce(F.rlike(c, F.lit(f"(?iu)(?:{quoted})")), F.lit(False))
 
 
+def once(c: Column, value: Callable[[Column], Column]) -> Column:
+    """``value`` of a column that is worked out once, however often ``value`` names it."""
+    return F.get(F.transform(F.array(c), value), F.lit(0))
+
+
 def first_like(c: Column, rules: Sequence[tuple[str, str]], default: Column) -> Column:
     """Value of the first rule whose substring occurs in ``c`` (order matters)."""
     chain = None

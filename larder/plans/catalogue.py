@@ -10,12 +10,13 @@ from larder.functions.dates import parse_day_month_year, parse_iso
 from larder.functions.money import convert, gbp_text_to_eur, inr_text_to_eur, spec_sentence
 from larder.functions.shelf_life import duration_days
 from larder.functions.text import (
-    dashes_to_spaces_lower, drop_parentheses, drop_phrases, first_like, keep_alnum_lower, squeeze,
+    dashes_to_spaces_lower, drop_parentheses, drop_phrases, first_like, keep_alnum_lower, once, squeeze,
 )
 from larder.operators.filters import excluding
 from larder.operators.keys import dense_key
 from larder.operators.ranking import lowest_with_ties
 from larder.operators.shape import split_rows, union_all, unpivot_others
+from larder.session import materialize
 
 # Categories that hold no food.
 NON_FOOD = ("Beauty & Hygiene", "Kitchen, Garden & Pets", "Cleaning & Household", "Baby Care")
@@ -88,7 +89,8 @@ def shelf_life_from_dates(raw: DataFrame, source: str = "Flipkart") -> DataFrame
     """Days from manufacture to expiry, the shortest per product."""
     level = [dashes_to_spaces_lower(F.get("prod_heirarachy", F.lit(i))) for i in range(3)]
     days = F.datediff(parse_day_month_year(F.col("expiry_date")), parse_day_month_year(F.col("manufacturing_date")))
-    # A minimum needs no prior de-duplication.
+    # Equal packages are told apart from others before their texts are parsed, which costs far more than a shuffle.
+    raw = raw.select("prod_heirarachy", "expiry_date", "manufacturing_date").distinct()
     return _shortest(raw.select(*[c.alias(n) for c, n in zip(level, SHELF_KEY)], days.alias("days")), source)
 
 
@@ -106,7 +108,7 @@ def shelf_life_rows(raw: DataFrame, phrases: Sequence[str] = ITEM_PHRASES, compa
             F.lower("category").alias("category"),
             F.lower("sub_category").alias("sub_category"),
             F.lower(F.trim(F.regexp_replace("item_description", r"\s*\([^()]*\)", ""))).alias("product_name"),
-            first_like(keep_alnum_lower(F.col("type")), STATE_RULES, F.lit("unspecified")).alias("type"),
+            once(keep_alnum_lower(F.col("type")), lambda state: first_like(state, STATE_RULES, F.lit("unspecified"))).alias("type"),
             F.trim(F.replace(place, F.lit(" - beyond printed date"), F.lit(""))).alias("kept_place"),
             duration_days(F.col("life"), compat).alias("days"),
         )
@@ -118,7 +120,9 @@ def shelf_life_from_text(
     raw: DataFrame, phrases: Sequence[str] = ITEM_PHRASES, source: str = "Eat by Date", compat: bool = False
 ) -> DataFrame:
     """Shortest life per product over all states and places."""
-    return _shortest(shelf_life_rows(raw, phrases, compat), source)
+    # Equal rows once, and dealt over tasks by a shuffle: a small file is read by one task, and its texts are dear to read.
+    texts = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns]).distinct()
+    return _shortest(shelf_life_rows(texts, phrases, compat), source)
 
 
 def shelf_life_from_best_before(raw: DataFrame, seen_on: str, source: str = "Approved Food") -> DataFrame:
@@ -130,7 +134,7 @@ def shelf_life_from_best_before(raw: DataFrame, seen_on: str, source: str = "App
     for size in PACK_SIZES:
         name = F.regexp_replace(name, size, "")
     days = F.datediff(parse_day_month_year(F.col("Expiry_Date")), parse_iso(F.col(seen_on)))
-    rows = raw.select(
+    rows = raw.select("Product_name", "Expiry_Date", seen_on).distinct().select(
         F.lit(" ").alias("category"), F.lit(" ").alias("sub_category"),
         name.alias("product_name"), days.alias("days"),
     )
@@ -139,5 +143,6 @@ def shelf_life_from_best_before(raw: DataFrame, seen_on: str, source: str = "App
 
 def perishability(sources: Sequence[DataFrame]) -> DataFrame:
     """All sources together; per product the shortest life, ties between sources kept."""
-    together = union_all(sources).withColumn("product_name", squeeze(F.col("product_name")))
+    # Stored, as the ties are found by reading it twice.
+    together = materialize(union_all(sources).withColumn("product_name", squeeze(F.col("product_name"))), "sources")
     return lowest_with_ties(together, SHELF_KEY, "avg_expiry_days")
