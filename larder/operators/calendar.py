@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from larder.session import materialize
+
 
 def date_spine(spark: SparkSession, first: str, last: str, name: str = "date") -> DataFrame:
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
@@ -26,6 +28,20 @@ def fill_gaps(daily: DataFrame, spine: DataFrame, date: str, values: Sequence[st
     )
 
 
+# Fixed value: days of a daily series that a task of a fit takes at most.
+DAYS_A_TASK = 50_000
+
+
+def in_few_parts(daily: DataFrame, date: str) -> DataFrame:
+    """A daily series, stored, in as many partitions as its days need, not as many as the sales behind it had.
+
+    A fit runs thousands of short jobs over its rows, and each sends a result per partition to the driver. Days are in
+    order, as forests draw their samples by position.
+    """
+    stored = materialize(daily, "daily")
+    return stored.coalesce(max(1, -(-stored.count() // DAYS_A_TASK))).sortWithinPartitions(date)
+
+
 def days_of(date: str, series: Sequence[str] = ()):
     """The days of each series, or of the only one, in order."""
     return Window.partitionBy(*(series or [F.lit(0)])).orderBy(date)

@@ -24,7 +24,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.operators.calendar import after, date_spine, days_of, once_a_day, until
+from larder.operators.calendar import after, date_spine, days_of, in_few_parts, once_a_day, until
 from larder.plans import linear
 from larder.plans.series import CALENDAR_FEATURES, with_calendar
 from larder.session import materialize
@@ -78,7 +78,7 @@ def select_model(
 ) -> Selection:
     """Fit each regressor on the days up to ``train_until`` and keep the lowest error after it."""
     ready = VectorAssembler(inputCols=list(CALENDAR_FEATURES), outputCol="features").transform(
-        with_calendar(daily, date)
+        in_few_parts(with_calendar(daily, date), date)
     ).cache()
     train, test = until(ready, date, train_until), after(ready, date, train_until)
     models = {name: est.fit(train) for name, est in regressors(label, settings).items()}
@@ -140,8 +140,8 @@ def tune(
     point: they are solved from sums of products that one pass over the days gives.
     """
     boundary = F.lit(test_from).cast("date")
-    train = with_folds(df.where(F.col(date) < boundary), date, folds, "_fold").cache()
-    test = df.where(F.col(date) >= boundary).cache()
+    train = in_few_parts(with_folds(df.where(F.col(date) < boundary), date, folds, "_fold"), date).cache()
+    test = in_few_parts(df.where(F.col(date) >= boundary), date).cache()
     estimators = regressors(metric)
     rows = []
     for name in models:

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.functions.pricing import PricingRules
-from larder.plans import browse, catalogue, cleaning, expiry, extraction, kpis, pricing, recipes, reviews, series, star
+from larder.operators import calendar
+from larder.plans import browse, catalogue, cleaning, expiry, extraction, forecast, kpis, pricing, recipes, reviews, series, star
 from larder.session import materialize
 
 TS = "2024-06-01 00:00:00"
@@ -429,3 +430,42 @@ def test_receipts_without_prices_are_read_in_linear_time(spark):
     start = time.monotonic()
     assert extraction.receipt_items(extraction.parse_receipts(long), ["id"]).count() == 0
     assert time.monotonic() - start < 20
+
+
+def test_daily_series_is_fitted_in_as_many_parts_as_its_days_need(spark, monkeypatch):
+    days = spark.sql("SELECT explode(sequence(DATE '2000-01-01', DATE '2001-06-30')) AS date").repartition(16).withColumn("y", F.dayofyear("date") * 1.0)
+    few = calendar.in_few_parts(days, "date")
+    assert few.rdd.getNumPartitions() == 1 and [r["date"] for r in few.collect()] == sorted(r["date"] for r in days.collect())
+    monkeypatch.setattr(calendar, "DAYS_A_TASK", 100)
+    assert 1 < calendar.in_few_parts(days, "date").rdd.getNumPartitions() <= 6 and calendar.in_few_parts(days, "date").count() == 547
+    monkeypatch.undo()
+    seen, regressors = [], forecast.regressors
+
+    class Noted:
+        def __init__(self, estimator):
+            self.estimator = estimator
+
+        def fit(self, df):
+            seen.append(df.rdd.getNumPartitions())
+            return self.estimator.fit(df)
+
+    monkeypatch.setattr(forecast, "regressors", lambda *a: {"linear": Noted(regressors(*a)["linear"])})
+    forecast.select_model(days, "date", "y", "2000-12-31")
+    assert seen == [1]
+
+
+def test_sources_of_the_catalogue_are_read_once(spark):
+    """Of every text that repeats one is parsed, and the sources are not worked out again to find the ties."""
+    raw = [(["A-b", "C", "D e"], "1 Jan 2020", f"{i % 5 + 2} Jan 2020") for i in range(400)] + [(["A-b", "C", None], None, ""), (None, "x", "1 Jan 2020")]
+    parsed = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            parsed.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(raw, "prod_heirarachy array<string>, manufacturing_date string, expiry_date string")
+    df = df.mapInArrow(noted, df.schema)
+    rows = sorted(map(tuple, catalogue.perishability([catalogue.shelf_life_from_dates(df)]).collect()), key=str)
+    assert rows == sorted([("a b", "c", "d e", 1, "Flipkart"), ("a b", "c", None, None, "Flipkart"), (None, None, None, None, "Flipkart")], key=str)
+    assert parsed.value == len(raw)
