@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larder.functions.text import any_of_ci
+from larder.session import materialize
 
 _WORD = r"[\p{L}\p{N}\p{M}]+"
 
@@ -38,7 +39,9 @@ def build_index(df: DataFrame, key: str, text: str, folder: str, parts: int = 64
     rows = df.where(F.col(key).isNotNull()).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
     rows.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(f"{folder}/rows")
     stored = df.sparkSession.read.parquet(f"{folder}/rows")
-    postings = stored.select(F.explode(_words(F.col(text))).alias("_word"), F.col(key).alias("_key"), "_part")
+    # Stored, so that texts are cut into words once: the bounds of the ranges below come from a pass of their own.
+    cut = materialize(stored.select(_words(F.col(text)).alias("_words"), F.col(key).alias("_key"), "_part"), "words")
+    postings = cut.select(F.explode("_words").alias("_word"), "_key", "_part")
     # A common word's postings are spread over files by key.
     postings.repartitionByRange("_word", "_key").sortWithinPartitions("_word", "_key").write.mode("overwrite").parquet(f"{folder}/postings")
     kept = df.sparkSession.read.parquet(f"{folder}/postings")
