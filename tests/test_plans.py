@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from larder.catalog import inputs, star as star_queries
 from larder.functions.pricing import PricingRules
-from larder.operators import calendar
+from larder.operators import calendar, keys
 from larder.plans import browse, catalogue, cleaning, expiry, extraction, forecast, kpis, pricing, recipes, reviews, series, star
 from larder.session import materialize
 
@@ -119,6 +120,36 @@ def test_review_facts_keep_every_pair(spark):
     assert sorted(r.review_id for r in numbered) == list(range(10000, 10008))
 
 
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_store_review_prepares_each_side_before_the_pairs(spark, tmp_path):
+    tables = {
+        "lineitem": ([(1, 5), (1, 5), (1, 6), (2, 5), (None, 5), (1, None), (2, 99), (9, 5)], "l_suppkey long, l_partkey long, l_extendedprice double, l_quantity double, l_shipdate timestamp"),
+        "part": ([(5, "milk"), (5, "oats"), (6, None), (None, "tofu")], "p_partkey long, p_name string, p_size int"),
+        "supplier": ([(1, "Supplier#000000000"), (1, "Supplier#000000000"), (1, "Supplier#000000001"), (2, "Supplier#000000000"), (2, None)], "s_suppkey long, s_name string"),
+        "documents": ([(0, "the of the"), (0, "the of the"), (3, None), (12, "of")], "doc_id long, text string"),
+        "labels": ([(0, 1, 0)], "doc_id long, quality int, toxic int"),
+    }
+    for name, (rows, schema) in tables.items():
+        wide = [tuple(r) + (None,) * (schema.count(",") + 1 - len(r)) for r in rows]
+        spark.createDataFrame(wide, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    goods = inputs.store_goods(spark, tmp_path)
+    plainly = inputs.stock(spark, tmp_path).select("store_name", "store_id", "product_id").distinct()
+    assert Counter(goods.collect()) == Counter(plainly.collect()) and goods.count() == 6
+    assert goods.dtypes == plainly.dtypes
+
+    fact = star_queries.fact_store_review(spark, tmp_path)
+    scored = star_queries.scored_reviews(spark, tmp_path).select(
+        F.col("business_name").alias("store_name"), F.round("sentiment_score", 6).alias("score"), "doc_id")
+    pairs = plainly.join(scored, "store_name").select(keys.content_key("store_id", "product_id", "doc_id"), "store_id", "product_id", "score")
+    assert Counter(map(tuple, pairs.collect())) == Counter(
+        map(tuple, fact.select("review_id", "store_id", "product_id", "sentiment_score").collect()))
+    # Scores are rounded and the texts of the digests made before the sides are joined, not once for every pair.
+    assert "md5" in _optimized(fact) and "round(" not in _optimized(fact) and "length(" not in _optimized(fact)
+
+
 def test_reviews(spark):
     df = spark.createDataFrame([("GOOD", 3), ("Bad", 4), ("", None)], "text string, rating long")
     got = [(r.review, r.Sentiment, r.sentiment_label) for r in reviews.score_reviews(df).collect()]
