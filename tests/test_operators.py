@@ -126,6 +126,14 @@ def test_content_key_tells_null_from_text(spark):
     assert df.select(keys.content_key("x", "y")).distinct().count() == len(rows)
 
 
+def test_key_value_reads_a_column_back_from_its_text(spark):
+    rows = [(None, None), ("", 0), ("n", -1), ("1:a", 2**63 - 1), (":", -2**63), ("é:😀", 7), ("12:3456789012", 10), (" x ", None)]
+    df = spark.createDataFrame(rows, "x string, y long")
+    texts = df.select("x", "y", keys.key_text("x").alias("a"), keys.key_text("y").alias("b"))
+    back = texts.select("x", "y", keys.key_value("a", "string").alias("p"), keys.key_value("b", "bigint").alias("q"))
+    assert [(r.p, r.q) for r in back.collect()] == [(r.x, r.y) for r in back.collect()] and dict(back.dtypes)["q"] == "bigint"
+
+
 def test_salted_join_equals_join(spark):
     left = spark.createDataFrame([("hot", i) for i in range(200)] + [("a", 1), ("b", 2), (None, 3)], "k string, x int")
     right = spark.createDataFrame([("hot", i) for i in range(7)] + [("a", 10), ("a", 11), ("c", 1), (None, 5)], "k string, y int")

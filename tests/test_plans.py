@@ -1,6 +1,7 @@
 """Composed jobs on edge rows."""
 
 import datetime
+import re
 import uuid
 from collections import Counter
 
@@ -150,6 +151,60 @@ def test_store_review_prepares_each_side_before_the_pairs(spark, tmp_path):
     assert "md5" in _optimized(fact) and "round(" not in _optimized(fact) and "length(" not in _optimized(fact)
 
 
+def _find(node, name):
+    """The nodes of a plan with this name, with the names of the nodes above each."""
+    stack = [(node, ())]
+    while stack:
+        at, above = stack.pop()
+        if at.nodeName().startswith(name):
+            yield at, above
+        children = at.children()
+        stack += [(children.apply(k), (*above, at.nodeName())) for k in range(children.size())]
+
+
+def test_review_texts_are_scored_before_ratings_are_joined(spark, tmp_path):
+    documents = [(0, "the of the"), (0, "the of the"), (3, None), (12, "of"), (13, ""), (None, "by"), (14, "the")]
+    labels = [(0, 1, 0), (12, 0, 1), (12, 1, 1), (None, 1, 0), (13, None, None), (14, 1, None), (99, 1, 0)]
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got, plainly = star_queries.rounded_reviews(spark, tmp_path), star_queries.scored_reviews(spark, tmp_path)
+    plainly = plainly.withColumn("sentiment_score", F.round("sentiment_score", 6))
+    assert Counter(got.select(*plainly.columns).collect()) == Counter(plainly.collect()) and got.count() == 8
+    # What a fact needs of the reviews holds no text, and none goes into the join.
+    needed = got.select("business_name", "doc_id", "date", "sentiment_label", "sentiment_score")
+    (join, _), = _find(needed._jdf.queryExecution().optimizedPlan(), "Join")
+    assert {"text", "review"}.isdisjoint(re.findall(r"(\w+)#", join.children().apply(0).output().mkString(",")))
+
+
+def test_store_goods_shuffle_lines_by_product_once(spark, tmp_path):
+    spark.createDataFrame([(1, 5), (1, 5), (2, 6)], "l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(5,), (6,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, "S"), (2, "T")], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        goods = inputs.store_goods(spark, tmp_path)
+        plan = goods._jdf.queryExecution().executedPlan()
+        assert sorted(map(tuple, goods.collect())) == [("S", "1", 5), ("T", "2", 6)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    above, = [names for scan, names in _find(plan, "Scan") if "l_suppkey" in scan.output().mkString(",")]
+    # By product, and by store for its name: being made distinct takes no further shuffle.
+    assert above.count("Exchange") == 2
+
+
+def test_goods_are_stored_without_a_value_twice(spark, monkeypatch):
+    sides = []
+    monkeypatch.setattr(star, "salted_join", lambda left, right, key: sides.append(left.columns) or left.join(right, key))
+    stock = spark.createDataFrame([("S", None, 7), ("S", "1:n", None), ("S", "n", -3)], "store_name string, store_id string, product_id int")
+    notes = spark.createDataFrame([(1, "S", "great", 5, "2024-05-01"), (None, "S", "bad", 1, "2024-05-02")], "rid long, business_name string, text string, rating long, date string")
+    fact = star.fact_store_review(stock, reviews.score_reviews(notes), TS, "rid")
+    plainly = stock.crossJoin(notes.select("rid")).select(keys.content_key("store_id", "product_id", "rid"), "store_id", "product_id")
+    assert Counter(map(tuple, plainly.collect())) == Counter(map(tuple, fact.select("review_id", "store_id", "product_id").collect()))
+    assert dict(fact.dtypes)["product_id"] == "int" and sides == [["store_name", "_store", "_product"]]
+
+
 def test_reviews(spark):
     df = spark.createDataFrame([("GOOD", 3), ("Bad", 4), ("", None)], "text string, rating long")
     got = [(r.review, r.Sentiment, r.sentiment_label) for r in reviews.score_reviews(df).collect()]

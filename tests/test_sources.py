@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +178,20 @@ def test_materialize_keeps_schema(spark):
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.count() == 3
 
 
+def test_materialize_leaves_no_shuffle_on_the_disk(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in blocks.mkString(" ").split() if name.startswith("shuffle_")}
+
+    before, settings = shuffles(), spark.conf.getAll
+    kept = materialize(spark.range(1000).repartition(7, "id").groupBy(F.col("id") % 10).agg(F.count("*").alias("n")), codec="zstd")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.getAll == settings
+    assert [r.n for r in kept.select("n").collect()] == [100] * 10
+
+
 def test_single_file_and_csv_sink(spark, tmp_path):
     io.write_csv(io.single_file(spark.range(10)), f"file:{tmp_path}/out")
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
